@@ -43,11 +43,15 @@ def bits_from_offsets(offsets: Column, width: int = 32) -> Column:
     return F.aggregate(
         offsets, F.lit(0).cast("bigint"),
         lambda acc, d: F.when((d >= 0) & (d < width),
-                              acc.bitwiseOR(F.shiftleft(F.lit(1).cast("bigint"),
-                                                        (F.lit(width - 1) - d).cast("int"))))
+                              acc.bitwiseOR(pow2(F.lit(width - 1) - d)))
         .otherwise(acc))
 
 
+def pow2(n: Column) -> Column:
+    """2^n as BIGINT for a column n in 0..62 (exact in double)."""
+    return F.pow(F.lit(2.0), n).cast("bigint")
+
+
 def dates_csv(arr: Column) -> Column:
     """array<date> → 'yyyy-MM-dd,...' (order kept) for comparison output."""
     return F.array_join(F.transform(arr, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional"]
+_FAMILIES = ["dimensional", "facts"]
 
 
 def all_queries() -> dict:
