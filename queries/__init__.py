@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional", "facts"]
+_FAMILIES = ["dimensional", "facts", "analytics"]
 
 
 def all_queries() -> dict:
