@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional", "facts", "analytics"]
+_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs"]
 
 
 def all_queries() -> dict:
