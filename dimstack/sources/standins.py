@@ -116,7 +116,11 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events stand-in (url, referrer, user_id, device_id, host, event_time, ip)."""
-    e = read_table(spark, sf_dir, "events")
+    return web_events_from(read_table(spark, sf_dir, "events"))
+
+
+def web_events_from(e: DataFrame) -> DataFrame:
+    """The web-event projection of a batch or streaming ``events`` frame."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     host = F.element_at(F.array(*[F.lit(h) for h in HOSTS]), (k % 3 + 1).cast("int"))
     ref = F.element_at(F.array(*[F.lit(r).cast("string") for r in REFERRERS]),

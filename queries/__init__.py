@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs"]
+_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs", "streams"]
 
 
 def all_queries() -> dict:
