@@ -55,19 +55,27 @@ def player_partner_totals(details: DataFrame, *, order_cols: Sequence[str],
     base = first_per_key(details, ["player_id", "game_id"], order_cols).select(
         "game_id", "player_id", "player_name", F.col(team_col).alias("_team"), "pts")
 
-    def totals(keys, tag):
-        return base.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n_{tag}"),
-                                       F.sum("pts").alias(f"p_{tag}"))
-
-    j = (base.join(totals(["game_id"], "g"), "game_id")
-         .join(totals(["game_id", "_team"], "gt"), ["game_id", "_team"])
-         .join(totals(["game_id", "player_name"], "gn"), ["game_id", "player_name"])
-         .join(totals(["game_id", "_team", "player_name"], "gtn"),
-               ["game_id", "_team", "player_name"]))
+    # finest roster grain; coarser totals are rolled up from it (small)
+    gtn = base.groupBy("game_id", "_team", "player_name").agg(
+        F.count(F.lit(1)).alias("n_gtn"), F.sum("pts").alias("p_gtn"))
+
+    def rollup(keys, tag):
+        return gtn.groupBy(*keys).agg(F.sum("n_gtn").alias(f"n_{tag}"),
+                                      F.sum("p_gtn").alias(f"p_{tag}"))
+
+    roster = (gtn.join(rollup(["game_id"], "g"), "game_id")
+              .join(rollup(["game_id", "_team"], "gt"), ["game_id", "_team"])
+              .join(rollup(["game_id", "player_name"], "gn"), ["game_id", "player_name"]))
     mates = F.col("n_gt") - F.col("n_gtn")
     opps = F.col("n_g") - F.col("n_gn") - mates
     mate_pts = F.col("p_gt") - F.col("p_gtn")
     opp_pts = F.col("p_g") - F.col("p_gn") - mate_pts
+    roster = roster.select("game_id", "_team", "player_name", mates.alias("_mates"),
+                           opps.alias("_opps"), mate_pts.alias("_mate_pts"),
+                           opp_pts.alias("_opp_pts"))
+    j = base.join(roster, ["game_id", "_team", "player_name"])
+    mates, opps = F.col("_mates"), F.col("_opps")
+    mate_pts, opp_pts = F.col("_mate_pts"), F.col("_opp_pts")
     per_row = j.select(
         "player_id", "player_name",
         F.inline(F.array(

@@ -1,16 +1,18 @@
 """Data quality: grain checks and deduplication.
 
-Deduplication keeps the first row per key under a total order.  It is a
-group-by with ``min(struct(order..., rest...))``: partial aggregation runs
-map-side, so a key with millions of copies is reduced before the shuffle
-(a ``row_number()`` window would send every copy of a hot key to one task).
+Deduplication keeps the first row per key under a total order, written as
+``row_number() = 1``.  Spark plans this with a *partial* WindowGroupLimit
+before the shuffle: every map task keeps only its first row per key, so a key
+with millions of copies sends one row per task across the network, not all
+of them to one reducer.  (A ``min(struct(...))`` group-by has the same
+property but runs as a slower sort-based aggregate.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,12 +21,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     """One row per ``keys``: the smallest (or largest) by ``order_cols``, ties
     broken by the remaining columns, so the survivor is deterministic."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                      *[F.col(c) for c in rest])
-    pick = F.max if descending else F.min
-    out = df.groupBy(*keys).agg(pick(packed).alias("_w"))
-    return out.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest])
+    tie = [c for c in df.columns if c not in keys and c not in order_cols
+           and _orderable(df, c)]
+    cols = [F.col(c) for c in [*order_cols, *tie]]
+    if descending:
+        cols = [c.desc_nulls_last() for c in cols]
+    w = Window.partitionBy(*keys).orderBy(*cols)
+    return (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .drop("_rn"))
+
+
+def _orderable(df: DataFrame, col: str) -> bool:
+    from pyspark.sql import types as T
+    t = df.schema[col].dataType
+    return not isinstance(t, (T.MapType,))
 
 
 def distinct_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
