@@ -99,37 +99,40 @@ def cumulative_backfill(rows: DataFrame, *, key: str, period: str,
 
 
 def cumulative_backfill_multi(rows: DataFrame, *, key: str, period: str,
-                              static_cols: Sequence[str], item_cols: Sequence[str],
-                              rating_col: str, last_period: int,
+                              static_cols: Sequence[str], rating_col: str, last_period: int,
+                              sum_cols: Sequence[str] = (),
                               class_of: Callable[[Column], Column] = quality_class,
                               class_col: str = "quality_class",
-                              history_col: str = "films",
+                              history_col: str = "years",
                               state_period: str = "current_year") -> DataFrame:
-    """Many rows per (key, period).  Items of a period are first reduced
-    to one struct per (key, period) carrying the period's item array and its
-    average rating; the class comes from the latest period's average."""
-    item = F.struct(*[F.col(c) for c in item_cols])
+    """Many rows per (key, period) (films per actor and year).
+
+    The history holds one summary struct per active period — ``period``,
+    ``n_items``, ``avg_<rating_col>`` and ``sum_<c>`` for ``sum_cols`` — not
+    every item: a prolific key would otherwise pile all its rows into one
+    record (the items stay in the fact table).  The class comes from the
+    latest period's average rating (the homework's rule, Q21)."""
     per_period = rows.groupBy(key, period).agg(
         *[F.max(c).alias(c) for c in static_cols],
-        F.avg(rating_col).alias("_avg"),
-        F.array_sort(F.collect_list(item)).alias("_items"))
+        F.count(F.lit(1)).alias("n_items"),
+        F.avg(rating_col).alias(f"avg_{rating_col}"),
+        *[F.sum(c).alias(f"sum_{c}") for c in sum_cols])
+    fields = [period, "n_items", f"avg_{rating_col}", *[f"sum_{c}" for c in sum_cols]]
     per_key = per_period.groupBy(key).agg(
         F.min(period).alias("_first"),
         *[F.max(c).alias(c) for c in static_cols],
-        F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), "_avg", "_items")))
-        .alias("_all"))
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_all"))
     snap = per_key.select(
         key, *static_cols, "_all",
         F.explode(F.sequence(F.col("_first").cast("int"), F.lit(last_period))).alias(state_period))
-    hist = F.filter(F.col("_all"), lambda s: s["p"] <= F.col(state_period))
-    last = last_element(F.col("_hist"))
-    return (snap.withColumn("_hist", hist)
-            .select(key, *static_cols,
-                    F.flatten(F.transform(F.col("_hist"), lambda s: s["_items"])).alias(history_col),
-                    class_of(last["_avg"]).alias(class_col),
-                    last["_avg"].alias("latest_avg_rating"),
-                    (F.col(state_period) - last["p"]).cast("bigint").alias("periods_since_last_active"),
-                    (last["p"] == F.col(state_period)).alias("is_active"),
+    hist = F.filter(F.col("_all"), lambda s: s[period] <= F.col(state_period))
+    last = last_element(F.col(history_col))
+    return (snap.withColumn(history_col, hist)
+            .select(key, *static_cols, history_col,
+                    class_of(last[f"avg_{rating_col}"]).alias(class_col),
+                    (F.col(state_period) - last[period]).cast("bigint")
+                    .alias("periods_since_last_active"),
+                    (last[period] == F.col(state_period)).alias("is_active"),
                     state_period))
 
 

@@ -27,19 +27,32 @@ def _d(value) -> Column:
     return value if isinstance(value, Column) else F.to_date(F.lit(value))
 
 
+def in_days(events: DataFrame, *, start=None, end=None, ts_col: str = "event_time") -> DataFrame:
+    """Events of the days start..end, as a range on the raw timestamp so the
+    parquet scan can skip row groups (not a comparison of a truncated value)."""
+    df = events
+    if start is not None:
+        df = df.where(F.col(ts_col) >= _day_start(start, events, ts_col))
+    if end is not None:
+        df = df.where(F.col(ts_col) < _day_start(F.date_add(_d(end), 1), events, ts_col))
+    return df
+
+
+def _day_start(day, events: DataFrame, ts_col: str) -> Column:
+    """Midnight of ``day`` in the type of ``ts_col`` (NTZ stays NTZ, so the
+    comparison needs no cast of the column and is pushed into the scan)."""
+    from pyspark.sql import types as T
+    ntz = isinstance(events.schema[ts_col].dataType, T.TimestampNTZType)
+    return _d(day).cast("timestamp_ntz" if ntz else "timestamp")
+
+
 def daily_activity(events: DataFrame, key: str | Sequence[str], ts_col: str = "event_time",
                    start=None, end=None) -> DataFrame:
-    """(key, date, n_events) for non-null keys; ``start``/``end`` bound the
-    days as a range on the raw timestamp so the parquet scan can skip
-    row groups (instead of comparing a truncated value)."""
+    """(key, date, n_events) for non-null keys of the days start..end."""
     keys = [key] if isinstance(key, str) else list(key)
-    df = events
+    df = in_days(events, start=start, end=end, ts_col=ts_col)
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    if start is not None:
-        df = df.where(F.col(ts_col) >= F.to_timestamp(_d(start)))
-    if end is not None:
-        df = df.where(F.col(ts_col) < F.to_timestamp(F.date_add(_d(end), 1)))
     return (df.groupBy(*keys, F.to_date(ts_col).alias("date"))
             .agg(F.count(F.lit(1)).alias("n_events")))
 

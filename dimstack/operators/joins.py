@@ -1,10 +1,12 @@
 """Join helpers.
 
-Broadcast policy: a side is broadcast only after a *bounded* check of its
-size: ``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows, so
-the check itself stays cheap on a 100 TB input.  Above the bound the plain
-DataFrame is returned and the join runs as a shuffle (sort-merge) join, which
-AQE may still turn into a broadcast once it has measured the shuffle output.
+Broadcast policy: a side is broadcast only after its size is checked, in two
+stages.  First Catalyst's size estimate (file sizes of the pruned scan, no
+job): above ``max_bytes`` the side is not broadcast and nothing runs.  Only a
+side already estimated small is then counted with ``limit(max_rows + 1)``,
+which reads at most that many rows.  Otherwise the plain DataFrame is
+returned and the join runs as a shuffle (sort-merge) join, which AQE may
+still turn into a broadcast once it has measured the shuffle output.
 """
 
 from __future__ import annotations
@@ -13,10 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it is estimated under ``max_bytes`` and has at
+    most ``max_rows`` rows, else ``df`` unchanged."""
+    from ..plans.inspect import estimated_size_bytes
+    est = estimated_size_bytes(df)
+    if est is not None and est > max_bytes:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -39,3 +39,17 @@ def pushed_filters(df: DataFrame) -> list[str]:
 
 def read_schemas(df: DataFrame) -> list[str]:
     return re.findall(r"ReadSchema: (struct<[^\n]*>)", plan_text(df, "formatted"))
+
+
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
+          "PiB": 1 << 50, "EiB": 1 << 60}
+
+
+def estimated_size_bytes(df: DataFrame) -> float | None:
+    """Catalyst's size estimate of the optimized plan's root (no job runs;
+    for file scans it comes from file sizes and the pruned columns)."""
+    text = plan_text(df, "cost")
+    m = re.search(r"Statistics\(sizeInBytes=([0-9.Ee+]+) ?([KMGTPE]?i?B)", text)
+    if not m:
+        return None
+    return float(m.group(1)) * _UNITS.get(m.group(2), 1)

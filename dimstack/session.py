@@ -25,7 +25,9 @@ def get_session(app: str = "dimstack", master: str | None = None,
     a cluster manager) has chosen one.
     """
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
+    is_local = (master or "").startswith("local") or (
+        master is None and not os.environ.get("SPARK_MASTER"))
+    if master or is_local:
         builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
     conf = {
         "spark.sql.session.timeZone": "UTC",
@@ -36,8 +38,12 @@ def get_session(app: str = "dimstack", master: str | None = None,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+        # AQE sizes reducers by bytes; the static count is an upper bound
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "128m",
     }
+    if shuffle_partitions or is_local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -56,9 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder for this cluster")
         current = tempfile.mkdtemp(prefix="dimstack-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 

@@ -22,7 +22,7 @@ STREAK_THRESHOLD = 10.0
 
 
 def _activity(spark, sf_dir):
-    return dl.daily_activity(si.web_events(spark, sf_dir), "user_id")
+    return dl.daily_activity(si.web_events(spark, sf_dir), "user_id", end=AS_OF)
 
 
 def _flat_growth(df):

@@ -50,14 +50,16 @@ def q_cumulative_step(spark, sf_dir):
 def q_cumulative_multi(spark, sf_dir):
     films = si.entity_films(spark, sf_dir)
     state = cum.cumulative_backfill_multi(
-        films, key="actorid", period="year", static_cols=["actor"],
-        item_cols=["year", "film", "votes", "rating", "filmid"], rating_col="rating",
-        last_period=LAST_SEASON)
+        films, key="actorid", period="year", static_cols=["actor"], rating_col="rating",
+        sum_cols=["votes"], last_period=LAST_SEASON)
+    years = F.col("years")
     return finalize(state.select(
         "actorid", "actor", "current_year",
-        F.size("films").cast("bigint").alias("n_films"),
-        F.aggregate("films", F.lit(0).cast("bigint"), lambda a, f: a + f["votes"]).alias("total_votes"),
-        "latest_avg_rating", "quality_class", "periods_since_last_active", "is_active"))
+        F.aggregate(years, F.lit(0).cast("bigint"), lambda a, y: a + y["n_items"]).alias("n_films"),
+        F.aggregate(years, F.lit(0).cast("bigint"), lambda a, y: a + y["sum_votes"])
+        .alias("total_votes"),
+        last_element(years)["avg_rating"].alias("latest_avg_rating"),
+        "quality_class", "periods_since_last_active", "is_active"))
 
 
 def q_history_unnest(spark, sf_dir):

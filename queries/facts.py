@@ -16,8 +16,8 @@ from .common import AS_OF, MONTH_START, finalize
 PREV_DAY = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=1)).isoformat()
 
 
-def _user_activity(spark, sf_dir):
-    return dl.daily_activity(si.web_events(spark, sf_dir), "user_id")
+def _user_activity(spark, sf_dir, end=AS_OF):
+    return dl.daily_activity(si.web_events(spark, sf_dir), "user_id", end=end)
 
 
 def _flat_list(df, key, list_col="dates_active"):
@@ -29,14 +29,16 @@ def _flat_list(df, key, list_col="dates_active"):
 
 def q_user_datelist(spark, sf_dir):
     ev = si.web_events(spark, sf_dir)
-    prev = dl.datelist_backfill(dl.daily_activity(ev, "user_id"), key="user_id", as_of=PREV_DAY)
+    prev = dl.datelist_backfill(dl.daily_activity(ev, "user_id", end=PREV_DAY), key="user_id",
+                                as_of=PREV_DAY)
     today = dl.daily_activity(ev, "user_id", start=AS_OF, end=AS_OF)
     return _flat_list(dl.datelist_step(prev, today, key="user_id", today_date=AS_OF), "user_id")
 
 
 def q_host_datelist(spark, sf_dir):
     ev = si.web_events(spark, sf_dir)
-    prev = dl.datelist_backfill(dl.daily_activity(ev, "host"), key="host", as_of=PREV_DAY)
+    prev = dl.datelist_backfill(dl.daily_activity(ev, "host", end=PREV_DAY), key="host",
+                                as_of=PREV_DAY)
     today = dl.daily_activity(ev, "host", start=AS_OF, end=AS_OF)
     return _flat_list(dl.datelist_step(prev, today, key="host", today_date=AS_OF), "host")
 
@@ -59,13 +61,13 @@ def q_activity_flags(spark, sf_dir):
 
 
 def _device_state(spark, sf_dir, as_of=AS_OF):
-    act = dl.browser_activity(si.web_events(spark, sf_dir), si.devices(spark, sf_dir))
+    act = dl.browser_activity(si.web_events(spark, sf_dir), si.devices(spark, sf_dir), end=as_of)
     return dl.device_datelist_backfill(act, as_of=as_of)
 
 
 def q_device_datelist(spark, sf_dir):
     ev, dev = si.web_events(spark, sf_dir), si.devices(spark, sf_dir)
-    prev = dl.device_datelist_backfill(dl.browser_activity(ev, dev), as_of=PREV_DAY)
+    prev = dl.device_datelist_backfill(dl.browser_activity(ev, dev, end=PREV_DAY), as_of=PREV_DAY)
     today = dl.browser_activity(ev, dev, day=AS_OF)
     state = dl.device_datelist_step(prev, today, today=AS_OF)
     ex = state.select("user_id", F.explode("device_activity_datelist")
@@ -130,7 +132,8 @@ def q_metric_array(spark, sf_dir):
 
 
 def host_daily(spark, sf_dir):
-    ev = si.web_events(spark, sf_dir).where(F.col("user_id").isNotNull() & F.col("host").isNotNull())
+    ev = dl.in_days(si.web_events(spark, sf_dir), start=MONTH_START, end=AS_OF) \
+        .where(F.col("user_id").isNotNull() & F.col("host").isNotNull())
     return ev.groupBy("host", F.to_date("event_time").alias("date")).agg(
         F.count(F.lit(1)).alias("hit_array"), F.count_distinct("user_id").alias("unique_visitors"))
 
