@@ -55,3 +55,8 @@ def pow2(n: Column) -> Column:
 def dates_csv(arr: Column) -> Column:
     """array<date> → 'yyyy-MM-dd,...' (order kept) for comparison output."""
     return F.array_join(F.transform(arr, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")
+
+
+def any_list_contains(map_col: Column, value: Column) -> Column:
+    """Does any array value of a map<k, array<v>> contain ``value``."""
+    return F.exists(F.map_values(map_col), lambda arr: F.array_contains(arr, value))

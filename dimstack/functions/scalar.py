@@ -76,3 +76,9 @@ def parse_event_time(text: Column | str, pattern: str | None = None) -> Column:
     from ..schemas import EVENT_TIME_PATTERN
     t = F.col(text) if isinstance(text, str) else text
     return F.try_to_timestamp(t, F.lit(pattern or EVENT_TIME_PATTERN))
+
+
+def split_part(text: Column | str, sep: str = " ", index: int = 0) -> Column:
+    """split(text, sep)[index] without raising on short input."""
+    t = F.col(text) if isinstance(text, str) else text
+    return F.get(F.split(t, sep), index)

@@ -47,16 +47,22 @@ def bucket_join_report(spark: SparkSession, left: DataFrame, right: DataFrame, k
 
 
 def layout_report(spark: SparkSession, df: DataFrame, *, partitions: int, partition_col: str,
-                  sorts: Mapping[str, Sequence[str]]) -> DataFrame:
+                  sorts: Mapping[str, Sequence[str]],
+                  global_sorts: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Write ``df`` once per sort variant (``repartition(partitions,
-    partition_col)`` then ``sortWithinPartitions(*cols)``), then compare
+    partition_col)`` then ``sortWithinPartitions(*cols)``; ``global_sorts``
+    use a total ``sort`` instead, i.e. a range exchange, O03), then compare
     bytes and file counts read from the written files' metadata."""
     tag = uuid.uuid4().hex[:10]
     out = None
-    for label, cols in sorts.items():
+    variants = [(k, v, False) for k, v in sorts.items()]
+    variants += [(k, v, True) for k, v in (global_sorts or {}).items()]
+    for label, cols, total in variants:
         path = checkpoint_path(spark, "layout", tag, label)
         shaped = df.repartition(partitions, F.col(partition_col))
-        if cols:
+        if cols and total:
+            shaped = shaped.sort(*cols)
+        elif cols:
             shaped = shaped.sortWithinPartitions(*cols)
         shaped.write.mode("overwrite").parquet(path)
         row = file_sizes(spark, path).select(F.lit(label).alias("variant"), "total_bytes", "n_files")

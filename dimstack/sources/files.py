@@ -75,8 +75,9 @@ def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
     import uuid
     try:
         existing = spark.read.parquet(path)
-        parts = updates.select(*partition_cols).distinct()
-        touched = existing.join(F.broadcast(parts), list(partition_cols), "left_semi")
+        from ..operators.joins import bounded_broadcast
+        parts = bounded_broadcast(updates.select(*partition_cols).distinct())
+        touched = existing.join(parts, list(partition_cols), "left_semi")
         merged = (touched.join(updates.select(*keys), list(keys), "left_anti")
                   .unionByName(updates.select(*existing.columns)))
     except Exception:  # noqa: BLE001 - first write: no table yet
@@ -100,3 +101,31 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
              .distinct())
     return files.agg(F.sum("size").cast("bigint").alias("total_bytes"),
                      F.count(F.lit(1)).alias("n_files"))
+
+
+def create_table_as(spark: SparkSession, table: str, df: DataFrame, *,
+                    path: str | None = None, partition_cols: Sequence[str] = ()) -> None:
+    """CREATE TABLE ... USING parquet AS SELECT (the frame is passed as
+    a parameterised relation, no temp view needed)."""
+    loc = f" LOCATION '{path}'" if path else ""
+    part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE {table} USING parquet{part}{loc} AS SELECT * FROM {{src}}", src=df)
+
+
+def create_staging_table(spark: SparkSession, table: str, columns: str, *,
+                         partition_cols: str = "ds STRING", path: str | None = None) -> None:
+    """Partitioned staging table from a column list (array columns allowed)."""
+    loc = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {partition_cols}) USING parquet "
+              f"PARTITIONED BY ({partition_cols.split()[0]}){loc}")
+
+
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """S18."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """S18."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

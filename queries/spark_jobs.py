@@ -35,6 +35,7 @@ def q_bucket_join_report(spark, sf_dir):
 def q_layout_report(spark, sf_dir):
     df = mt.event_device_left(si.web_events(spark, sf_dir), si.devices(spark, sf_dir))
     return layout_report(spark, df, partitions=4, partition_col="event_date",
+                         global_sorts={"global_date_host": ["event_date", "host"]},
                          sorts={"unsorted": [], "date_host": ["event_date", "host"],
                                 "host_url_date": ["host", "url", "event_date"]})
 
