@@ -37,9 +37,10 @@ def vertices(dim: DataFrame, *, id_col: str, vertex_type: str, prop_cols: Sequen
 
 
 def player_game_edges(details: DataFrame, *, order_cols: Sequence[str],
-                      prop_cols=("start_position", "pts", "team_id", "team_abbreviation")) -> DataFrame:
+                      prop_cols=("start_position", "pts", "team_id", "team_abbreviation"),
+                      tie_break: bool = True) -> DataFrame:
     """One ``plays_in`` edge per (player, game)."""
-    one = first_per_key(details, ["player_id", "game_id"], order_cols)
+    one = first_per_key(details, ["player_id", "game_id"], order_cols, tie_break=tie_break)
     return one.select(
         F.col("player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -47,12 +48,14 @@ def player_game_edges(details: DataFrame, *, order_cols: Sequence[str],
 
 
 def player_partner_totals(details: DataFrame, *, order_cols: Sequence[str],
-                          team_col: str = "team_abbreviation") -> DataFrame:
+                          team_col: str = "team_abbreviation",
+                          tie_break: bool = True) -> DataFrame:
     """P10 (re-aimed): per (player, edge_type) the sums over the player's
     pairs: ``partner_games`` (pairs × games), ``own_points``,
     ``partner_points``.  Partners share the game and have a different name;
     ``shares_team`` when the team is equal, else ``plays_against``."""
-    base = first_per_key(details, ["player_id", "game_id"], order_cols).select(
+    base = first_per_key(details, ["player_id", "game_id"], order_cols,
+                         tie_break=tie_break).select(
         "game_id", "player_id", "player_name", F.col(team_col).alias("_team"), "pts")
 
     # finest roster grain; coarser totals are rolled up from it (small)

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, tie_break: bool = True) -> DataFrame:
     """One row per ``keys``: the smallest (or largest) by ``order_cols``, ties
-    broken by the remaining columns, so the survivor is deterministic."""
+    broken by the remaining columns, so the survivor is deterministic.  Pass
+    ``tie_break=False`` when ``keys + order_cols`` is already unique (a
+    shorter sort key)."""
     keys = list(keys)
     tie = [c for c in df.columns if c not in keys and c not in order_cols
-           and _orderable(df, c)]
+           and _orderable(df, c)] if tie_break else []
     cols = [F.col(c) for c in [*order_cols, *tie]]
     if descending:
         cols = [c.desc_nulls_last() for c in cols]

@@ -62,7 +62,7 @@ def q_grouping_sets_dashboard(spark, sf_dir):
 
 def _details_dedup(spark, sf_dir):
     return first_per_key(si.game_details(spark, sf_dir), ["player_id", "game_id"],
-                         ["line_no", "part_key"])
+                         ["line_no", "part_key"], tie_break=False)
 
 
 def _games_sets(spark, sf_dir):

@@ -112,7 +112,8 @@ EDGE_PROPS = ["start_position", "pts", "team_id", "team_abbreviation"]
 
 
 def q_player_game_edges(spark, sf_dir):
-    e = graph.player_game_edges(si.game_details(spark, sf_dir), order_cols=["line_no", "part_key"])
+    e = graph.player_game_edges(si.game_details(spark, sf_dir), order_cols=["line_no", "part_key"],
+                                tie_break=False)
     return finalize(e.select("subject_identifier", "subject_type", "object_identifier",
                              "object_type", "edge_type",
                              *[F.col("properties")[p].alias(p) for p in EDGE_PROPS]))
@@ -120,7 +121,8 @@ def q_player_game_edges(spark, sf_dir):
 
 def q_player_partner_totals(spark, sf_dir):
     return finalize(graph.player_partner_totals(si.game_details(spark, sf_dir),
-                                                order_cols=["line_no", "part_key"]))
+                                                order_cols=["line_no", "part_key"],
+                                                tie_break=False))
 
 
 QUERIES = {

@@ -79,6 +79,10 @@ def main():
     from dimstack.session import get_session
     from queries import all_oracles, all_queries
     spark = get_session("oracle-check")
+    if os.environ.get("ORACLE_TZ"):      # results must not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
+    if os.environ.get("ORACLE_ANSI"):
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["ORACLE_ANSI"])
     con = duck(sf_dir)
     qs, os_ = all_queries(), all_oracles()
     bad = 0
