@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import channel
@@ -133,9 +133,38 @@ def referrer_trend(events: DataFrame, devices: DataFrame, *, min_total: int = 50
             .drop("_total"))
 
 
+def running_index(df: DataFrame, *, key: str, bucket: Column, order: Sequence[str],
+                  flag: Column) -> DataFrame:
+    """Position ``_idx`` (0-based) of each row within its ``key`` in the order
+    (``bucket``, ``order``...), and ``_cum``, the running sum of ``flag``
+    through the row — without putting a key's rows into one task.
+
+    ``bucket`` must be monotone in the order (a day, or an id divided by a
+    width).  Two levels: prefix sums over the per-(key, bucket) totals (at
+    most one row per bucket of a key), joined back, plus a numbering inside
+    each small (key, bucket) group.  A key holding a third of all rows is
+    spread over its buckets."""
+    rows = df.withColumn("_b", bucket).withColumn("_f", flag.cast("bigint"))
+    per_bucket = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.sum("_f").alias("_s"))
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(key, "_b",
+                                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+                                F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"))
+    inner = Window.partitionBy(key, "_b").orderBy(*order)
+    local = inner.rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.join(offsets, [key, "_b"])
+            .withColumn("_idx", F.col("_n0") + F.row_number().over(inner) - 1)
+            .withColumn("_cum", F.col("_s0") + F.sum("_f").over(local))
+            .drop("_b", "_n0", "_s0"))
+
+
 def best_stretch(games: DataFrame, *, n: int = 90) -> DataFrame:
-    """Most wins of each team in any ``n`` consecutive games.  Home and
-    away rows come from one scan (inline of a 2-element array)."""
+    """Most wins of each team in any ``n`` consecutive games (by date,
+    then id).  Home and away rows come from one scan (inline of a 2-element
+    array).  Wins in the ``n`` games ending at row i are cum(i) − cum(i − n),
+    the second found by an equi-join on (team, idx): no window spans a whole
+    team (a few teams hold all games)."""
     rows = games.select(
         "game_id", "game_date_est",
         F.inline(F.array(
@@ -143,21 +172,26 @@ def best_stretch(games: DataFrame, *, n: int = 90) -> DataFrame:
                      F.col("home_team_wins").alias("won")),
             F.struct(F.col("visitor_team_id").alias("team_id"),
                      (1 - F.col("home_team_wins")).alias("won")))))
-    w = Window.partitionBy("team_id").orderBy("game_date_est", "game_id").rowsBetween(-(n - 1), 0)
-    return (rows.select("team_id", F.sum("won").over(w).alias("_wins"))
-            .groupBy("team_id").agg(F.max("_wins").cast("bigint").alias("max_wins_in_stretch")))
+    idx = running_index(rows, key="team_id", bucket=F.col("game_date_est"),
+                        order=["game_id"], flag=F.col("won")).select("team_id", "_idx", "_cum")
+    earlier = idx.select("team_id", (F.col("_idx") + n).alias("_idx"),
+                         F.col("_cum").alias("_cum_before"))
+    wins = idx.join(earlier, ["team_id", "_idx"], "left").select(
+        "team_id", (F.col("_cum") - F.coalesce(F.col("_cum_before"), F.lit(0))).alias("_wins"))
+    return wins.groupBy("team_id").agg(F.max("_wins").cast("bigint").alias("max_wins_in_stretch"))
 
 
 def longest_streak(details: DataFrame, *, threshold: float = 10.0,
-                   order_col: str = "game_id") -> DataFrame:
+                   order_col: str = "game_id", bucket_width: int = 4096) -> DataFrame:
     """Per player the longest run of consecutive games (by
-    ``order_col``) with points over ``threshold``, and the number of runs."""
-    w = Window.partitionBy("player_id").orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, 0)
+    ``order_col``, an integer id) with points over ``threshold``, and the
+    number of runs.  Within a run, position − (qualifying games so far) is
+    constant (gaps and islands), so runs are a group-by on that value."""
     over = F.col("pts") > threshold
-    marked = details.select("player_id", order_col, over.alias("_over"),
-                            F.sum(F.when(over, 0).otherwise(1)).over(w).alias("_run"))
-    runs = (marked.where("_over").groupBy("player_id", "_run")
+    idx = running_index(details.select("player_id", order_col, "pts"), key="player_id",
+                        bucket=F.floor(F.col(order_col) / bucket_width), order=[order_col],
+                        flag=over)
+    runs = (idx.where(over).groupBy("player_id", (F.col("_idx") - F.col("_cum")).alias("_island"))
             .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy("player_id").agg(F.max("_len").alias("longest_run"),
                                          F.count(F.lit(1)).alias("n_runs"))
