@@ -74,7 +74,8 @@ JOIN per_year p ON p.actorid = s.actorid AND p.year = a.last_year"""
 DEDUP_DETAILS = with_standins("game_details") + """,
 deduped AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY player_id, game_id
-                                              ORDER BY line_no, part_key) AS rn
+                   ORDER BY line_no, part_key, team_id, team_abbreviation, player_name,
+                            start_position, pts) AS rn
                  FROM game_details) WHERE rn = 1)"""
 
 

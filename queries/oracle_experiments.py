@@ -58,7 +58,9 @@ games AS ({STANDINS['games']})
 SELECT game_id, team_id, player_id, player_name, pts, game_date_est, line_no
 FROM (SELECT d.*, g.game_date_est,
              ROW_NUMBER() OVER (PARTITION BY d.game_id, d.team_id, d.player_id
-                                ORDER BY g.game_date_est, d.line_no, d.part_key) AS rn
+                                ORDER BY g.game_date_est, d.line_no, d.part_key,
+                                         d.team_abbreviation, d.player_name, d.start_position,
+                                         d.pts) AS rn
       FROM game_details d JOIN games g ON g.game_id = d.game_id)
 WHERE rn = 1""",
     "dedup_events": with_standins("web_events") + """
