@@ -136,7 +136,7 @@ sides AS (
          pts * mates AS own, mate_pts AS other FROM counted
   UNION ALL
   SELECT player_id, player_name, 'plays_against', opps, pts * opps, opp_pts FROM counted)
-SELECT player_id, player_name, edge_type, SUM(partners) AS partner_games,
+SELECT player_id, player_name, edge_type, CAST(SUM(partners) AS BIGINT) AS partner_games,
        round(SUM(own), 6) AS own_points, round(SUM(other), 6) AS partner_points
 FROM sides WHERE partners > 0 GROUP BY 1, 2, 3""",
 }

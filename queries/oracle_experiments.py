@@ -55,7 +55,8 @@ per AS (SELECT user_id, COUNT(DISTINCT CAST(event_time AS DATE)) AS n FROM web_e
 SELECT n AS array_size, COUNT(*) AS n_rows FROM per GROUP BY n""",
     "dedup_game_details": with_standins("game_details") + f""",
 games AS ({STANDINS['games']})
-SELECT game_id, team_id, player_id, player_name, pts, game_date_est, line_no
+SELECT game_id, CAST(team_id AS BIGINT) AS team_id, player_id, player_name, pts, game_date_est,
+       CAST(line_no AS BIGINT) AS line_no
 FROM (SELECT d.*, g.game_date_est,
              ROW_NUMBER() OVER (PARTITION BY d.game_id, d.team_id, d.player_id
                                 ORDER BY g.game_date_est, d.line_no, d.part_key,
