@@ -39,6 +39,17 @@ def _orderable(df: DataFrame, col: str) -> bool:
     return not isinstance(t, (T.MapType,))
 
 
+def dedup_details(details: DataFrame, games: DataFrame, *,
+                  keys: Sequence[str] = ("game_id", "team_id", "player_id"),
+                  order_cols: Sequence[str] = ("line_no", "part_key")) -> DataFrame:
+    """One detail row per (game, team, player), then the game's date.
+    The reference orders the survivors by the game's date, which is constant
+    within a game; deduplicating before the join keeps the partial
+    WindowGroupLimit (the join would otherwise partition by game only)."""
+    one = first_per_key(details, list(keys), list(order_cols))
+    return one.join(games.select("game_id", "game_date_est"), "game_id")
+
+
 def distinct_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """GROUP BY all (or ``keys``) without aggregates."""
     return df.dropDuplicates(list(keys)) if keys else df.distinct()

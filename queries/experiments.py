@@ -44,10 +44,7 @@ def q_array_size_check(spark, sf_dir):
 
 
 def q_dedup_game_details(spark, sf_dir):
-    d = si.game_details(spark, sf_dir).join(
-        si.games(spark, sf_dir).select("game_id", "game_date_est"), "game_id")
-    out = qa.first_per_key(d, ["game_id", "team_id", "player_id"],
-                           ["game_date_est", "line_no", "part_key"])
+    out = qa.dedup_details(si.game_details(spark, sf_dir), si.games(spark, sf_dir))
     return finalize(out.select("game_id", "team_id", "player_id", "player_name", "pts",
                                "game_date_est", "line_no"))
 
