@@ -22,15 +22,30 @@ def day_range(start: str, end: str) -> list[str]:
     return [(d0 + dt.timedelta(days=i)).isoformat() for i in range((d1 - d0).days + 1)]
 
 
+def written_days(spark: SparkSession, path: str, partition_col: str = "date") -> set[str]:
+    """Days already present under ``path`` (from the partition folders: the
+    result has one row per day)."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return set()
+    return {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+
+
 def run_days(spark: SparkSession, step: Callable[[DataFrame | None, str], DataFrame],
              days: Iterable[str], path: str, *, partition_col: str = "date",
-             initial: DataFrame | None = None) -> DataFrame:
+             initial: DataFrame | None = None, resume: bool = False) -> DataFrame:
     """Run ``step(prev_state, day)`` for each day; the state of day d is the
-    partition ``partition_col = d`` under ``path``.  Returns the table."""
+    partition ``partition_col = d`` under ``path``.  With ``resume`` the days
+    already written are skipped (a rerun after a failure continues where it
+    stopped; each day's write is an idempotent partition overwrite).
+    Returns the table."""
     prev = initial
+    done = written_days(spark, path, partition_col) if resume else set()
     for day in days:
-        out = step(prev, day).withColumn(partition_col, F.to_date(F.lit(day)))
-        write_partitions(out, path, [partition_col])
+        if day not in done:
+            out = step(prev, day).withColumn(partition_col, F.to_date(F.lit(day)))
+            write_partitions(out, path, [partition_col])
         prev = (spark.read.parquet(path)
                 .where(F.col(partition_col) == F.to_date(F.lit(day))))
     return spark.read.parquet(path)

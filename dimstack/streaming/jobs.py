@@ -163,23 +163,34 @@ def session_stats(sessions_df: DataFrame, by: str = "host") -> DataFrame:
 def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
                   checkpoint: str | None = None, extra_sinks=None) -> DataFrame:
     """Run a streaming frame over all available input (``availableNow``),
-    writing each micro-batch to Parquet at ``sink_path`` (complete mode
-    overwrites, append/update append).  ``extra_sinks`` is a list of
-    ``(path, fn)``: each batch also writes ``fn(batch)`` there (T05).
-    Returns the sink table read back."""
+    writing each micro-batch to Parquet at ``sink_path``; ``extra_sinks`` is a
+    list of ``(path, fn)``: each batch also writes ``fn(batch)`` there (T05).
+
+    Writes are idempotent, so a micro-batch replayed after a failure does not
+    duplicate rows: complete mode overwrites the sink, append mode overwrites
+    the batch's own ``epoch=<id>`` folder.  Returns the sink read back."""
     spark = df.sparkSession
     checkpoint = checkpoint or checkpoint_path(spark, "streams", uuid.uuid4().hex)
-    mode = "overwrite" if output_mode == "complete" else "append"
+    targets = [(sink_path, None), *(extra_sinks or [])]
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode(mode).parquet(sink_path)
-        for path, fn in extra_sinks or []:
-            fn(batch).write.mode(mode).parquet(path)
+    def write(batch: DataFrame, epoch: int) -> None:
+        for path, fn in targets:
+            out = batch if fn is None else fn(batch)
+            if output_mode == "complete":
+                out.write.mode("overwrite").parquet(path)
+            else:
+                out.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     q = (df.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink_path)
+    return read_sink(spark, sink_path)
+
+
+def read_sink(spark: SparkSession, path: str) -> DataFrame:
+    """A sink folder written by ``run_available`` (epoch folders merged)."""
+    df = spark.read.parquet(path)
+    return df.drop("epoch") if "epoch" in df.columns else df
 
 
 def host_counts_from_referrer_counts(batch: DataFrame) -> DataFrame:

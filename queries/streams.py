@@ -51,7 +51,7 @@ def _tumbling(spark, sf_dir):
     main, hosts = _sink(spark, "host_referrer"), _sink(spark, "host")
     sj.run_available(agg, main, output_mode="complete",
                      extra_sinks=[(hosts, sj.host_counts_from_referrer_counts)])
-    return spark.read.parquet(main), spark.read.parquet(hosts)
+    return sj.read_sink(spark, main), sj.read_sink(spark, hosts)
 
 
 def q_stream_tumbling_host(spark, sf_dir):

@@ -126,3 +126,36 @@ def test_partner_totals_equal_brute_force_pairs(spark):
     cols = ["player_id", "player_name", "edge_type", "partner_games", "own_points",
             "partner_points"]
     assert _rows(got.select(*cols), cols) == _rows(want.select(*cols), cols)
+
+
+def test_day_loop_resumes_without_recomputing(spark):
+    ev = si.web_events(spark, SF)
+    days = day_range("2024-01-01", "2024-01-04")
+    path = checkpoint_path(spark, "tests", f"resume_{dt.datetime.now().timestamp()}")
+    calls = []
+
+    def step(prev, day):
+        calls.append(day)
+        today = dl.daily_activity(ev, "user_id", start=day, end=day)
+        if prev is None:
+            prev = spark.createDataFrame([], "user_id bigint, dates_active array<date>, date date")
+        return dl.datelist_step(prev, today, key="user_id", today_date=day)
+
+    run_days(spark, step, days[:2], path)            # "fails" after two days
+    table = run_days(spark, step, days, path, resume=True)
+    assert calls == days[:2] + days[2:]              # days 1-2 were not recomputed
+    full = dl.datelist_backfill(dl.daily_activity(ev, "user_id"), key="user_id", as_of=days[-1])
+    last = table.where(F.col("date") == F.to_date(F.lit(days[-1])))
+    assert _rows(last.select("user_id", "dates_active"), ["user_id"]) == \
+        _rows(full.select("user_id", "dates_active"), ["user_id"])
+
+
+def test_shared_aggregate_is_cached_and_released(spark):
+    from pyspark import StorageLevel
+
+    from dimstack.operators.matches import shared_aggregate
+    users, devices, agg = shared_aggregate(si.web_events(spark, SF), si.devices(spark, SF))
+    assert agg.storageLevel == StorageLevel.MEMORY_AND_DISK
+    assert users.count() > 0 and devices.count() > 0
+    agg.unpersist()
+    assert agg.storageLevel == StorageLevel(False, False, False, False, 1)

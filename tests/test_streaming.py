@@ -53,7 +53,7 @@ def test_two_sinks_from_one_query(spark):
     agg = sj.tumbling_counts(sj.parse_events(raw), ["host", "referrer"])
     main = sj.run_available(agg, f"{base}/main", output_mode="complete",
                             extra_sinks=[(f"{base}/hosts", sj.host_counts_from_referrer_counts)])
-    hosts = {r["host"]: r["num_hits"] for r in spark.read.parquet(f"{base}/hosts").collect()}
+    hosts = {r["host"]: r["num_hits"] for r in sj.read_sink(spark, f"{base}/hosts").collect()}
     assert main.count() == 3 and hosts == {"a": 2, "b": 1}
 
 
