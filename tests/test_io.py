@@ -71,3 +71,33 @@ def test_sql_and_dataframe_forms_agree(spark):
     a = typed_enrichment(ev, dev)
     b = typed_enrichment_sql(spark, ev, dev)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_catalog_writers(spark):
+    db = f"db_{uuid.uuid4().hex[:8]}"
+    files.create_database(spark, db, checkpoint_path(spark, "tests", db))
+    t = f"{db}.staging"
+    files.create_staging_table(spark, t, "user_id BIGINT, device_id BIGINT, event_counts BIGINT, "
+                               "host_array ARRAY<STRING>")
+    rows = spark.createDataFrame([(1, 2, 3, ["a"], "2024-01-01"), (4, 5, 6, ["b"], "2024-01-02")],
+                                 "user_id bigint, device_id bigint, event_counts bigint, "
+                                 "host_array array<string>, ds string")
+    files.append_into(rows, t)
+    files.insert_overwrite(rows.where("ds = '2024-01-02'").withColumn("event_counts", F.lit(9)), t)
+    got = sorted((r["ds"], r["event_counts"]) for r in spark.table(t).collect())
+    assert got == [("2024-01-01", 3), ("2024-01-02", 9)]      # only 2024-01-02 was replaced
+    files.truncate(spark, t)
+    assert spark.table(t).count() == 0
+    files.drop_table(spark, t)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_domain_check_and_size_estimate(spark):
+    from dimstack.plans.inspect import estimated_size_bytes
+    from dimstack.schemas import SCORING_CLASSES, check_domain
+    from queries.dimensional import players_state
+    state = players_state(spark, SF)
+    assert check_domain(state, "scoring_class", SCORING_CLASSES).count() == 0
+    small = estimated_size_bytes(read_table(spark, SF, "nation"))
+    big = estimated_size_bytes(read_table(spark, SF, "lineitem"))
+    assert small is not None and big is not None and small < big

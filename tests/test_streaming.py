@@ -71,3 +71,28 @@ def test_sessions_batch_equals_gap_rule(spark):
     s = sj.sessions(df, ["ip", "host"], gap="5 minutes").orderBy("session_start").collect()
     # gaps: 3, 5 (equal to the gap: merged), 12, 4
     assert [r["num_events"] for r in s] == [3, 2]
+
+
+def test_dropped_rows_are_counted(spark):
+    base = checkpoint_path(spark, "tests", uuid.uuid4().hex)
+    src = f"{base}/src"
+    _write_batches(spark, src, [[(_msg("a", "2024-01-01T00:10:00.000Z"),)],
+                                [(_msg("a", "2024-01-01T00:00:01.000Z"),)]])    # late
+    raw = (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", True).parquet(src))
+    agg = sj.tumbling_counts(sj.parse_events(raw), ["host"])
+    q = (agg.writeStream.outputMode("append").format("noop")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum(int(op.get("numRowsDroppedByWatermark", 0))
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    assert dropped == 1
+    assert sj.dropped_by_watermark(q) >= 0
+
+
+def test_session_stats_overall_and_by_host(spark):
+    df = spark.createDataFrame([("1", "h1", 3), ("2", "h1", 1), ("3", "h2", 2)],
+                               "ip string, host string, num_events long")
+    got = {r["host"]: (r["avg_events_per_session"], r["n_sessions"])
+           for r in sj.session_stats(df).collect()}
+    assert got == {"h1": (2.0, 2), "h2": (2.0, 1), "(overall)": (2.0, 3)}
