@@ -15,7 +15,8 @@ def all_queries() -> dict:
 
 
 def all_oracles() -> dict:
+    from .common import round_sql
     out = {}
     for fam in _FAMILIES:
         out.update(importlib.import_module(f"queries.oracle_{fam}").ORACLES)
-    return out
+    return {k: round_sql(v) for k, v in out.items()}

@@ -30,11 +30,14 @@ def duck(sf_dir):
     return con
 
 
+STRICT = bool(os.environ.get("ORACLE_STRICT"))
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 5)
+        return None if math.isnan(v) else (v if STRICT else round(v, 5))
     if isinstance(v, decimal.Decimal):
         return round(float(v), 5)
     if isinstance(v, (dt.datetime, dt.date)):
