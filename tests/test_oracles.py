@@ -6,8 +6,11 @@ import os
 import pytest
 
 from queries import all_oracles, all_queries
+import tools.oracle_check as oc
 from tools.oracle_check import compare, duck
 
+oc.STRICT = True          # exact values: the driver hashes them
+
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 KEYS = sorted(all_oracles())
 

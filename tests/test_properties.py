@@ -159,3 +159,35 @@ def test_shared_aggregate_is_cached_and_released(spark):
     assert users.count() > 0 and devices.count() > 0
     agg.unpersist()
     assert agg.storageLevel == StorageLevel(False, False, False, False, 1)
+
+
+def test_bucketed_state_table_day_loop(spark):
+    from dimstack.plans.days import create_state_table
+    from dimstack.plans.inspect import plan_text
+    ev = si.web_events(spark, SF)
+    days = day_range("2024-01-01", "2024-01-03")
+    name = f"users_cumulated_{int(dt.datetime.now().timestamp() * 1000)}"
+    create_state_table(spark, name, "user_id BIGINT, dates_active ARRAY<DATE>", key="user_id",
+                       buckets=4, path=checkpoint_path(spark, "tests", name))
+    plans = []
+
+    def step(prev, day):
+        today = dl.daily_activity(ev, "user_id", start=day, end=day)
+        if prev is None:
+            prev = spark.createDataFrame([], "user_id bigint, dates_active array<date>, date date")
+        out = dl.datelist_step(prev, today, key="user_id", today_date=day)
+        plans.append(plan_text(out, "simple"))
+        return out
+
+    try:
+        table = run_days(spark, step, days, table=name)
+        last = table.where(F.col("date") == F.to_date(F.lit(days[-1])))
+        back = dl.datelist_backfill(dl.daily_activity(ev, "user_id"), key="user_id", as_of=days[-1])
+        assert _rows(last.select("user_id", "dates_active"), ["user_id"]) == \
+            _rows(back.select("user_id", "dates_active"), ["user_id"])
+        # from day 2 on the state is read bucketed: the only shuffles are today's
+        # aggregation and today's side of the join (a plain state would add one)
+        assert "Bucketed: true" in plans[-1]
+        assert plans[-1].count("Exchange hashpartitioning") == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
