@@ -99,29 +99,38 @@ def typed_enrichment_sql(spark, events: DataFrame, devices: DataFrame, *,
 
 
 def events_aggregated(events: DataFrame) -> DataFrame:
-    """(user, device) → event count and distinct hosts (the shared aggregate)."""
+    """(user, device) → event count and number of distinct hosts (the shared
+    aggregate; the reference's host array is kept as a count, since a bot
+    user-device pair may touch unboundedly many hosts)."""
     return (events.where(F.col("user_id").isNotNull())
             .groupBy("user_id", "device_id")
             .agg(F.count(F.lit(1)).alias("event_counts"),
-                 F.array_sort(F.collect_set("host")).alias("host_array")))
+                 F.count_distinct("host").alias("n_hosts")))
 
 
 def shared_aggregate(events: DataFrame, devices: DataFrame, *, persist: bool = True,
                      level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """One aggregate feeding two joins.  Returns ``(users_and_devices,
     devices_on_events, aggregate)``; with ``persist`` the aggregate is cached
-    and the caller unpersists it after both outputs are written.  The users
-    side joins distinct users, so rows do not multiply per event."""
+    and the caller unpersists it after both outputs are written.
+
+    The reference collects each user's devices and each device's users into
+    arrays; a shared device id may hold a third of all users, so those lists
+    stay in long form (the aggregate: one row per user and device) and the
+    two outputs carry counts.  The users side joins distinct users, so rows
+    do not multiply per event."""
     agg = events_aggregated(events)
     if persist:
         agg = agg.persist(level)
     users = events.where(F.col("user_id").isNotNull()).select("user_id").distinct()
     users_and_devices = (users.join(agg, "user_id").groupBy("user_id")
                          .agg(F.max("event_counts").alias("total_hits"),
-                              F.array_sort(F.collect_list("device_id")).alias("devices")))
+                              F.count(F.lit(1)).alias("n_devices"),
+                              F.sum("event_counts").alias("n_events")))
     devices_on_events = (devices.select("device_id", "device_type").join(agg, "device_id")
                          .groupBy("device_id", "device_type")
-                         .agg(F.array_sort(F.collect_list("user_id")).alias("users")))
+                         .agg(F.count(F.lit(1)).alias("n_users"),
+                              F.sum("event_counts").alias("n_events")))
     return users_and_devices, devices_on_events, agg
 
 

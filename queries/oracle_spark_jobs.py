@@ -43,11 +43,11 @@ FROM web_events e JOIN devices d ON e.device_id = d.device_id
 WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL""",
     "shared_aggregate_users": AGG + """
 SELECT user_id, MAX(event_counts) AS total_hits, COUNT(*) AS n_devices,
-       string_agg(CAST(device_id AS VARCHAR), ',' ORDER BY device_id) AS devices
+       CAST(SUM(event_counts) AS BIGINT) AS n_events
 FROM agg GROUP BY user_id""",
     "shared_aggregate_devices": AGG + """
 SELECT d.device_id, d.device_type, COUNT(*) AS n_users,
-       string_agg(CAST(a.user_id AS VARCHAR), ',' ORDER BY a.user_id) AS users
+       CAST(SUM(a.event_counts) AS BIGINT) AS n_events
 FROM devices d JOIN agg a ON a.device_id = d.device_id
 GROUP BY d.device_id, d.device_type""",
     "event_device_left": with_standins("web_events", "devices") + """

@@ -51,18 +51,12 @@ def _shared(spark, sf_dir):
 
 def q_shared_aggregate_users(spark, sf_dir):
     users, _, _ = _shared(spark, sf_dir)
-    return finalize(users.select("user_id", "total_hits",
-                                 F.size("devices").cast("bigint").alias("n_devices"),
-                                 F.array_join(F.col("devices").cast("array<string>"), ",")
-                                 .alias("devices")))
+    return finalize(users)
 
 
 def q_shared_aggregate_devices(spark, sf_dir):
     _, devs, _ = _shared(spark, sf_dir)
-    return finalize(devs.select("device_id", "device_type",
-                                F.size("users").cast("bigint").alias("n_users"),
-                                F.array_join(F.col("users").cast("array<string>"), ",")
-                                .alias("users")))
+    return finalize(devs)
 
 
 def q_event_device_left(spark, sf_dir):
