@@ -84,4 +84,5 @@ def dedup_stream(events: DataFrame, keys: Sequence[str], event_time: str,
                  delay: str) -> DataFrame:
     """Streaming dedup bounded by the watermark (state is dropped once a key
     is older than the watermark)."""
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    from ..streaming.jobs import dedup_within_watermark
+    return dedup_within_watermark(events.withWatermark(event_time, delay), keys)

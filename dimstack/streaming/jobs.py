@@ -131,6 +131,12 @@ def geo_enrich(events: DataFrame, geo: DataFrame, *, key_expr, key_col: str = "i
                         .otherwise(loc)).drop("country", "state", "city", key_col)
 
 
+def dedup_within_watermark(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """P47 on a stream: drop repeated events of the same keys; the state of a
+    key is kept only until the watermark passes it, so state stays bounded."""
+    return events.dropDuplicatesWithinWatermark(list(keys))
+
+
 def tumbling_counts(events: DataFrame, keys: Sequence[str], *, size: str = WINDOW_SIZE,
                     ts_col: str = "event_timestamp", count_col: str = "host") -> DataFrame:
     """P40/P41 (T03/T04): tumbling windows; ``event_hour`` is the window start

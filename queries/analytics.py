@@ -84,6 +84,11 @@ def q_referrer_trend(spark, sf_dir):
                                       min_total=TREND_MIN_TOTAL))
 
 
+def q_referrer_trend_calendar(spark, sf_dir):
+    return finalize(pt.referrer_trend(si.web_events(spark, sf_dir), si.devices(spark, sf_dir),
+                                      min_total=TREND_MIN_TOTAL, calendar=True))
+
+
 def q_best_stretch(spark, sf_dir):
     return finalize(pt.best_stretch(si.games(spark, sf_dir), n=STRETCH))
 
@@ -102,6 +107,7 @@ QUERIES = {
     "grouping_sets_games": q_grouping_sets_games,
     "grouping_sets_games_top": q_grouping_sets_games_top,
     "referrer_trend": q_referrer_trend,
+    "referrer_trend_calendar": q_referrer_trend_calendar,
     "best_stretch": q_best_stretch,
     "longest_streak": q_longest_streak,
 }

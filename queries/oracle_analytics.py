@@ -140,6 +140,32 @@ SELECT referrer, url, event_date, count, CAST(weekly_rolling_count AS BIGINT) AS
        CAST(previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
        round(CAST(count AS DOUBLE) / m, 6) AS pct_of_month,
        round(CAST(count AS DOUBLE) / total, 6) AS pct_of_total
+FROM win WHERE total > 100 AND referrer IS NOT NULL""",
+    "referrer_trend_calendar": DEVICES_AUG + """,
+chan AS (SELECT url, CAST(event_time AS DATE) AS event_date,
+                CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin'
+                     WHEN referrer LIKE '%t.co%' THEN 'Twitter'
+                     WHEN referrer LIKE '%google%' THEN 'Google'
+                     WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
+                     WHEN referrer LIKE '%eczachly%' THEN 'On Site'
+                     WHEN referrer LIKE '%zachwilson%' THEN 'On Site'
+                     ELSE referrer END AS referrer
+         FROM aug),
+agg AS (SELECT url, referrer, event_date, COUNT(1) AS count FROM chan GROUP BY 1, 2, 3),
+win AS (SELECT referrer, url, event_date, count,
+          SUM(count) OVER (PARTITION BY referrer, url, date_trunc('month', event_date)
+              ORDER BY event_date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m,
+          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
+              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total,
+          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
+              RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS weekly_rolling_count,
+          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
+              RANGE BETWEEN INTERVAL 13 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS previous_weekly_rolling_count
+        FROM agg)
+SELECT referrer, url, event_date, count, CAST(weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
+       CAST(previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
+       round(CAST(count AS DOUBLE) / m, 6) AS pct_of_month,
+       round(CAST(count AS DOUBLE) / total, 6) AS pct_of_total
 FROM win WHERE total > 100 AND referrer IS NOT NULL""",
     "best_stretch": with_standins("games") + """,
 rows_ AS (SELECT home_team_id AS team_id, game_date_est, game_id, home_team_wins AS won FROM games

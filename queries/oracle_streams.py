@@ -39,6 +39,10 @@ SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS event_hour, host, refe
        COUNT(host) AS num_hits
 FROM parsed GROUP BY 1, 2, 3""",
     "stream_sessions": SESSIONS + " SELECT * FROM sess",
+    "stream_dedup": PARSED + """
+SELECT ip, event_timestamp, url, host
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ip, event_timestamp ORDER BY url, host) AS rn
+      FROM parsed WHERE ip IS NOT NULL) WHERE rn = 1""",
     "session_stats": SESSIONS + """
 SELECT COALESCE(host, '(overall)') AS host, round(AVG(num_events), 6) AS avg_events_per_session,
        COUNT(*) AS n_sessions

@@ -62,6 +62,13 @@ def q_stream_tumbling_host_referrer(spark, sf_dir):
     return finalize(_ntz(_tumbling(spark, sf_dir)[0], "event_hour"))
 
 
+def q_stream_dedup(spark, sf_dir):
+    d = sj.dedup_within_watermark(_parsed(spark, sf_dir).where(F.col("ip").isNotNull()),
+                                  ["ip", "event_timestamp"])
+    out = sj.run_available(d.select("ip", "event_timestamp", "url", "host"), _sink(spark, "dedup"))
+    return finalize(_ntz(out, "event_timestamp"))
+
+
 def _sessions(spark, sf_dir):
     s = sj.sessions(_parsed(spark, sf_dir), ["ip", "host"], gap=SESSION_GAP)
     return sj.run_available(s, _sink(spark, "sessions"), output_mode="complete")
@@ -81,5 +88,6 @@ QUERIES = {
     "stream_tumbling_host": q_stream_tumbling_host,
     "stream_tumbling_host_referrer": q_stream_tumbling_host_referrer,
     "stream_sessions": q_stream_sessions,
+    "stream_dedup": q_stream_dedup,
     "session_stats": q_session_stats,
 }
