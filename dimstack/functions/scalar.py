@@ -50,11 +50,6 @@ def channel(referrer: Column | str, rules=CHANNEL_RULES) -> Column:
     return expr.otherwise(r)
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den as double, NULL when den is 0 or NULL (C03, ANSI-safe)."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
 def days_between(later, earlier) -> Column:
     """date − date as BIGINT days (C11; Spark's ``-`` gives an interval)."""
     return F.datediff(later, earlier).cast("bigint")

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import bits_from_offsets, empty_array, pow2
+from ..functions.arrays import append_if, bits_from_offsets, empty_array, pow2
 from ..functions.scalar import LOW32_MASK, NEXT7_MASK, TOP7_MASK, bit_count
 from ..schemas import UNKNOWN_DEVICE_PREFIX
 from .joins import full_outer_on_key
@@ -62,11 +62,10 @@ def datelist_step(prev: DataFrame, today: DataFrame, *, key: str, today_date,
     """P11/P17 step: ``prev`` (key, list_col, date) ⟗ today's (key, date)."""
     t = today.select(key, F.col("date").alias("today_date"))
     j = full_outer_on_key(prev.select(key, list_col, "date"), t, key)
-    base = F.coalesce(F.col(f"y.{list_col}"), empty_array("date"))
     return j.select(
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
-        F.when(F.col(f"t.{key}").isNotNull(), F.concat(base, F.array(F.col("t.today_date"))))
-        .otherwise(base).alias(list_col),
+        append_if(F.col(f"y.{list_col}"), F.col(f"t.{key}").isNotNull(), F.col("t.today_date"),
+                  "date").alias(list_col),
         F.coalesce(F.col("t.today_date"), F.date_add(F.col("y.date"), 1)).alias("date"))
 
 

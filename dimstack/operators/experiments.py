@@ -8,8 +8,6 @@ parameter list turned into a CASE expression: no join, nothing broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,12 +89,3 @@ def readout(assignments: DataFrame, events: DataFrame, *, target_url: str,
                     F.when(F.col("cell") == control, F.lit(0.0))
                     .otherwise(F.try_divide(F.col("conversion_rate") - F.col("_p0"), se))
                     .alias("z_score"))
-
-
-def cells_table(cells: Sequence = DEFAULT_CELLS):
-    """The cell list as rows (name, lo, hi) for reports."""
-    rows, lo = [], 0
-    for name, share, _ in cells:
-        rows.append((name, lo, lo + share))
-        lo += share
-    return rows

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import empty_array
+from ..functions.arrays import append_if
+from ..functions.scalar import days_between
 from .joins import full_outer_on_key
 
 
@@ -47,13 +48,12 @@ def growth_step(prev: DataFrame, today: DataFrame, *, today_date) -> DataFrame:
     active = F.col("t.user_id").isNotNull()
     daily, weekly = _states(has_prev, active, _d(today_date), F.col("y.last_active_date"),
                             F.col("y.date"))
-    base = F.coalesce(F.col("y.dates_active"), empty_array("date"))
     return j.select(
         F.coalesce(F.col("t.user_id"), F.col("y.user_id")).alias("user_id"),
         F.coalesce(F.col("y.first_active_date"), F.col("t.today_date")).alias("first_active_date"),
         F.coalesce(F.col("t.today_date"), F.col("y.last_active_date")).alias("last_active_date"),
         daily.alias("daily_active_state"), weekly.alias("weekly_active_state"),
-        F.when(active, F.concat(base, F.array(F.col("t.today_date")))).otherwise(base)
+        append_if(F.col("y.dates_active"), active, F.col("t.today_date"), "date")
         .alias("dates_active"),
         F.coalesce(F.col("t.today_date"), F.date_add(F.col("y.date"), 1)).alias("date"))
 
@@ -101,7 +101,7 @@ def retention(growth: DataFrame,
               active_states=("Retained", "Resurrected", "New")) -> DataFrame:
     """P25: share of (user, day) rows in an active state by days since the
     user's first active day."""
-    days = F.datediff("date", "first_active_date").cast("bigint")
+    days = days_between(F.col("date"), F.col("first_active_date"))
     return growth.groupBy(days.alias("days_since_first_active")).agg(
         (F.count(F.when(F.col("daily_active_state").isin(list(active_states)), 1))
          / F.count(F.lit(1))).alias("pct_active"),

@@ -34,22 +34,6 @@ DEFAULT_PARAMS = {"Button Color": "blue", "Paragraph Text": "Data Engineering Bo
 EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 # --- end of fixed values ---
 
-SEASON_STATS = T.StructType([
-    T.StructField("season", T.IntegerType()),
-    T.StructField("gp", T.LongType()),
-    T.StructField("pts", T.DoubleType()),
-    T.StructField("reb", T.DoubleType()),
-    T.StructField("ast", T.DoubleType()),
-])
-
-FILM = T.StructType([
-    T.StructField("year", T.IntegerType()),
-    T.StructField("film", T.StringType()),
-    T.StructField("votes", T.LongType()),
-    T.StructField("rating", T.DoubleType()),
-    T.StructField("filmid", T.LongType()),
-])
-
 WEB_EVENT_JSON = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("referrer", T.StringType()),

@@ -68,3 +68,29 @@ def test_bits_compat_drops_today(spark):
     flags = dl.activity_flags(st.select("user_id", F.lit(fixed).alias("datelist_int")),
                               key="user_id").collect()[0]
     assert flags["l32"] == 2 and flags["l7"] == 2 and flags["weekly_active"]
+
+
+def test_small_helpers(spark):
+    from dimstack.functions.arrays import any_list_contains
+    from dimstack.functions.scalar import days_between, split_part
+    df = spark.createDataFrame(
+        [({"a": [D(2024, 1, 1)], "b": [D(2024, 1, 3)]}, "x y", D(2024, 1, 3))],
+        "m map<string,array<date>>, t string, d date")
+    r = df.select(any_list_contains(F.col("m"), F.col("d")).alias("hit"),
+                  any_list_contains(F.col("m"), F.lit(D(2024, 1, 2))).alias("miss"),
+                  split_part("t", " ", 1).alias("second"), split_part("t", " ", 5).alias("none"),
+                  days_between(F.col("d"), F.lit(D(2024, 1, 1))).alias("days")).collect()[0]
+    assert (r.hit, r.miss, r.second, r.none, r.days) == (True, False, "y", None, 2)
+
+
+def test_domains(spark):
+    from dimstack.schemas import DAILY_STATES, EDGE_TYPES, SEASON_STATES, VERTEX_TYPES, check_domain
+    from dimstack.operators.growth import growth_backfill, season_state_changes
+    from dimstack.sources import standins as si
+    from queries.dimensional import players_state
+    sf = "/root/testdata/sf0.001"
+    g = growth_backfill(dl.daily_activity(si.web_events(spark, sf), "user_id"), as_of="2024-01-30")
+    assert check_domain(g, "daily_active_state", DAILY_STATES).count() == 0
+    s = season_state_changes(players_state(spark, sf), key="player_id")
+    assert check_domain(s, "season_state", SEASON_STATES).count() == 0
+    assert "plays_in" in EDGE_TYPES and "team" in VERTEX_TYPES

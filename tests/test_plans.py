@@ -6,7 +6,8 @@ from dimstack.operators import datelist as dl
 from dimstack.operators.joins import bounded_broadcast
 from dimstack.operators.patterns import funnel_conversion
 from dimstack.operators.quality import first_per_key
-from dimstack.plans.inspect import count_exchanges, plan_text, pushed_filters, read_schemas
+from dimstack.plans.inspect import (count_exchanges, has_broadcast, plan_text, pushed_filters,
+                                    read_schemas)
 from dimstack.plans.layout import bucket_join_report
 from dimstack.sources import standins as si
 from dimstack.sources.tables import read_table
@@ -49,6 +50,9 @@ def test_bit_packing_needs_no_join(spark):
 def test_bounded_broadcast_checks_size(spark):
     nation = read_table(spark, SF, "nation")
     assert "broadcast" in plan_text(bounded_broadcast(nation, 100), "extended").lower()
+    region = read_table(spark, SF, "region")
+    assert has_broadcast(region.join(bounded_broadcast(nation, 100),
+                                     region.r_regionkey == nation.n_regionkey))
     big = read_table(spark, SF, "lineitem")
     plain = bounded_broadcast(big, 100)
     assert "ResolvedHint" not in plan_text(plain, "extended")
