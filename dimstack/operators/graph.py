@@ -49,14 +49,21 @@ def player_game_edges(details: DataFrame, *, order_cols: Sequence[str],
 
 def player_partner_totals(details: DataFrame, *, order_cols: Sequence[str],
                           team_col: str = "team_abbreviation",
-                          tie_break: bool = True) -> DataFrame:
+                          tie_break: bool = True, materialize_base: bool = True) -> DataFrame:
     """P10 (re-aimed): per (player, edge_type) the sums over the player's
     pairs: ``partner_games`` (pairs × games), ``own_points``,
     ``partner_points``.  Partners share the game and have a different name;
-    ``shares_team`` when the team is equal, else ``plays_against``."""
+    ``shares_team`` when the team is equal, else ``plays_against``.
+
+    The deduplicated rows feed five branches; with ``materialize_base`` they
+    are written once to the shared checkpoint folder (one dedup of the
+    largest table instead of one per branch)."""
+    from ..plans.days import materialize
     base = first_per_key(details, ["player_id", "game_id"], order_cols,
                          tie_break=tie_break).select(
         "game_id", "player_id", "player_name", F.col(team_col).alias("_team"), "pts")
+    if materialize_base:
+        base = materialize(base, "partner_base")
 
     # finest roster grain; coarser totals are rolled up from it (small)
     gtn = base.groupBy("game_id", "_team", "player_name").agg(

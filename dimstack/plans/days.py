@@ -86,3 +86,17 @@ def run_days(spark: SparkSession, step: Callable[[DataFrame | None, str], DataFr
         prev = (_read(spark, path, table)
                 .where(F.col(partition_col) == F.to_date(F.lit(day))))
     return _read(spark, path, table)
+
+
+def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: an intermediate that several branches of a plan consume is computed
+    once (column pruning can keep Spark from reusing its exchange), and its
+    lineage is cut, so a lost executor does not recompute it from the source."""
+    import uuid
+
+    from ..session import checkpoint_path
+    spark = df.sparkSession
+    path = checkpoint_path(spark, "materialized", f"{name}_{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
