@@ -67,23 +67,30 @@ def grouping_sets_dashboard(events: DataFrame, devices: DataFrame) -> DataFrame:
 
 
 def grouping_sets_games(details: DataFrame, games: DataFrame) -> DataFrame:
-    """Points and wins by (player, team), (player, season), (team)."""
+    """Points and wins by (player, team), (player, season), (team).
+
+    Distinct games are counted in two hash-aggregate phases instead of with
+    COUNT(DISTINCT) (which Spark expands once per distinct aggregate): the
+    grouping sets first group per set *and game*, then each set's rows are
+    counted."""
     g = games.select("game_id", "season", "home_team_id", "visitor_team_id", "home_team_wins")
     j = details.join(g, "game_id")
     won = (((F.col("team_id") == F.col("home_team_id")) & (F.col("home_team_wins") == 1))
            | ((F.col("team_id") == F.col("visitor_team_id")) & (F.col("home_team_wins") == 0)))
     j = j.select("player_name", F.col("team_abbreviation").alias("team"),
                  F.col("season").cast("string").alias("season"), "pts", "game_id",
-                 F.when(won, F.col("game_id")).alias("won_game"))
-    agg = j.groupingSets([["player_name", "team"], ["player_name", "season"], ["team"]],
-                         "player_name", "team", "season").agg(
-        F.sum("pts").alias("total_pts"),
-        F.count_distinct("game_id").alias("n_games"),
-        F.count_distinct("won_game").alias("games_won"),
-        F.grouping("player_name").alias("_gp"), F.grouping("team").alias("_gt"),
-        F.grouping("season").alias("_gs"))
-    level = (F.when((F.col("_gp") == 0) & (F.col("_gt") == 0), "player__team")
-             .when((F.col("_gp") == 0) & (F.col("_gs") == 0), "player__season")
+                 F.when(won, 1).otherwise(0).alias("won"))
+    keys = ["player_name", "team", "season", "game_id"]
+    per_game = j.groupingSets(
+        [["player_name", "team", "game_id"], ["player_name", "season", "game_id"],
+         ["team", "game_id"]], *keys).agg(
+        F.sum("pts").alias("pts"), F.max("won").alias("won"), F.grouping_id().alias("_gid"))
+    agg = per_game.groupBy("_gid", "player_name", "team", "season").agg(
+        F.sum("pts").alias("total_pts"), F.count(F.lit(1)).alias("n_games"),
+        F.sum("won").cast("bigint").alias("games_won"))
+    # grouping_id bits follow (player_name, team, season, game_id); 1 = rolled up
+    level = (F.when(F.col("_gid") == 0b0010, "player__team")
+             .when(F.col("_gid") == 0b0100, "player__season")
              .otherwise("team"))
     return agg.select(level.alias("aggregation_level"),
                       *[F.coalesce(c, F.lit(OVERALL)).alias(c)
