@@ -60,3 +60,25 @@ def test_team_vertex(spark):
     assert rows[0]["properties"] == {"abbreviation": "GSW", "nickname": "Warriors",
                                      "city": "San Francisco", "arena": "Chase Center",
                                      "year_founded": "1900"}
+
+
+def test_jobs_read_and_write_catalog_tables(spark):
+    import uuid
+
+    from dimstack.jobs import run
+    tag = uuid.uuid4().hex[:8]
+    src, dst = f"players_{tag}", f"players_scd_{tag}"
+    spark.createDataFrame([
+        PlayerSeason("Michael Jordan", 2001, "Good"), PlayerSeason("Michael Jordan", 2002, "Good"),
+        PlayerSeason("Michael Jordan", 2003, "Bad"), PlayerSeason("Someone Else", 2003, "Bad"),
+    ]).write.saveAsTable(src)
+    spark.sql(f"CREATE TABLE {dst} (player_name STRING, scoring_class STRING, start_date BIGINT, "
+              "end_date BIGINT) USING parquet")
+    try:
+        run(spark, "player_scd", src, dst)
+        got = sorted(tuple(r) for r in spark.table(dst).collect())
+        assert got == [("Michael Jordan", "Bad", 2003, 2003), ("Michael Jordan", "Good", 2001, 2002),
+                       ("Someone Else", "Bad", 2003, 2003)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {src}")
+        spark.sql(f"DROP TABLE IF EXISTS {dst}")
