@@ -55,13 +55,18 @@ j AS (SELECT d.player_name, d.team_abbreviation AS team, CAST(g.season AS VARCHA
                   THEN d.game_id END AS won_game
       FROM deduped d JOIN games g ON g.game_id = d.game_id),
 sets AS (
-  SELECT CASE WHEN GROUPING(player_name) = 0 AND GROUPING(team) = 0 THEN 'player__team'
-              WHEN GROUPING(player_name) = 0 AND GROUPING(season) = 0 THEN 'player__season'
-              ELSE 'team' END AS aggregation_level,
-         COALESCE(player_name, '(overall)') AS player_name, COALESCE(team, '(overall)') AS team,
-         COALESCE(season, '(overall)') AS season, SUM(pts) AS total_pts,
+  SELECT 'player__team' AS aggregation_level, COALESCE(player_name, '(overall)') AS player_name,
+         COALESCE(team, '(overall)') AS team, '(overall)' AS season, SUM(pts) AS total_pts,
          COUNT(DISTINCT game_id) AS n_games, COUNT(DISTINCT won_game) AS games_won
-  FROM j GROUP BY GROUPING SETS ((player_name, team), (player_name, season), (team)))"""
+  FROM j GROUP BY player_name, team
+  UNION ALL
+  SELECT 'player__season', COALESCE(player_name, '(overall)'), '(overall)',
+         COALESCE(season, '(overall)'), SUM(pts), COUNT(DISTINCT game_id), COUNT(DISTINCT won_game)
+  FROM j GROUP BY player_name, season
+  UNION ALL
+  SELECT 'team', '(overall)', COALESCE(team, '(overall)'), '(overall)', SUM(pts),
+         COUNT(DISTINCT game_id), COUNT(DISTINCT won_game)
+  FROM j GROUP BY team)"""
 
 ORACLES = {
     "growth_accounting": GROWTH + " SELECT * FROM growth",
@@ -95,18 +100,14 @@ SELECT url, COUNT(*) AS n, round(CAST(SUM(converted) AS DOUBLE) / COUNT(*), 6) A
 FROM conv GROUP BY url
 HAVING CAST(SUM(converted) AS DOUBLE) / COUNT(*) > 0 AND COUNT(*) > 100""",
     "grouping_sets_dashboard": DEVICES_AUG + """
-SELECT CASE WHEN GROUPING(os_type) = 0 AND GROUPING(device_type) = 0
-                 AND GROUPING(browser_type) = 0 THEN 'os_type__device_type__browser'
-            WHEN GROUPING(browser_type) = 0 THEN 'browser_type'
-            WHEN GROUPING(device_type) = 0 THEN 'device_type'
-            WHEN GROUPING(os_type) = 0 THEN 'os_type' END AS aggregation_level,
-       COALESCE(os_type, '(overall)') AS os_type,
-       COALESCE(device_type, '(overall)') AS device_type,
-       COALESCE(browser_type, '(overall)') AS browser_type,
-       COUNT(1) AS number_of_hits
-FROM aug
-GROUP BY GROUPING SETS ((browser_type, device_type, os_type), (browser_type), (os_type),
-                        (device_type))""",
+SELECT 'os_type__device_type__browser' AS aggregation_level, os_type, device_type, browser_type,
+       COUNT(*) AS number_of_hits FROM aug GROUP BY os_type, device_type, browser_type
+UNION ALL
+SELECT 'browser_type', '(overall)', '(overall)', browser_type, COUNT(*) FROM aug GROUP BY browser_type
+UNION ALL
+SELECT 'os_type', os_type, '(overall)', '(overall)', COUNT(*) FROM aug GROUP BY os_type
+UNION ALL
+SELECT 'device_type', '(overall)', device_type, '(overall)', COUNT(*) FROM aug GROUP BY device_type""",
     "grouping_sets_games": GAMES_SETS + """
 SELECT aggregation_level, player_name, team, season, round(total_pts, 6) AS total_pts,
        n_games, games_won FROM sets""",
@@ -116,57 +117,63 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY aggregation_level
         ORDER BY total_pts DESC, player_name DESC, team DESC, season DESC) AS rn FROM sets)
 WHERE rn = 1""",
     "referrer_trend": DEVICES_AUG + """,
-chan AS (SELECT url, CAST(event_time AS DATE) AS event_date,
-                CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin'
-                     WHEN referrer LIKE '%t.co%' THEN 'Twitter'
-                     WHEN referrer LIKE '%google%' THEN 'Google'
-                     WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
-                     WHEN referrer LIKE '%eczachly%' THEN 'On Site'
-                     WHEN referrer LIKE '%zachwilson%' THEN 'On Site'
-                     ELSE referrer END AS referrer
-         FROM aug),
-agg AS (SELECT url, referrer, event_date, COUNT(1) AS count FROM chan GROUP BY 1, 2, 3),
-win AS (SELECT referrer, url, event_date, count,
-          SUM(count) OVER (PARTITION BY referrer, url, date_trunc('month', event_date)
-              ORDER BY event_date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS weekly_rolling_count,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              ROWS BETWEEN 13 PRECEDING AND 6 PRECEDING) AS previous_weekly_rolling_count
-        FROM agg)
-SELECT referrer, url, event_date, count, CAST(weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
-       CAST(previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
-       round(CAST(count AS DOUBLE) / m, 6) AS pct_of_month,
-       round(CAST(count AS DOUBLE) / total, 6) AS pct_of_total
-FROM win WHERE total > 100 AND referrer IS NOT NULL""",
+rules(prio, pattern, label) AS (VALUES (1, '%linkedin%', 'Linkedin'), (2, '%t.co%', 'Twitter'),
+    (3, '%google%', 'Google'), (4, '%lnkd%', 'Linkedin'), (5, '%eczachly%', 'On Site'),
+    (6, '%zachwilson%', 'On Site')),
+chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
+                COALESCE((SELECT r.label FROM rules r WHERE e.referrer LIKE r.pattern
+                          ORDER BY r.prio LIMIT 1), e.referrer) AS referrer
+         FROM aug e),
+agg AS (SELECT url, referrer, event_date, COUNT(*) AS count,
+               ROW_NUMBER() OVER (PARTITION BY referrer, url ORDER BY event_date) AS d
+        FROM chan GROUP BY url, referrer, event_date),
+tot AS (SELECT referrer, url, SUM(count) AS total FROM agg GROUP BY referrer, url),
+mon AS (SELECT referrer, url, date_trunc('month', event_date) AS m, SUM(count) AS month_total
+        FROM agg GROUP BY referrer, url, date_trunc('month', event_date)),
+roll AS (SELECT a.referrer, a.url, a.event_date,
+                SUM(CASE WHEN b.d BETWEEN a.d - 6 AND a.d THEN b.count END) AS weekly_rolling_count,
+                SUM(CASE WHEN b.d BETWEEN a.d - 13 AND a.d - 6 THEN b.count END) AS previous_weekly_rolling_count
+         FROM agg a JOIN agg b ON b.referrer = a.referrer AND b.url = a.url
+         GROUP BY a.referrer, a.url, a.event_date)
+SELECT a.referrer, a.url, a.event_date, a.count,
+       CAST(r.weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
+       CAST(r.previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
+       round(CAST(a.count AS DOUBLE) / m.month_total, 6) AS pct_of_month,
+       round(CAST(a.count AS DOUBLE) / t.total, 6) AS pct_of_total
+FROM agg a
+JOIN roll r ON r.referrer = a.referrer AND r.url = a.url AND r.event_date = a.event_date
+JOIN tot t ON t.referrer = a.referrer AND t.url = a.url
+JOIN mon m ON m.referrer = a.referrer AND m.url = a.url AND m.m = date_trunc('month', a.event_date)
+WHERE t.total > 100 AND a.referrer IS NOT NULL""",
     "referrer_trend_calendar": DEVICES_AUG + """,
-chan AS (SELECT url, CAST(event_time AS DATE) AS event_date,
-                CASE WHEN referrer LIKE '%linkedin%' THEN 'Linkedin'
-                     WHEN referrer LIKE '%t.co%' THEN 'Twitter'
-                     WHEN referrer LIKE '%google%' THEN 'Google'
-                     WHEN referrer LIKE '%lnkd%' THEN 'Linkedin'
-                     WHEN referrer LIKE '%eczachly%' THEN 'On Site'
-                     WHEN referrer LIKE '%zachwilson%' THEN 'On Site'
-                     ELSE referrer END AS referrer
-         FROM aug),
-agg AS (SELECT url, referrer, event_date, COUNT(1) AS count FROM chan GROUP BY 1, 2, 3),
-win AS (SELECT referrer, url, event_date, count,
-          SUM(count) OVER (PARTITION BY referrer, url, date_trunc('month', event_date)
-              ORDER BY event_date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS total,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS weekly_rolling_count,
-          SUM(count) OVER (PARTITION BY referrer, url ORDER BY event_date
-              RANGE BETWEEN INTERVAL 13 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS previous_weekly_rolling_count
-        FROM agg)
-SELECT referrer, url, event_date, count, CAST(weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
-       CAST(previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
-       round(CAST(count AS DOUBLE) / m, 6) AS pct_of_month,
-       round(CAST(count AS DOUBLE) / total, 6) AS pct_of_total
-FROM win WHERE total > 100 AND referrer IS NOT NULL""",
+rules(prio, pattern, label) AS (VALUES (1, '%linkedin%', 'Linkedin'), (2, '%t.co%', 'Twitter'),
+    (3, '%google%', 'Google'), (4, '%lnkd%', 'Linkedin'), (5, '%eczachly%', 'On Site'),
+    (6, '%zachwilson%', 'On Site')),
+chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
+                COALESCE((SELECT r.label FROM rules r WHERE e.referrer LIKE r.pattern
+                          ORDER BY r.prio LIMIT 1), e.referrer) AS referrer
+         FROM aug e),
+agg AS (SELECT url, referrer, event_date, COUNT(*) AS count,
+               CAST(event_date - DATE '1970-01-01' AS BIGINT) AS d
+        FROM chan GROUP BY url, referrer, event_date),
+tot AS (SELECT referrer, url, SUM(count) AS total FROM agg GROUP BY referrer, url),
+mon AS (SELECT referrer, url, date_trunc('month', event_date) AS m, SUM(count) AS month_total
+        FROM agg GROUP BY referrer, url, date_trunc('month', event_date)),
+roll AS (SELECT a.referrer, a.url, a.event_date,
+                SUM(CASE WHEN b.d BETWEEN a.d - 6 AND a.d THEN b.count END) AS weekly_rolling_count,
+                SUM(CASE WHEN b.d BETWEEN a.d - 13 AND a.d - 7 THEN b.count END) AS previous_weekly_rolling_count
+         FROM agg a JOIN agg b ON b.referrer = a.referrer AND b.url = a.url
+         GROUP BY a.referrer, a.url, a.event_date)
+SELECT a.referrer, a.url, a.event_date, a.count,
+       CAST(r.weekly_rolling_count AS BIGINT) AS weekly_rolling_count,
+       CAST(r.previous_weekly_rolling_count AS BIGINT) AS previous_weekly_rolling_count,
+       round(CAST(a.count AS DOUBLE) / m.month_total, 6) AS pct_of_month,
+       round(CAST(a.count AS DOUBLE) / t.total, 6) AS pct_of_total
+FROM agg a
+JOIN roll r ON r.referrer = a.referrer AND r.url = a.url AND r.event_date = a.event_date
+JOIN tot t ON t.referrer = a.referrer AND t.url = a.url
+JOIN mon m ON m.referrer = a.referrer AND m.url = a.url AND m.m = date_trunc('month', a.event_date)
+WHERE t.total > 100 AND a.referrer IS NOT NULL""",
     "best_stretch": with_standins("games") + """,
 rows_ AS (SELECT home_team_id AS team_id, game_date_est, game_id, home_team_wins AS won FROM games
           UNION ALL

@@ -41,17 +41,15 @@ PLAYERS_OUT = """SELECT player_id, player_name, country, current_season, n_seaso
 
 def scd_sql(as_of: int) -> str:
     return PLAYERS + f""",
-marked AS (
+islands AS (
   SELECT player_id, scoring_class, is_active, current_season,
-         CASE WHEN LAG(current_season) OVER w IS NULL
-                OR LAG(scoring_class) OVER w IS DISTINCT FROM scoring_class
-                OR LAG(is_active) OVER w IS DISTINCT FROM is_active THEN 1 ELSE 0 END AS chg
-  FROM players WHERE current_season <= {as_of}
-  WINDOW w AS (PARTITION BY player_id ORDER BY current_season)),
-ids AS (SELECT *, SUM(chg) OVER (PARTITION BY player_id ORDER BY current_season) AS sid FROM marked)
+         ROW_NUMBER() OVER (PARTITION BY player_id ORDER BY current_season)
+         - ROW_NUMBER() OVER (PARTITION BY player_id, scoring_class, is_active
+                              ORDER BY current_season) AS island
+  FROM players WHERE current_season <= {as_of})
 SELECT player_id, scoring_class, is_active, MIN(current_season) AS start_period,
        MAX(current_season) AS end_period, CAST({as_of} AS BIGINT) AS current_period
-FROM ids GROUP BY player_id, scoring_class, is_active, sid"""
+FROM islands GROUP BY player_id, scoring_class, is_active, island"""
 
 
 FILMS = with_standins("entity_films") + f""",
@@ -95,15 +93,14 @@ SELECT e.player_id,
 FROM ends e JOIN entity_seasons a ON a.player_id = e.player_id AND a.season = e.s0
 JOIN entity_seasons b ON b.player_id = e.player_id AND b.season = e.s1""",
     "scd2_backfill": PLAYERS + """,
-marked AS (
+islands AS (
   SELECT player_id, scoring_class, current_season,
-         CASE WHEN LAG(scoring_class) OVER w IS NULL OR LAG(scoring_class) OVER w <> scoring_class
-              THEN 1 ELSE 0 END AS chg
-  FROM players WINDOW w AS (PARTITION BY player_id ORDER BY current_season)),
-ids AS (SELECT *, SUM(chg) OVER (PARTITION BY player_id ORDER BY current_season) AS sid FROM marked)
+         ROW_NUMBER() OVER (PARTITION BY player_id ORDER BY current_season)
+         - ROW_NUMBER() OVER (PARTITION BY player_id, scoring_class ORDER BY current_season) AS island
+  FROM players)
 SELECT player_id, scoring_class, MIN(current_season) AS start_period,
        MAX(current_season) AS end_period
-FROM ids GROUP BY player_id, scoring_class, sid""",
+FROM islands GROUP BY player_id, scoring_class, island""",
     "scd2_backfill_multi": scd_sql(LAST),
     "scd2_incremental": scd_sql(STEP),
     "team_vertices": with_standins("teams") + """
