@@ -167,14 +167,18 @@ def session_stats(sessions_df: DataFrame, by: str = "host") -> DataFrame:
 # --- running ---------------------------------------------------------------
 
 def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
-                  checkpoint: str | None = None, extra_sinks=None) -> DataFrame:
+                  checkpoint: str | None = None, extra_sinks=None,
+                  state_partitions: int | None = None) -> DataFrame:
     """Run a streaming frame over all available input (``availableNow``),
     writing each micro-batch to Parquet at ``sink_path``; ``extra_sinks`` is a
     list of ``(path, fn)``: each batch also writes ``fn(batch)`` there (T05).
 
     Writes are idempotent, so a micro-batch replayed after a failure does not
     duplicate rows: complete mode overwrites the sink, append mode overwrites
-    the batch's own ``epoch=<id>`` folder.  Returns the sink read back."""
+    the batch's own ``epoch=<id>`` folder.  ``state_partitions`` sizes the
+    state store of a stateful query (fixed for the life of its checkpoint);
+    the session setting is changed only while the query starts.  Returns the
+    sink read back."""
     spark = df.sparkSession
     checkpoint = checkpoint or checkpoint_path(spark, "streams", uuid.uuid4().hex)
     targets = [(sink_path, None), *(extra_sinks or [])]
@@ -187,8 +191,15 @@ def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
             else:
                 out.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    q = (df.writeStream.outputMode(output_mode).foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = (df.writeStream.outputMode(output_mode).foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     return read_sink(spark, sink_path)
 

@@ -27,6 +27,11 @@ def _sink(spark, name):
     return checkpoint_path(spark, "sinks", f"{name}_{uuid.uuid4().hex[:10]}")
 
 
+def _parallelism(spark):
+    """State-store partitions for the test streams: one per core."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _ntz(df, *cols):
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
                        for c in df.columns])
@@ -49,7 +54,7 @@ def q_stream_geo(spark, sf_dir):
 def _tumbling(spark, sf_dir):
     agg = sj.tumbling_counts(_parsed(spark, sf_dir), ["host", "referrer"])
     main, hosts = _sink(spark, "host_referrer"), _sink(spark, "host")
-    sj.run_available(agg, main, output_mode="complete",
+    sj.run_available(agg, main, output_mode="complete", state_partitions=_parallelism(spark),
                      extra_sinks=[(hosts, sj.host_counts_from_referrer_counts)])
     return sj.read_sink(spark, main), sj.read_sink(spark, hosts)
 
@@ -65,13 +70,15 @@ def q_stream_tumbling_host_referrer(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     d = sj.dedup_within_watermark(_parsed(spark, sf_dir).where(F.col("ip").isNotNull()),
                                   ["ip", "event_timestamp"])
-    out = sj.run_available(d.select("ip", "event_timestamp", "url", "host"), _sink(spark, "dedup"))
+    out = sj.run_available(d.select("ip", "event_timestamp", "url", "host"), _sink(spark, "dedup"),
+                           state_partitions=_parallelism(spark))
     return finalize(_ntz(out, "event_timestamp"))
 
 
 def _sessions(spark, sf_dir):
     s = sj.sessions(_parsed(spark, sf_dir), ["ip", "host"], gap=SESSION_GAP)
-    return sj.run_available(s, _sink(spark, "sessions"), output_mode="complete")
+    return sj.run_available(s, _sink(spark, "sessions"), output_mode="complete",
+                            state_partitions=_parallelism(spark))
 
 
 def q_stream_sessions(spark, sf_dir):
