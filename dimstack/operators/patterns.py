@@ -140,30 +140,63 @@ def referrer_trend(events: DataFrame, devices: DataFrame, *, min_total: int = 50
             .drop("_total"))
 
 
-def running_index(df: DataFrame, *, key: str, bucket: Column, order: Sequence[str],
-                  flag: Column) -> DataFrame:
+def running_index(df: DataFrame, *, key: str | Sequence[str], bucket: Column,
+                  order: Sequence[str], flag: Column) -> DataFrame:
     """Position ``_idx`` (0-based) of each row within its ``key`` in the order
     (``bucket``, ``order``...), and ``_cum``, the running sum of ``flag``
     through the row — without putting a key's rows into one task.
 
-    ``bucket`` must be monotone in the order (a day, or an id divided by a
-    width).  Two levels: prefix sums over the per-(key, bucket) totals (at
-    most one row per bucket of a key), joined back, plus a numbering inside
-    each small (key, bucket) group.  A key holding a third of all rows is
-    spread over its buckets."""
+    ``bucket`` must be monotone in the order (a day, an hour, or an id divided
+    by a width).  Two levels: prefix sums over the per-(key, bucket) totals
+    (at most one row per bucket of a key), joined back, plus a numbering
+    inside each small (key, bucket) group.  A key holding a third of all rows
+    is spread over its buckets."""
+    keys = [key] if isinstance(key, str) else list(key)
     rows = df.withColumn("_b", bucket).withColumn("_f", flag.cast("bigint"))
-    per_bucket = rows.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"),
-                                             F.sum("_f").alias("_s"))
-    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(key, "_b",
+    per_bucket = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
+                                               F.sum("_f").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*keys, "_b",
                                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
                                 F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"))
-    inner = Window.partitionBy(key, "_b").orderBy(*order)
+    inner = Window.partitionBy(*keys, "_b").orderBy(*order)
     local = inner.rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.join(offsets, [key, "_b"])
+    return (rows.join(offsets, [*keys, "_b"])
             .withColumn("_idx", F.col("_n0") + F.row_number().over(inner) - 1)
             .withColumn("_cum", F.col("_s0") + F.sum("_f").over(local))
-            .drop("_b", "_n0", "_s0"))
+            .drop("_b", "_n0", "_s0", "_f"))
+
+
+def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
+                   ts_col: str = "event_timestamp", bucket_seconds: int = 3600) -> DataFrame:
+    """P42 on a batch: sessions by ``keys`` with an inactivity gap, the same
+    result as streaming ``session_window`` (a gap equal to ``gap_seconds``
+    does not split; a session ends ``gap_seconds`` after its last event).
+
+    Skew-safe: events are numbered per key with ``running_index`` (time
+    buckets), each event finds its predecessor by an equi-join on (key,
+    index − 1), session starts are flagged by the gap, and a second running
+    index numbers the sessions — no task holds a whole key."""
+    keys = list(keys)
+    ts = F.col(ts_col)
+    base = events.select(*keys, ts_col).where(ts.isNotNull())
+    # bucket and gap from timestamp differences: no conversion through the
+    # session time zone (a DST change would otherwise shift wall-clock gaps)
+    origin = F.lit("1970-01-01 00:00:00").cast(base.schema[ts_col].dataType)
+    bucket = F.floor(F.timestamp_diff("SECOND", origin, ts) / bucket_seconds)
+    idx = running_index(base, key=keys, bucket=bucket, order=[ts_col], flag=F.lit(0)) \
+        .select(*keys, ts_col, "_idx")
+    prev = idx.select(*keys, (F.col("_idx") + 1).alias("_idx"), F.col(ts_col).alias("_prev"))
+    gap = F.timestamp_diff("MICROSECOND", F.col("_prev"), ts)
+    marked = idx.join(prev, [*keys, "_idx"], "left").select(
+        *keys, ts_col, (F.col("_prev").isNull() | (gap > gap_seconds * 1_000_000)).alias("_start"))
+    numbered = running_index(marked, key=keys, bucket=bucket, order=[ts_col],
+                             flag=F.col("_start"))
+    return (numbered.groupBy(*keys, "_cum").agg(
+        F.min(ts_col).alias("session_start"),
+        (F.max(ts_col) + F.make_interval(secs=F.lit(gap_seconds))).alias("session_end"),
+        F.count(F.lit(1)).alias("num_events"))
+        .drop("_cum"))
 
 
 def best_stretch(games: DataFrame, *, n: int = 90) -> DataFrame:

@@ -21,6 +21,12 @@ sess AS (SELECT ip, host, MIN(event_timestamp) AS session_start,
                 MAX(event_timestamp) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS num_events
          FROM ids GROUP BY ip, host, sid)"""
 
+
+# the batch job reads the raw (microsecond) event times, not the stream's text
+SESSIONS_RAW = PARSED.replace(
+    "date_trunc('millisecond', event_time) AS event_timestamp", "event_time AS event_timestamp"
+) + SESSIONS[len(PARSED):]
+
 ORACLES = {
     "stream_parse": PARSED + " SELECT * FROM parsed",
     "stream_geo": PARSED + """
@@ -39,6 +45,7 @@ SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS event_hour, host, refe
        COUNT(host) AS num_hits
 FROM parsed GROUP BY 1, 2, 3""",
     "stream_sessions": SESSIONS + " SELECT * FROM sess",
+    "sessions_batch": SESSIONS_RAW + " SELECT * FROM sess",
     "stream_dedup": PARSED + """
 SELECT ip, event_timestamp, url, host
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ip, event_timestamp ORDER BY url, host) AS rn

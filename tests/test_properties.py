@@ -216,3 +216,16 @@ def test_materialize_cuts_lineage(spark):
     text = plan_text(m, "simple")
     assert "lineitem" not in text and "Exchange" not in text
     assert m.count() == df.count()
+
+
+def test_batch_sessions_equal_session_window(spark):
+    from dimstack.operators.patterns import sessions_batch
+    from dimstack.streaming.jobs import sessions
+    ev = si.web_events(spark, SF).select("ip", "host", F.col("event_time").alias("event_timestamp"))
+    mine = sessions_batch(ev, ["ip", "host"], gap_seconds=1800)
+    ref = sessions(ev.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")),
+                   ["ip", "host"], gap="30 minutes").select(
+        "ip", "host", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events")
+    cols = ["ip", "host", "session_start", "session_end", "num_events"]
+    assert _rows(mine.select(*cols), cols) == _rows(ref.select(*cols), cols)
