@@ -168,7 +168,8 @@ def running_index(df: DataFrame, *, key: str | Sequence[str], bucket: Column,
 
 
 def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
-                   ts_col: str = "event_timestamp", bucket_seconds: int = 3600) -> DataFrame:
+                   ts_col: str = "event_timestamp", bucket_seconds: int = 3600,
+                   materialize_index: bool = True) -> DataFrame:
     """P42 on a batch: sessions by ``keys`` with an inactivity gap, the same
     result as streaming ``session_window`` (a gap equal to ``gap_seconds``
     does not split; a session ends ``gap_seconds`` after its last event).
@@ -176,7 +177,9 @@ def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
     Skew-safe: events are numbered per key with ``running_index`` (time
     buckets), each event finds its predecessor by an equi-join on (key,
     index − 1), session starts are flagged by the gap, and a second running
-    index numbers the sessions — no task holds a whole key."""
+    index numbers the sessions — no task holds a whole key.  The first index
+    feeds both sides of the predecessor join; with ``materialize_index`` it
+    is written once to the shared checkpoint folder."""
     keys = list(keys)
     ts = F.col(ts_col)
     base = events.select(*keys, ts_col).where(ts.isNotNull())
@@ -186,6 +189,9 @@ def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
     bucket = F.floor(F.timestamp_diff("SECOND", origin, ts) / bucket_seconds)
     idx = running_index(base, key=keys, bucket=bucket, order=[ts_col], flag=F.lit(0)) \
         .select(*keys, ts_col, "_idx")
+    if materialize_index:
+        from ..plans.days import materialize
+        idx = materialize(idx, "session_index")
     prev = idx.select(*keys, (F.col("_idx") + 1).alias("_idx"), F.col(ts_col).alias("_prev"))
     gap = F.timestamp_diff("MICROSECOND", F.col("_prev"), ts)
     marked = idx.join(prev, [*keys, "_idx"], "left").select(
