@@ -205,12 +205,14 @@ def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
         .drop("_cum"))
 
 
-def best_stretch(games: DataFrame, *, n: int = 90) -> DataFrame:
+def best_stretch(games: DataFrame, *, n: int = 90, materialize_index: bool = True) -> DataFrame:
     """Most wins of each team in any ``n`` consecutive games (by date,
     then id).  Home and away rows come from one scan (inline of a 2-element
     array).  Wins in the ``n`` games ending at row i are cum(i) − cum(i − n),
     the second found by an equi-join on (team, idx): no window spans a whole
-    team (a few teams hold all games)."""
+    team (a few teams hold all games).  The index feeds both sides of that
+    join; with ``materialize_index`` it is written once to the shared
+    checkpoint folder."""
     rows = games.select(
         "game_id", "game_date_est",
         F.inline(F.array(
@@ -220,6 +222,9 @@ def best_stretch(games: DataFrame, *, n: int = 90) -> DataFrame:
                      (1 - F.col("home_team_wins")).alias("won")))))
     idx = running_index(rows, key="team_id", bucket=F.col("game_date_est"),
                         order=["game_id"], flag=F.col("won")).select("team_id", "_idx", "_cum")
+    if materialize_index:
+        from ..plans.days import materialize
+        idx = materialize(idx, "stretch_index")
     earlier = idx.select("team_id", (F.col("_idx") + n).alias("_idx"),
                          F.col("_cum").alias("_cum_before"))
     wins = idx.join(earlier, ["team_id", "_idx"], "left").select(
