@@ -57,7 +57,9 @@ def main():
            "Counts are operators in the initial adaptive plan; at run time AQE may convert a",
            "sort-merge join to a broadcast join once it has measured the smaller side, and",
            "reuses identical exchanges. The report queries (P33, P34) and the streaming",
-           "queries are omitted.", "",
+           "queries are omitted. Queries that materialize an intermediate (player_partner_totals,",
+           "best_stretch, sessions_batch) write it while the plan is built; their counts cover",
+           "the plan that reads the written intermediate.", "",
            "Columns:",
            "* `shuffles`: hash/range exchanges.",
            "* `reused`: exchanges reused within the plan.",
