@@ -1,6 +1,17 @@
 """DuckDB SQL for the operators that SQL can express in reasonable time."""
 
 ORACLES = {
+    "op2_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), last AS (
+  SELECT html, max(page_id) AS response FROM p WHERE n >= 1000 GROUP BY html
+)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM p LEFT JOIN last ON p.html = last.html AND n >= 1000
+""",
     "op9_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, rid, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, packing, quality, simhash, toxicity
+from . import decontam, html_extract, line_dedup, packing, pii, quality, simhash, suffix_dedup, toxicity, warc
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,12 +18,31 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_* and base_sha256 cover the base spans, spans all of them."""
+    found = pii.find_pii(_documents(spark, sf_dir), pii.fit_pii(spark), ["doc_id"])
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS],
+                        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.spans_text(pii.in_order(F.concat("base", "added"))).alias("spans"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and test item that it holds a copy of."""
     found = decontam.leaks(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "end_word", "n_passages")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_documents(spark, sf_dir), keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -38,6 +57,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(_documents(spark, sf_dir), shingle=4, distance=4)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,5 +79,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op5_quality_rules, op6_toxicity,
+    op1_pii, op2_warc, op3_benchmark_decontamination, op4_suffix_array_dedup, op5_quality_rules,
+    op6_toxicity, op7_html_extraction,
     op8_simhash_near_dedup, op9_line_dedup, op10_best_fit_packing)}
