@@ -9,7 +9,7 @@ score passes their kind's calibrated threshold.
 from __future__ import annotations
 
 import re
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +33,9 @@ OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20?|\x20at\x20|\x20?@\x20?)"
              r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?|\x20dot\x20|\x20?\.)[A-Za-z0-9-]{1,63}){1,6}",
-    "ip": r"(?<![0-9.])[0-9]{1,4}(?:\x20?(?:\.|\[\.\]|\(\.\)|\x20dot\x20|,)\x20?[0-9]{1,4}){3}(?![0-9]|\.[0-9])",
+    "ip": r"(?<![0-9.])[0-9]{1,4}(?:\x20?(?:\.|\[\.\]|\(\.\)|\x20dot\x20)\x20?[0-9]{1,4}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20._/ -]{0,2}[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[(]?[0-9](?:[\x20(). /-]{0,2}[0-9]){6,14}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z]|[0-9][ ./-])(?:\+|00)?[(]?[0-9](?:[\x20(). /-]{0,2}[0-9]){6,14}(?![ ./-]?[0-9]|[A-Za-z])",
 }
 LOOSE_NEEDS = {"email": r"(?i)@|\bat\b", "ip": "[0-9][^0-9]", "card": "[0-9]", "phone": "[0-9]"}
 
@@ -113,6 +113,13 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def plausible(kind: str, value: Column) -> Column:
+    """The number check that a looser candidate has to pass as well."""
+    if kind == "ip":
+        return F.forall(F.filter(F.split(value, "[^0-9]+"), lambda g: g != ""), lambda g: g.rlike(rf"^{OCTET}$"))
+    return valid(kind, value)
+
+
 def base_spans(text: Column, kind: str) -> Column:
     return F.filter(spans(text, BASE[kind], NEEDS[kind]), lambda s: valid(kind, s["value"]))
 
@@ -189,7 +196,7 @@ BEFORE = {1: {"email": ["email: ", "contact me: ", "write to ", "and ", "", ". "
           0: {k: ["order ", "version ", "and ", "the ", "", "section ", "ref. ", "id: "] for k in KINDS}}
 #: Share of negatives that a kind's threshold lets pass at most.
 PASS_NEGATIVES = 0.005
-TREES, DEPTH = 20, 4
+TREES, DEPTH = 16, 3
 
 
 def training_candidates(spark: SparkSession) -> DataFrame:
@@ -252,8 +259,9 @@ class PiiModel:
     def score(self, x: Column) -> Column:
         return reduce(lambda a, b: a + b, [_tree(t, x) * F.lit(w) for t, w in zip(self.trees, self.weights)])
 
-    def selects(self, kind: str, x: Column) -> Column:
-        return self.score(x) > F.lit(self.thresholds[kind])
+    def selects(self, kind: Column, x: Column) -> Column:
+        bound = reduce(lambda rest, k: F.when(kind == k, F.lit(self.thresholds[k])).otherwise(rest), KINDS, F.lit(0.0))
+        return self.score(x) > bound
 
 
 def fit_pii(spark: SparkSession) -> PiiModel:
@@ -291,19 +299,27 @@ def find_pii(docs: DataFrame, model: PiiModel, keep: list[str], text_col: str =
     named = lambda kind, found: F.transform(found, lambda s: F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
 
-    def loose(kind):
-        def scored(rest):
-            found = spans(rest, LOOSE[kind], LOOSE_NEEDS[kind])
-            return named(kind, F.filter(found, lambda s: model.selects(
-                kind, features(F.lit(kind), s["value"], s["before"], s["after"]))))
-        return scored
+    def is_plausible(kind):
+        return lambda s: plausible(kind, s["value"])
+
+    def of_kind(kind):
+        return lambda s: s.withField("kind", F.lit(kind))
+
+    def candidates(rest):
+        found = [F.transform(F.filter(spans(rest, LOOSE[k], LOOSE_NEEDS[k]), is_plausible(k)),
+                             of_kind(k)) for k in KINDS]
+        return F.filter(F.concat(*found), lambda s: let(
+            features(s["kind"], s["value"], s["before"], s["after"]), lambda x: model.selects(s["kind"], x)))
+
+    def blanked(kind):
+        return lambda t: masked(t, kind)
 
     rest = text
     for kind in KINDS:
-        rest = let(rest, partial(masked, kind=kind))
+        rest = let(rest, blanked(kind))
     might = text.rlike(r"(?i)[0-9]|@|\bat\b")
     base = F.concat(*[named(k, base_spans(text, k)) for k in KINDS])
-    added = let(rest, lambda r: F.concat(*[loose(k)(r) for k in KINDS]))
+    added = F.transform(let(rest, candidates), lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
     return src.select(*keep, F.when(might, base).otherwise(empty).alias("base"),
                       F.when(might, added).otherwise(empty).alias("added"))

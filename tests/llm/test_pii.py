@@ -1,0 +1,84 @@
+"""PII spans: the base patterns against plain Python regexes, the added spans
+on written-out formats, redaction, long texts."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimstack.llm import pii, queries
+
+SF = "/root/testdata/sf0.01"
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])) % 10 == 0
+
+
+def passes(kind, value):
+    d = re.sub(r"[^0-9]", "", value)
+    return {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in value.split(".")),
+            "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k in pii.KINDS for m in re.finditer(PLAIN[k], text or "") if passes(k, m[0])]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return pii.fit_pii(spark)
+
+
+TEXTS = [None, "", "nothing here", "é a.b@c.de, x@y.z.w-1@q.r and a@b.c_d@e.f", "1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.04 1.2.3.4444",
+         "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 0000000000000", "+1 (988) 555-2485 +12 34 +123456789012345678",
+         "++1 234 567 890- +(1) 2", "@@ a@ @b.c a@b a@b..c a@.b", "ö" * 300 + " 8.8.8.8 " + "ü" * 5 + "+49 (30) 1234-567.",
+         " ".join(f"u{i}@h{i}.org 10.0.{i % 300}.1" for i in range(700)), "1" * 20000, "a." * 20000 + "@b", "x@" + "a.b" * 9000,
+         "1-" * 9000, "+" * 5000 + "1", "a@b.c" * 3 + "1.1.1.1" * 3]
+
+
+def test_base_spans(spark, model):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "x"), (None, TEXTS[4], "y")],
+                                 "doc_id long, text string, base string")
+    got = pii.find_pii(docs, model, ["doc_id"]).collect()
+    want = [(i, brute(t)) for i, t in enumerate(TEXTS)] + [(3, brute(TEXTS[3])), (None, brute(TEXTS[4]))]
+    as_text = lambda rows: sorted(map(str, rows))
+    assert as_text((r.doc_id, [(s.kind, s.start, s.end) for s in r.base]) for r in got) == as_text(want)
+    for r in got:
+        if r.doc_id is not None:
+            assert all(TEXTS[r.doc_id][s.start:s.end] == s.value for s in [*r.base, *r.added])
+    assert pii.find_pii(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_added_spans(spark, model):
+    found = {"write to jane.doe (at) example (dot) com please": "email:9:40", "call (415) 555-2671 now": "phone:5:19",
+             "host 10[.]20[.]30[.]40 is up": "ip:5:22", "my card number is 4111.1111.1111.1111 ok": "card:18:37"}
+    clean = ["On 2024-01-15 we met at 10.30", "version 3.14.15 of the file", "he was at home. dot the line", "CC BY-NC 4.0",
+             "order 20240115", "pages 12, 13, 14, 15 of it", "token = 0641917ea4e9feb9cda83477b57ac2654884f485", "years 1999-2004"]
+    docs = spark.createDataFrame([(t,) for t in [*found, *clean]], "text string")
+    got = {r.text: r.s for r in pii.find_pii(docs, model, ["text"]).select("text", pii.spans_text(F.col("added")).alias("s")).collect()}
+    assert {t: got[t] for t in found} == found
+    assert [t for t in clean if got[t]] == []
+
+
+def test_redaction(spark, model):
+    docs = spark.createDataFrame([(1, "é a@b.cd and +1 (988) 555-2485!"), (2, None), (3, "clean")], "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
+    assert got == {1: "é <EMAIL> and <PHONE>!", 2: None, 3: "clean"}
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op1_pii(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute(texts[r.doc_id])
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(w[0] == k for w in want) for k in pii.KINDS]
+        assert set(line.split(",")) <= set(r.spans.split(",")) or not line
+    plan = queries.op1_pii(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
