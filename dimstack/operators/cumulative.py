@@ -71,12 +71,14 @@ def cumulative_backfill(rows: DataFrame, *, key: str, period: str,
                         history_col: str = "seasons",
                         state_period: str = "current_season") -> DataFrame:
     """One row per (key, period) from the key's first period through
-    ``last_period``; history = structs of periods <= that period.
+    ``last_period``; history = structs of periods <= that period.  Rows after
+    ``last_period`` (or without a period) take no part; a key that has no
+    others has no rows.
 
     ``period`` must be one of ``struct_cols``.  Static columns are the MAX per
     key, as in the reference backfill.
     """
-    per_key = rows.groupBy(key).agg(
+    per_key = rows.where(F.col(period) <= last_period).groupBy(key).agg(
         F.min(period).alias("_first"),
         *[F.max(c).alias(c) for c in static_cols],
         F.array_sort(F.collect_list(_struct(struct_cols))).alias("_all"),
@@ -112,7 +114,7 @@ def cumulative_backfill_multi(rows: DataFrame, *, key: str, period: str,
     every item: a prolific key would otherwise pile all its rows into one
     record (the items stay in the fact table).  The class comes from the
     latest period's average rating (the homework's rule, Q21)."""
-    per_period = rows.groupBy(key, period).agg(
+    per_period = rows.where(F.col(period) <= last_period).groupBy(key, period).agg(
         *[F.max(c).alias(c) for c in static_cols],
         F.count(F.lit(1)).alias("n_items"),
         F.avg(rating_col).alias(f"avg_{rating_col}"),

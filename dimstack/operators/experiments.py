@@ -8,7 +8,7 @@ parameter list turned into a CASE expression: no join, nothing broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_bucket
@@ -53,34 +53,46 @@ def assign(users: DataFrame, *, experiment: str, salt: str | None = None,
                       _param(F.col("cell"), cells, "Paragraph Text").alias("paragraph_text"))
 
 
-def exposures(events: DataFrame, assignments: DataFrame, *, exposure_url: str = "/signup",
-              event_name: str = EXPOSURE_EVENT) -> DataFrame:
-    """Exposure events: a visit of ``exposure_url`` by an assigned user."""
+def with_cell(rows: DataFrame, *, experiment: str, salt: str | None = None,
+              cells=DEFAULT_CELLS, user_col: str = "user_id") -> DataFrame:
+    """``rows`` with ``experiment`` and ``cell``: the cell is a function of the
+    user alone, so no assignment table has to be joined."""
+    salt = f":{experiment}" if salt is None else salt
+    return (rows.withColumn("experiment", F.lit(experiment))
+            .withColumn("cell", _cell_of(hash_bucket(F.col(user_col), salt, 100), cells)))
+
+
+def exposures(events: DataFrame, *, experiment: str, exposure_url: str = "/signup",
+              event_name: str = EXPOSURE_EVENT, **assignment) -> DataFrame:
+    """Exposure events: a visit of ``exposure_url`` by a user, with the cell."""
     e = events.where((F.col("url") == exposure_url) & F.col("user_id").isNotNull())
-    return e.join(assignments.select("user_id", "experiment", "cell"), "user_id").select(
+    return with_cell(e, experiment=experiment, **assignment).select(
         "user_id", "experiment", "cell", F.lit(event_name).alias("event_name"), "event_time")
 
 
-def readout(assignments: DataFrame, events: DataFrame, *, target_url: str,
-            exposure_url: str = "/signup", control: str = "control") -> DataFrame:
+def readout(events: DataFrame, *, experiment: str, target_url: str,
+            exposure_url: str = "/signup", control: str = "control", **assignment) -> DataFrame:
     """Per cell the users, exposed users, converted users (leading
     metric: share with a ``target_url`` event), events per user (lagging
     metric), and against the control cell the difference in conversion and
-    the two-proportion z statistic (pooled)."""
+    the two-proportion z statistic (pooled).
+
+    One scan: events are summed per user, users per cell; the control cell's
+    values come from a window over the few cell rows."""
     per_user = (events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.max(F.when(F.col("url") == target_url, 1).otherwise(0)).alias("converted"),
         F.max(F.when(F.col("url") == exposure_url, 1).otherwise(0)).alias("exposed")))
-    j = assignments.join(per_user, "user_id", "left").na.fill(0, ["n_events", "converted", "exposed"])
-    cells = j.groupBy("experiment", "cell").agg(
-        F.count(F.lit(1)).alias("n_users"), F.sum("exposed").alias("n_exposed"),
-        F.sum("converted").alias("n_converted"),
-        (F.sum("converted") / F.count(F.lit(1))).alias("conversion_rate"),
-        F.avg("n_events").alias("events_per_user"))
-    ctl = cells.where(F.col("cell") == control).select(
-        "experiment", F.col("n_users").alias("_n0"), F.col("n_converted").alias("_x0"),
-        F.col("conversion_rate").alias("_p0"))
-    k = cells.join(ctl, "experiment", "left")
+    n = F.count(F.lit(1))
+    cells = with_cell(per_user, experiment=experiment, **assignment).groupBy("experiment", "cell").agg(
+        n.alias("n_users"), F.sum("exposed").alias("n_exposed"), F.sum("converted").alias("n_converted"),
+        (F.sum("converted") / n).alias("conversion_rate"), F.avg("n_events").alias("events_per_user"))
+    all_cells = Window.partitionBy("experiment")
+
+    def of_control(col):
+        return F.max(F.when(F.col("cell") == control, F.col(col))).over(all_cells)
+    k = cells.select("*", of_control("n_users").alias("_n0"), of_control("n_converted").alias("_x0"),
+                     of_control("conversion_rate").alias("_p0"))
     pooled = (F.col("n_converted") + F.col("_x0")) / (F.col("n_users") + F.col("_n0"))
     se = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_users") + 1 / F.col("_n0")))
     return k.select("experiment", "cell", "n_users", "n_exposed", "n_converted",

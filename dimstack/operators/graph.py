@@ -65,21 +65,16 @@ def player_partner_totals(details: DataFrame, *, order_cols: Sequence[str],
     if materialize_base:
         base = materialize(base, "partner_base")
 
-    # all four roster levels in one GROUPING SETS aggregate (one shuffle);
-    # grouping_id bits follow (game_id, _team, player_name), 1 = rolled up
-    levels = base.groupingSets(
-        [["game_id", "_team", "player_name"], ["game_id", "_team"], ["game_id", "player_name"],
-         ["game_id"]], "game_id", "_team", "player_name").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("pts").alias("_p"), F.grouping_id().alias("_gid"))
-
-    def level(gid, cols, tag):
-        return levels.where(F.col("_gid") == gid).select(
-            *cols, F.col("_n").alias(f"n_{tag}"), F.col("_p").alias(f"p_{tag}"))
-
-    gtn = level(0b000, ["game_id", "_team", "player_name"], "gtn")
-    roster = (gtn.join(level(0b011, ["game_id"], "g"), "game_id")
-              .join(level(0b001, ["game_id", "_team"], "gt"), ["game_id", "_team"])
-              .join(level(0b010, ["game_id", "player_name"], "gn"), ["game_id", "player_name"]))
+    # the finest roster level once; the coarser ones are sums of it
+    gtn = base.groupBy("game_id", "_team", "player_name").agg(
+        F.count(F.lit(1)).alias("n_gtn"), F.sum("pts").alias("p_gtn"))
+
+    def level(cols, tag):
+        return gtn.groupBy(*cols).agg(F.sum("n_gtn").alias(f"n_{tag}"), F.sum("p_gtn").alias(f"p_{tag}"))
+
+    roster = (gtn.join(level(["game_id"], "g"), "game_id")
+              .join(level(["game_id", "_team"], "gt"), ["game_id", "_team"])
+              .join(level(["game_id", "player_name"], "gn"), ["game_id", "player_name"]))
     mates = F.col("n_gt") - F.col("n_gtn")
     opps = F.col("n_g") - F.col("n_gn") - mates
     mate_pts = F.col("p_gt") - F.col("p_gtn")

@@ -140,64 +140,68 @@ def referrer_trend(events: DataFrame, devices: DataFrame, *, min_total: int = 50
             .drop("_total"))
 
 
-def running_index(df: DataFrame, *, key: str | Sequence[str], bucket: Column,
-                  order: Sequence[str], flag: Column) -> DataFrame:
+def running_index(df: DataFrame, *, key: str | Sequence[str], order: Sequence[str],
+                  flag: Column) -> DataFrame:
     """Position ``_idx`` (0-based) of each row within its ``key`` in the order
-    (``bucket``, ``order``...), and ``_cum``, the running sum of ``flag``
-    through the row — without putting a key's rows into one task.
-
-    ``bucket`` must be monotone in the order (a day, an hour, or an id divided
-    by a width).  Two levels: prefix sums over the per-(key, bucket) totals
-    (at most one row per bucket of a key), joined back, plus a numbering
-    inside each small (key, bucket) group.  A key holding a third of all rows
-    is spread over its buckets."""
+    ``order``, and ``_cum``, the running sum of ``flag`` through the row —
+    without putting a key's rows into one task.
+
+    The rows are range-partitioned by (key, order) and written once, so every
+    partition holds about as many rows whatever the keys are; a small boundary
+    table (one row per key and partition that holds some of it) carries the
+    counts forward.  NULL keys are keys like any other."""
+    from ..plans.days import materialize
     keys = [key] if isinstance(key, str) else list(key)
-    rows = df.withColumn("_b", bucket).withColumn("_f", flag.cast("bigint"))
-    per_bucket = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
-                                               F.sum("_f").alias("_s"))
+    ranged = (df.withColumn("_f", flag.cast("bigint")).repartitionByRange(*keys, *order)
+              .withColumn("_b", F.spark_partition_id()))
+    rows = materialize(ranged, "running_index")
+    per_part = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.sum("_f").alias("_s"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, "_b",
-                                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-                                F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"))
+    offsets = per_part.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                              F.col("_b").alias("_b2"),
+                              F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+                              F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"))
+    same = F.col("_b") == F.col("_b2")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     inner = Window.partitionBy(*keys, "_b").orderBy(*order)
     local = inner.rowsBetween(Window.unboundedPreceding, 0)
-    return (rows.join(offsets, [*keys, "_b"])
+    return (rows.join(offsets, same)
             .withColumn("_idx", F.col("_n0") + F.row_number().over(inner) - 1)
             .withColumn("_cum", F.col("_s0") + F.sum("_f").over(local))
-            .drop("_b", "_n0", "_s0", "_f"))
+            .drop("_b", "_b2", "_n0", "_s0", "_f", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def sessions_batch(events: DataFrame, keys: Sequence[str], *, gap_seconds: int,
-                   ts_col: str = "event_timestamp", bucket_seconds: int = 3600,
-                   materialize_index: bool = True) -> DataFrame:
+                   ts_col: str = "event_timestamp", materialize_index: bool = True) -> DataFrame:
     """P42 on a batch: sessions by ``keys`` with an inactivity gap, the same
     result as streaming ``session_window`` (a gap equal to ``gap_seconds``
-    does not split; a session ends ``gap_seconds`` after its last event).
-
-    Skew-safe: events are numbered per key with ``running_index`` (time
-    buckets), each event finds its predecessor by an equi-join on (key,
-    index − 1), session starts are flagged by the gap, and a second running
-    index numbers the sessions — no task holds a whole key.  The first index
-    feeds both sides of the predecessor join; with ``materialize_index`` it
-    is written once to the shared checkpoint folder."""
+    does not split; a session ends ``gap_seconds`` after its last event; NULL
+    keys form sessions of their own).
+
+    Skew-safe: events are numbered per key with ``running_index``, each event
+    finds its predecessor by a null-safe equi-join on (key, index − 1),
+    session starts are flagged by the gap, and a second running index numbers
+    the sessions — no task holds a whole key.  The first index feeds both
+    sides of the predecessor join; with ``materialize_index`` it is written
+    once to the shared checkpoint folder."""
     keys = list(keys)
     ts = F.col(ts_col)
     base = events.select(*keys, ts_col).where(ts.isNotNull())
-    # bucket and gap from timestamp differences: no conversion through the
-    # session time zone (a DST change would otherwise shift wall-clock gaps)
-    origin = F.lit("1970-01-01 00:00:00").cast(base.schema[ts_col].dataType)
-    bucket = F.floor(F.timestamp_diff("SECOND", origin, ts) / bucket_seconds)
-    idx = running_index(base, key=keys, bucket=bucket, order=[ts_col], flag=F.lit(0)) \
-        .select(*keys, ts_col, "_idx")
+    idx = running_index(base, key=keys, order=[ts_col], flag=F.lit(0)).select(*keys, ts_col, "_idx")
     if materialize_index:
         from ..plans.days import materialize
         idx = materialize(idx, "session_index")
-    prev = idx.select(*keys, (F.col("_idx") + 1).alias("_idx"), F.col(ts_col).alias("_prev"))
+    prev = idx.select(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)],
+                      (F.col("_idx") + 1).alias("_next"), F.col(ts_col).alias("_prev"))
+    same = F.col("_idx") == F.col("_next")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_p{i}"))
     gap = F.timestamp_diff("MICROSECOND", F.col("_prev"), ts)
-    marked = idx.join(prev, [*keys, "_idx"], "left").select(
+    marked = idx.join(prev, same, "left").select(
         *keys, ts_col, (F.col("_prev").isNull() | (gap > gap_seconds * 1_000_000)).alias("_start"))
-    numbered = running_index(marked, key=keys, bucket=bucket, order=[ts_col],
-                             flag=F.col("_start"))
+    numbered = running_index(marked, key=keys, order=[ts_col], flag=F.col("_start"))
     return (numbered.groupBy(*keys, "_cum").agg(
         F.min(ts_col).alias("session_start"),
         (F.max(ts_col) + F.make_interval(secs=F.lit(gap_seconds))).alias("session_end"),
@@ -220,8 +224,8 @@ def best_stretch(games: DataFrame, *, n: int = 90, materialize_index: bool = Tru
                      F.col("home_team_wins").alias("won")),
             F.struct(F.col("visitor_team_id").alias("team_id"),
                      (1 - F.col("home_team_wins")).alias("won")))))
-    idx = running_index(rows, key="team_id", bucket=F.col("game_date_est"),
-                        order=["game_id"], flag=F.col("won")).select("team_id", "_idx", "_cum")
+    idx = running_index(rows, key="team_id", order=["game_date_est", "game_id"],
+                        flag=F.col("won")).select("team_id", "_idx", "_cum")
     if materialize_index:
         from ..plans.days import materialize
         idx = materialize(idx, "stretch_index")
@@ -233,15 +237,14 @@ def best_stretch(games: DataFrame, *, n: int = 90, materialize_index: bool = Tru
 
 
 def longest_streak(details: DataFrame, *, threshold: float = 10.0,
-                   order_col: str = "game_id", bucket_width: int = 4096) -> DataFrame:
+                   order_col: str = "game_id") -> DataFrame:
     """Per player the longest run of consecutive games (by
     ``order_col``, an integer id) with points over ``threshold``, and the
     number of runs.  Within a run, position − (qualifying games so far) is
     constant (gaps and islands), so runs are a group-by on that value."""
     over = F.col("pts") > threshold
     idx = running_index(details.select("player_id", order_col, "pts"), key="player_id",
-                        bucket=F.floor(F.col(order_col) / bucket_width), order=[order_col],
-                        flag=over)
+                        order=[order_col], flag=F.coalesce(over, F.lit(False)))
     runs = (idx.where(over).groupBy("player_id", (F.col("_idx") - F.col("_cum")).alias("_island"))
             .agg(F.count(F.lit(1)).alias("_len")))
     return runs.groupBy("player_id").agg(F.max("_len").alias("longest_run"),

@@ -24,11 +24,12 @@ def _d(value) -> Column:
 
 def _day_values(per_day: DataFrame, key: Sequence[str], value_cols: Sequence[str],
                 month_start, day, fill) -> DataFrame:
-    """(key..., value arrays over month_start..day); missing days = ``fill``."""
+    """(key..., value arrays over month_start..day, first_found_date); missing
+    days = ``fill``."""
     m = (per_day.where((F.col("date") >= _d(month_start)) & (F.col("date") <= _d(day)))
          .groupBy(*key).agg(*[
              F.map_from_entries(F.collect_list(F.struct("date", c))).alias(f"_m_{c}")
-             for c in value_cols]))
+             for c in value_cols], F.min("date").alias("first_found_date")))
     days = F.sequence(_d(month_start), _d(day), F.expr("INTERVAL 1 DAY"))
     def lookup(c):
         m = F.col(f"_m_{c}")
@@ -37,7 +38,7 @@ def _day_values(per_day: DataFrame, key: Sequence[str], value_cols: Sequence[str
         return lambda d: F.coalesce(F.try_element_at(m, d), F.lit(fill))
 
     arrays = [F.transform(days, lookup(c)).alias(c) for c in value_cols]
-    return m.select(*key, *arrays)
+    return m.select(*key, *arrays, "first_found_date")
 
 
 # --- P18: monthly hit array snapshot (NULL padded) -----------------------
@@ -46,9 +47,7 @@ def monthly_hits_backfill(activity: DataFrame, *, key: str, month_start, day) ->
     """Closed form of the snapshot at ``day``: NULL for days without hits."""
     arr = _day_values(activity, [key], ["n_events"], month_start, day, None) \
         .withColumnRenamed("n_events", "hit_array")
-    first = (activity.where((F.col("date") >= _d(month_start)) & (F.col("date") <= _d(day)))
-             .groupBy(key).agg(F.min("date").alias("first_found_date")))
-    return (arr.join(first, key)
+    return (arr
             .select(key, "hit_array", _d(month_start).alias("month_start"), "first_found_date",
                     _d(day).alias("date_partition")))
 
@@ -90,7 +89,7 @@ def metric_array_backfill(per_day: DataFrame, *, key: Sequence[str], metrics: Se
                           month_start, day) -> DataFrame:
     """Closed form: for each key active in the month up to ``day``, one
     zero-filled array per metric over the days month_start..day."""
-    out = _day_values(per_day, list(key), list(metrics), month_start, day, 0)
+    out = _day_values(per_day, list(key), list(metrics), month_start, day, 0).drop("first_found_date")
     return out.withColumn("month_start", _d(month_start))
 
 

@@ -62,10 +62,24 @@ def scd2_incremental(scd: DataFrame, snapshot: DataFrame, *, key: str,
     """SCD records as of ``prev`` + snapshot of ``cur`` → records as of
     ``cur``.  ``<=>`` replaces ``<>`` (a NULL attribute no longer drops the
     row) and, with ``keep_absent``, open records of keys missing from the
-    snapshot are kept unchanged."""
+    snapshot are kept unchanged.
+
+    Every record has a way out.  Open is the record that reaches ``prev`` or
+    has no end; a NULL end stays NULL while the attributes do and becomes
+    ``prev`` when they change.  A rerun undoes the earlier run first: records
+    that start at ``cur`` and end there are dropped and ends at ``cur`` go back
+    to ``prev``, so it gives the same result.  Closed records, records that end
+    after ``cur`` and records with a NULL key are kept as they are; snapshot
+    rows with a NULL key belong to no record and open none."""
     base = scd.select(key, *attrs, start_col, end_col)
-    open_ = base.where(F.col(end_col) == prev)
-    closed = base.where(F.col(end_col) < prev)
+    start, end = F.col(start_col), F.col(end_col)
+    opened_before = (start > prev) & (end == cur)
+    base = base.where(~F.coalesce(opened_before, F.lit(False)))
+    rolled = base.withColumn(end_col, F.when(end == cur, F.lit(prev).cast(base.schema[end_col].dataType))
+                             .otherwise(end))
+    is_open = F.col(key).isNotNull() & (end.isNull() | (end == prev))
+    open_ = rolled.where(is_open)
+    closed = rolled.where(~is_open)
     snap = snapshot.select(key, *attrs)
     j = full_outer_on_key(open_, snap, key)
     in_y, in_t = F.col(f"y.{key}").isNotNull(), F.col(f"t.{key}").isNotNull()
@@ -75,11 +89,13 @@ def scd2_incremental(scd: DataFrame, snapshot: DataFrame, *, key: str,
         return F.struct(*[F.col(f"{prefix}{a}").alias(a) for a in attrs],
                         start.alias(start_col), end.alias(end_col))
 
+    endless = in_y & F.col(f"y.{end_col}").isNull()
     old_kept = rec("y.", F.col(f"y.{start_col}"), F.col(f"y.{end_col}"))
-    extended = rec("t.", F.col(f"y.{start_col}"), F.lit(cur))
-    opened = rec("t.", F.lit(cur), F.lit(cur))
+    old_closed = rec("y.", F.col(f"y.{start_col}"), F.lit(prev))
+    extended = rec("t.", F.col(f"y.{start_col}"), F.when(~endless, F.lit(cur)))
+    opened = rec("t.", F.lit(cur), F.when(~endless, F.lit(cur)))
     records = (F.when(in_y & in_t & ~differ, F.array(extended))
-               .when(in_y & in_t & differ, F.array(old_kept, opened))
+               .when(in_y & in_t & differ, F.array(old_closed, opened))
                .when(in_t, F.array(opened))
                .otherwise(F.array(old_kept)))
     if not keep_absent:

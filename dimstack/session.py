@@ -12,22 +12,34 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _given() -> SparkConf:
+    """What spark-submit, the submit arguments or spark-defaults have set."""
+    if SparkContext._active_spark_context is None:
+        conf = SparkConf(loadDefaults=False)
+        if "driver-memory" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+            conf.set("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        SparkContext._ensure_initialized(conf=conf)
+    return SparkConf()
+
+
 def get_session(app: str = "dimstack", master: str | None = None,
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the jobs assume.
 
-    ``master`` defaults to ``local[N]`` only when nothing else (spark-submit,
-    a cluster manager) has chosen one.
+    A master or shuffle partition count that spark-submit or a cluster manager
+    has chosen is never changed; ``local[N]`` and 8 partitions are defaults for
+    a plain ``python`` run.  Arguments given here win over both.
     """
+    given = _given()
+    chosen = given.get("spark.master", None)
     builder = SparkSession.builder.appName(app)
-    is_local = (master or "").startswith("local") or (
-        master is None and not os.environ.get("SPARK_MASTER"))
-    if master or is_local:
+    if master or not chosen:
         builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
     conf = {
         "spark.sql.session.timeZone": "UTC",
@@ -37,13 +49,14 @@ def get_session(app: str = "dimstack", master: str | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"),
         # AQE sizes reducers by bytes; the static count is an upper bound
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "128m",
     }
-    if shuffle_partitions or is_local:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not chosen and not given.contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = "8"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -53,21 +66,20 @@ def get_session(app: str = "dimstack", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we create one.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
+    as is; without it there is an error.  Only a local session, whose executors
+    are this machine, gets a folder of its own.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getConf().get(CHECKPOINT_CONF) or sc.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder for this cluster")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="dimstack-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,25 +67,51 @@ def save_table(df: DataFrame, table: str, *, path: str | None = None,
     w.saveAsTable(table)
 
 
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None only if the path does not exist.  Any other
+    read error rises."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session wrote (staging, intermediates)."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
                       keys: Sequence[str], partition_cols: Sequence[str]) -> None:
     """ON CONFLICT (keys) DO UPDATE for a partitioned Parquet table:
     the touched partitions are rewritten as existing-minus-updated plus
-    updates.  The result is materialised at a staging path first (reading
-    and overwriting one path in one job is unsafe)."""
+    updates.  Keys compare null-safe.  The updates must have the table's
+    columns.  The result is materialised at a staging path first (reading
+    and overwriting one path in one job is unsafe), which is removed after."""
     import uuid
-    try:
-        existing = spark.read.parquet(path)
-        from ..operators.joins import bounded_broadcast
-        parts = bounded_broadcast(updates.select(*partition_cols).distinct())
-        touched = existing.join(parts, list(partition_cols), "left_semi")
-        merged = (touched.join(updates.select(*keys), list(keys), "left_anti")
+    existing = _existing(spark, path)
+    merged = updates
+    if existing is not None:
+        if set(updates.columns) != set(existing.columns):
+            raise ValueError(f"updates have columns {sorted(updates.columns)}, "
+                             f"the table has {sorted(existing.columns)}")
+
+        def same(cols):
+            cond = F.lit(True)
+            for c in cols:
+                cond = cond & F.col(f"e.{c}").eqNullSafe(F.col(f"u.{c}"))
+            return cond
+        parts = updates.select(*partition_cols).distinct().alias("u")
+        touched = existing.alias("e").join(parts, same(partition_cols), "left_semi")
+        merged = (touched.alias("e").join(updates.select(*keys).alias("u"), same(keys), "left_anti")
                   .unionByName(updates.select(*existing.columns)))
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        merged = updates
     staging = f"{path.rstrip('/')}_staging_{uuid.uuid4().hex}"
     merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(staging)
-    write_partitions(spark.read.parquet(staging), path, partition_cols)
+    write_partitions(spark.read.schema(merged.schema).parquet(staging), path, partition_cols)
+    remove_path(spark, staging)
 
 
 def truncate(spark: SparkSession, table: str) -> None:

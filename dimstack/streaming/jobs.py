@@ -177,7 +177,7 @@ def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
     duplicate rows: complete mode overwrites the sink, append mode overwrites
     the batch's own ``epoch=<id>`` folder.  ``state_partitions`` sizes the
     state store of a stateful query (fixed for the life of its checkpoint);
-    the session setting is changed only while the query starts.  Returns the
+    the session settings are changed only while the query starts.  Returns the
     sink read back."""
     spark = df.sparkSession
     checkpoint = checkpoint or checkpoint_path(spark, "streams", uuid.uuid4().hex)
@@ -191,15 +191,19 @@ def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
             else:
                 out.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+    # sessions of one hot key are merged per input partition before the shuffle
+    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
     if state_partitions:
-        spark.conf.set(key, str(state_partitions))
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         q = (df.writeStream.outputMode(output_mode).foreachBatch(write)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     q.awaitTermination()
     return read_sink(spark, sink_path)
 

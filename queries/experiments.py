@@ -25,11 +25,11 @@ def q_experiment_assignment(spark, sf_dir):
 
 
 def q_experiment_exposures(spark, sf_dir):
-    return finalize(ex.exposures(si.web_events(spark, sf_dir), _assignments(spark, sf_dir)))
+    return finalize(ex.exposures(si.web_events(spark, sf_dir), experiment=EXPERIMENT))
 
 
 def q_experiment_readout(spark, sf_dir):
-    return finalize(ex.readout(_assignments(spark, sf_dir), si.web_events(spark, sf_dir),
+    return finalize(ex.readout(si.web_events(spark, sf_dir), experiment=EXPERIMENT,
                                target_url=TARGET))
 
 

@@ -1,6 +1,4 @@
-"""DuckDB oracles for match statistics and enrichment jobs.  The two layout
-reports (bucketed join plan, file sizes per sort order) describe how Spark
-wrote and planned data, not a function of the data alone: no oracle."""
+"""DuckDB oracles for match statistics, layout reports and enrichment jobs."""
 
 from __future__ import annotations
 
@@ -31,6 +29,18 @@ agg AS (SELECT user_id, device_id, COUNT(*) AS event_counts FROM web_events
         WHERE user_id IS NOT NULL GROUP BY 1, 2)"""
 
 ORACLES = {
+    "bucket_join_report": MATCHES + """,
+per_match AS (SELECT match_id, SUM(count) AS n FROM medals_matches_players GROUP BY match_id),
+res AS (SELECT playlist_id, COUNT(*) AS n_rows, CAST(SUM(player_total_kills) AS BIGINT) AS kills,
+               CAST(SUM(COALESCE(n, 0)) AS BIGINT) AS n_medals
+        FROM match_details d JOIN matches m ON m.match_id = d.match_id
+        LEFT JOIN per_match p ON p.match_id = d.match_id GROUP BY playlist_id)
+SELECT variant, res.* FROM res, (VALUES ('plain'), ('bucketed')) v(variant)""",
+    "layout_report": with_standins("web_events") + """,
+res AS (SELECT COUNT(*) AS n_rows, COUNT(DISTINCT CAST(event_time AS DATE)) AS n_values,
+               CAST(SUM(event_id) AS BIGINT) AS checksum FROM web_events)
+SELECT variant, res.* FROM res,
+  (VALUES ('unsorted'), ('date_host'), ('host_url_date'), ('global_date_host')) v(variant)""",
     "match_stats": MATCHES + " SELECT metric, key, round(value, 6) AS value FROM stats",
     "match_leaders": MATCHES + """
 SELECT metric, key, round(value, 6) AS value

@@ -1,4 +1,4 @@
-"""DuckDB oracles for the streaming jobs (batch semantics of complete mode)."""
+"""DuckDB oracles for the streaming jobs (every window of the closed stream)."""
 
 from __future__ import annotations
 
@@ -11,14 +11,14 @@ parsed AS (SELECT ip, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS eve
 
 SESSIONS = PARSED + """,
 marked AS (SELECT ip, host, event_timestamp,
-                  CASE WHEN event_timestamp - LAG(event_timestamp) OVER w > INTERVAL 30 MINUTE
+                  CASE WHEN event_timestamp - LAG(event_timestamp) OVER w > INTERVAL 5 MINUTE
                          OR LAG(event_timestamp) OVER w IS NULL THEN 1 ELSE 0 END AS new_
            FROM parsed WINDOW w AS (PARTITION BY ip, host ORDER BY event_timestamp)),
 ids AS (SELECT *, SUM(new_) OVER (PARTITION BY ip, host ORDER BY event_timestamp
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
         FROM marked),
 sess AS (SELECT ip, host, MIN(event_timestamp) AS session_start,
-                MAX(event_timestamp) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS num_events
+                MAX(event_timestamp) + INTERVAL 5 MINUTE AS session_end, COUNT(*) AS num_events
          FROM ids GROUP BY ip, host, sid)"""
 
 

@@ -28,16 +28,17 @@ def q_match_leaders(spark, sf_dir):
 
 
 def q_bucket_join_report(spark, sf_dir):
-    return bucket_join_report(spark, si.matches(spark, sf_dir), si.match_details(spark, sf_dir),
-                              "match_id", buckets=16)
+    return finalize(bucket_join_report(
+        spark, si.match_details(spark, sf_dir), si.matches(spark, sf_dir),
+        si.medals_matches_players(spark, sf_dir).select("match_id", "medal_id", "count"), buckets=16))
 
 
 def q_layout_report(spark, sf_dir):
     df = mt.event_device_left(si.web_events(spark, sf_dir), si.devices(spark, sf_dir))
-    return layout_report(spark, df, partitions=4, partition_col="event_date",
-                         global_sorts={"global_date_host": ["event_date", "host"]},
-                         sorts={"unsorted": [], "date_host": ["event_date", "host"],
-                                "host_url_date": ["host", "url", "event_date"]})
+    return finalize(layout_report(spark, df, partition_col="event_date",
+                                  global_sorts={"global_date_host": ["event_date", "host"]},
+                                  sorts={"unsorted": [], "date_host": ["event_date", "host"],
+                                         "host_url_date": ["host", "url", "event_date"]}))
 
 
 def q_typed_enrichment(spark, sf_dir):

@@ -1,6 +1,8 @@
 """Registered queries: streaming jobs run over the events file as a stream
-(P38-P42).  Each runs to completion (availableNow) and returns its sink;
-aggregations use complete mode so the sink equals the batch result."""
+(P38-P42).  Each runs to completion (availableNow) and returns its sink.
+Aggregations run in append mode: a window is emitted once, when the 15 s
+watermark passes it, and its state goes.  A heartbeat far behind the last event
+closes the stream, so every window of the data comes out."""
 
 from __future__ import annotations
 
@@ -15,7 +17,8 @@ from dimstack.streaming import jobs as sj
 
 from .common import finalize
 
-SESSION_GAP = "30 minutes"
+SESSION_GAP_MINUTES = 5
+HEARTBEAT = "2100-01-01T00:00:00.000Z"
 
 
 def _parsed(spark, sf_dir):
@@ -23,6 +26,16 @@ def _parsed(spark, sf_dir):
     return sj.parse_events(sj.as_messages(si.web_events_from(raw)))
 
 
+def _closed(spark, sf_dir):
+    """The parsed events followed by one heartbeat (no host, no ip)."""
+    raw = sj.parquet_stream(spark, sf_dir, schema=EVENTS_DRIVER, file_glob="events.parquet")
+    folder = _sink(spark, "heartbeat")
+    spark.range(1).select(F.to_json(F.struct(F.lit(HEARTBEAT).alias("event_time"))).alias("value")) \
+        .write.parquet(folder)
+    beat = spark.readStream.schema("value string").parquet(folder)
+    return sj.parse_events(sj.as_messages(si.web_events_from(raw)).select("value").union(beat))
+
+
 def _sink(spark, name):
     return checkpoint_path(spark, "sinks", f"{name}_{uuid.uuid4().hex[:10]}")
 
@@ -52,9 +65,9 @@ def q_stream_geo(spark, sf_dir):
 
 
 def _tumbling(spark, sf_dir):
-    agg = sj.tumbling_counts(_parsed(spark, sf_dir), ["host", "referrer"])
+    agg = sj.tumbling_counts(_closed(spark, sf_dir), ["host", "referrer"])
     main, hosts = _sink(spark, "host_referrer"), _sink(spark, "host")
-    sj.run_available(agg, main, output_mode="complete", state_partitions=_parallelism(spark),
+    sj.run_available(agg, main, state_partitions=_parallelism(spark),
                      extra_sinks=[(hosts, sj.host_counts_from_referrer_counts)])
     return sj.read_sink(spark, main), sj.read_sink(spark, hosts)
 
@@ -76,9 +89,8 @@ def q_stream_dedup(spark, sf_dir):
 
 
 def _sessions(spark, sf_dir):
-    s = sj.sessions(_parsed(spark, sf_dir), ["ip", "host"], gap=SESSION_GAP)
-    return sj.run_available(s, _sink(spark, "sessions"), output_mode="complete",
-                            state_partitions=_parallelism(spark))
+    s = sj.sessions(_closed(spark, sf_dir), ["ip", "host"], gap=f"{SESSION_GAP_MINUTES} minutes")
+    return sj.run_available(s, _sink(spark, "sessions"), state_partitions=_parallelism(spark))
 
 
 def q_stream_sessions(spark, sf_dir):
@@ -90,7 +102,7 @@ def q_sessions_batch(spark, sf_dir):
     from dimstack.operators.patterns import sessions_batch
     ev = si.web_events(spark, sf_dir).select("ip", "host",
                                              F.col("event_time").alias("event_timestamp"))
-    return finalize(sessions_batch(ev, ["ip", "host"], gap_seconds=30 * 60))
+    return finalize(sessions_batch(ev, ["ip", "host"], gap_seconds=SESSION_GAP_MINUTES * 60))
 
 
 def q_session_stats(spark, sf_dir):
