@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 from ..schemas import CLASS_FALLBACK, QUALITY_THRESHOLDS, SCORING_THRESHOLDS
 
 # fixed values: referrer → channel rules, first match wins
-CHANNEL_RULES = (
+NETWORK_RULES = (
     ("%linkedin%", "Linkedin"),
     ("%t.co%", "Twitter"),
     ("%google%", "Google"),
     ("%lnkd%", "Linkedin"),
-    ("%eczachly%", "On Site"),
-    ("%zachwilson%", "On Site"),
 )
+#: Referrers that are the site itself (of the stand-in data).
+ON_SITE = ("%home.example%", "%second-home.example%")
+
+
+def channel_rules(on_site=ON_SITE) -> tuple:
+    """The rules with a site's own referrer patterns last."""
+    return (*NETWORK_RULES, *((pattern, "On Site") for pattern in on_site))
+
+
+CHANNEL_RULES = channel_rules()
 # mask of the 7 most significant of 32 bits, and of the 7 below them
 TOP7_MASK = 4261412864
 NEXT7_MASK = 33292288

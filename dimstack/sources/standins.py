@@ -17,14 +17,14 @@ from .tables import read_table
 
 # fixed values of the web-event stand-in (hosts and referrers chosen so every
 # channel branch of the referrer mapping and a NULL referrer occur)
-HOSTS = ("zachwilson.techcreator.io", "zachwilson.tech", "lulu.techcreator.io")
+HOSTS = ("www.home.example", "home.example", "lab.partner.example")
 REFERRERS = (
     "https://www.linkedin.com/feed/",
     "https://t.co/x1",
     "https://www.google.com/",
     "https://lnkd.in/abc",
-    "https://www.eczachly.com/blog",
-    "https://www.zachwilson.tech/about",
+    "https://www.home.example/blog",
+    "https://blog.second-home.example/about",
     "https://news.ycombinator.com/",
     None,
 )

@@ -68,6 +68,13 @@ sets AS (
          COUNT(DISTINCT game_id), COUNT(DISTINCT won_game)
   FROM j GROUP BY team)"""
 
+# fixed values: the channel rules, first match wins
+RULES = """,
+rules(prio, pattern, label) AS (VALUES (1, '%linkedin%', 'Linkedin'), (2, '%t.co%', 'Twitter'),
+    (3, '%google%', 'Google'), (4, '%lnkd%', 'Linkedin'), (5, '%home.example%', 'On Site'),
+    (6, '%second-home.example%', 'On Site')),
+"""
+
 ORACLES = {
     "growth_accounting": GROWTH + " SELECT * FROM growth",
     "growth_accounting_step": GROWTH + f" SELECT * FROM growth WHERE date = {D1}",
@@ -116,11 +123,7 @@ SELECT aggregation_level, player_name, team, season, round(total_pts, 6) AS tota
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY aggregation_level
         ORDER BY total_pts DESC, player_name DESC, team DESC, season DESC) AS rn FROM sets)
 WHERE rn = 1""",
-    "referrer_trend": DEVICES_AUG + """,
-rules(prio, pattern, label) AS (VALUES (1, '%linkedin%', 'Linkedin'), (2, '%t.co%', 'Twitter'),
-    (3, '%google%', 'Google'), (4, '%lnkd%', 'Linkedin'), (5, '%eczachly%', 'On Site'),
-    (6, '%zachwilson%', 'On Site')),
-chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
+    "referrer_trend": DEVICES_AUG + RULES + """chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
                 COALESCE((SELECT r.label FROM rules r WHERE e.referrer LIKE r.pattern
                           ORDER BY r.prio LIMIT 1), e.referrer) AS referrer
          FROM aug e),
@@ -145,11 +148,7 @@ JOIN roll r ON r.referrer = a.referrer AND r.url = a.url AND r.event_date = a.ev
 JOIN tot t ON t.referrer = a.referrer AND t.url = a.url
 JOIN mon m ON m.referrer = a.referrer AND m.url = a.url AND m.m = date_trunc('month', a.event_date)
 WHERE t.total > 100 AND a.referrer IS NOT NULL""",
-    "referrer_trend_calendar": DEVICES_AUG + """,
-rules(prio, pattern, label) AS (VALUES (1, '%linkedin%', 'Linkedin'), (2, '%t.co%', 'Twitter'),
-    (3, '%google%', 'Google'), (4, '%lnkd%', 'Linkedin'), (5, '%eczachly%', 'On Site'),
-    (6, '%zachwilson%', 'On Site')),
-chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
+    "referrer_trend_calendar": DEVICES_AUG + RULES + """chan AS (SELECT e.url, CAST(e.event_time AS DATE) AS event_date,
                 COALESCE((SELECT r.label FROM rules r WHERE e.referrer LIKE r.pattern
                           ORDER BY r.prio LIMIT 1), e.referrer) AS referrer
          FROM aug e),

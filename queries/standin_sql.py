@@ -47,16 +47,16 @@ STANDINS = {
                WHEN 1 THEN 'https://t.co/x1'
                WHEN 2 THEN 'https://www.google.com/'
                WHEN 3 THEN 'https://lnkd.in/abc'
-               WHEN 4 THEN 'https://www.eczachly.com/blog'
-               WHEN 5 THEN 'https://www.zachwilson.tech/about'
+               WHEN 4 THEN 'https://www.home.example/blog'
+               WHEN 5 THEN 'https://blog.second-home.example/about'
                WHEN 6 THEN 'https://news.ycombinator.com/'
                ELSE NULL END AS referrer,
              user_id,
              CAST(json_extract_string(props, '$.k') AS BIGINT) AS device_id,
              CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 3
-               WHEN 0 THEN 'zachwilson.techcreator.io'
-               WHEN 1 THEN 'zachwilson.tech'
-               ELSE 'lulu.techcreator.io' END AS host,
+               WHEN 0 THEN 'www.home.example'
+               WHEN 1 THEN 'home.example'
+               ELSE 'lab.partner.example' END AS host,
              ts AS event_time, CAST(user_id AS VARCHAR) AS ip, event_id
       FROM events""",
     "devices": """
