@@ -128,32 +128,26 @@ def browser_activity(events: DataFrame, devices: DataFrame, *, day=None,
 
 
 def device_datelist_backfill(activity: DataFrame, *, as_of) -> DataFrame:
-    """State at ``as_of``: user → map<browser, sorted dates>."""
-    per_browser = (activity.where(F.col("date") <= _d(as_of))
-                   .groupBy("user_id", "browser_type")
-                   .agg(F.array_sort(F.collect_set("date")).alias("dates")))
-    return (per_browser.groupBy("user_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("browser_type", "dates")))
-                 .alias("device_activity_datelist"))
+    """State at ``as_of``: one row per (user, browser) with its sorted dates.
+    Long form: a user with any number of browsers is any number of rows."""
+    return (activity.where(F.col("date") <= _d(as_of))
+            .groupBy("user_id", "browser_type")
+            .agg(F.array_sort(F.collect_set("date")).alias("dates_active"))
             .withColumn("date", _d(as_of)))
 
 
 def device_datelist_step(prev: DataFrame, today_activity: DataFrame, *, today) -> DataFrame:
-    """P14 step: yesterday's user→map ⟗ today's; per browser the date lists
-    are concatenated over the union of keys (``map_zip_with``)."""
+    """P14 step: yesterday's (user, browser) rows ⟗ today's; the date lists are
+    concatenated."""
     t = (today_activity.groupBy("user_id", "browser_type")
-         .agg(F.array_sort(F.collect_set("date")).alias("dates"))
-         .groupBy("user_id")
-         .agg(F.map_from_entries(F.collect_list(F.struct("browser_type", "dates"))).alias("m")))
-    j = full_outer_on_key(prev.select("user_id", "device_activity_datelist", "date"), t, "user_id")
-    empty_map = F.create_map().cast("map<string,array<date>>")
-    merged = F.map_zip_with(
-        F.coalesce(F.col("y.device_activity_datelist"), empty_map),
-        F.coalesce(F.col("t.m"), empty_map),
-        lambda k, a, b: F.concat(F.coalesce(a, empty_array("date")),
-                                 F.coalesce(b, empty_array("date"))))
-    return j.select(F.coalesce(F.col("t.user_id"), F.col("y.user_id")).alias("user_id"),
-                    merged.alias("device_activity_datelist"),
+         .agg(F.array_sort(F.collect_set("date")).alias("dates_active")))
+    j = full_outer_on_key(prev.select("user_id", "browser_type", "dates_active", "date"), t,
+                          ["user_id", "browser_type"])
+    none = empty_array("date")
+    return j.select(*[F.coalesce(F.col(f"t.{c}"), F.col(f"y.{c}")).alias(c)
+                      for c in ("user_id", "browser_type")],
+                    F.concat(F.coalesce(F.col("y.dates_active"), none),
+                             F.coalesce(F.col("t.dates_active"), none)).alias("dates_active"),
                     F.when(F.col("t.user_id").isNotNull(), _d(today))
                     .otherwise(F.date_add(F.col("y.date"), 1)).alias("date"))
 
@@ -161,22 +155,20 @@ def device_datelist_step(prev: DataFrame, today_activity: DataFrame, *, today) -
 def device_day_matrix(state: DataFrame, *, start, end) -> DataFrame:
     """Per (user, browser) a 0/1 array over the days start..end and its sum."""
     days = F.sequence(_d(start), _d(end), F.expr("INTERVAL 1 DAY"))
-    exploded = state.select("user_id", F.explode("device_activity_datelist")
-                            .alias("browser_type", "dates"))
-    flags = F.transform(days, lambda d: F.when(F.array_contains("dates", d), 1).otherwise(0))
-    return exploded.select(
+    flags = F.transform(days, lambda d: F.when(F.array_contains("dates_active", d), 1).otherwise(0))
+    return state.select(
         "user_id", "browser_type", flags.alias("datelist_int_array"),
         F.aggregate(flags, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("bit_count"))
 
 
 def any_device_bits(state: DataFrame, *, start, end) -> DataFrame:
-    """Activity integer over any browser; bit 0 = ``start``."""
-    dates = F.array_distinct(F.flatten(F.map_values("device_activity_datelist")))
+    """Activity integer over any browser; bit 0 = ``start``.  The browsers'
+    integers are combined by OR before the shuffle."""
     span = F.datediff(_d(end), _d(start)) + 1
+    offset = lambda d: F.datediff(d, _d(start))
     bits = F.aggregate(
-        dates, F.lit(0).cast("bigint"),
-        lambda acc, d: F.when((F.datediff(d, _d(start)) >= 0) & (F.datediff(d, _d(start)) < span),
-                              acc.bitwiseOR(pow2(F.datediff(d, _d(start)))))
+        "dates_active", F.lit(0).cast("bigint"),
+        lambda acc, d: F.when((offset(d) >= 0) & (offset(d) < span), acc.bitwiseOR(pow2(offset(d))))
         .otherwise(acc))
-    return state.select("user_id", bits.alias("datelist_bits"),
-                        bit_count(bits).alias("active_days"))
+    any_ = state.groupBy("user_id").agg(F.bit_or(bits).alias("datelist_bits"))
+    return any_.select("user_id", "datelist_bits", bit_count(F.col("datelist_bits")).alias("active_days"))

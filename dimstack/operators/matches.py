@@ -117,15 +117,14 @@ def shared_aggregate(events: DataFrame, devices: DataFrame, *, persist: bool = T
     The reference collects each user's devices and each device's users into
     arrays; a shared device id may hold a third of all users, so those lists
     stay in long form (the aggregate: one row per user and device) and the
-    two outputs carry counts.  The users side joins distinct users, so rows
-    do not multiply per event."""
+    two outputs carry counts.  An event without a device counts as an event,
+    not as a device."""
     agg = events_aggregated(events)
     if persist:
         agg = agg.persist(level)
-    users = events.where(F.col("user_id").isNotNull()).select("user_id").distinct()
-    users_and_devices = (users.join(agg, "user_id").groupBy("user_id")
+    users_and_devices = (agg.groupBy("user_id")
                          .agg(F.max("event_counts").alias("total_hits"),
-                              F.count(F.lit(1)).alias("n_devices"),
+                              F.count("device_id").alias("n_devices"),
                               F.sum("event_counts").alias("n_events")))
     devices_on_events = (devices.select("device_id", "device_type").join(agg, "device_id")
                          .groupBy("device_id", "device_type")

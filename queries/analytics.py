@@ -28,7 +28,8 @@ def _activity(spark, sf_dir):
 def _flat_growth(df):
     return finalize(df.select("user_id", "date", "first_active_date", "last_active_date",
                               "daily_active_state", "weekly_active_state",
-                              F.size("dates_active").cast("bigint").alias("n_dates")))
+                              F.size("dates_active").cast("bigint").alias("n_dates"),
+                              F.array_join(F.col("dates_active").cast("array<string>"), ",").alias("dates")))
 
 
 def q_growth_accounting(spark, sf_dir):

@@ -11,6 +11,7 @@ from dimstack.sources import standins as si
 
 from .common import FIRST_SEASON, LAST_SEASON, STEP_SEASON, finalize
 
+BOUNDED_LAST = 1998     # before the last season of the data
 SEASON_FIELDS = ["season", "gp", "pts", "reb", "ast"]
 STATIC = ["player_name", "country"]
 
@@ -28,9 +29,16 @@ def _flat_players(state):
         F.size("seasons").cast("bigint").alias("n_seasons"),
         first_element(F.col("seasons"))["season"].alias("first_season"),
         last["season"].alias("last_season"), last["pts"].alias("last_pts"),
+        F.array_join(F.transform("seasons", lambda s: F.concat_ws(":", s["season"].cast("string"),
+                                                                  s["gp"].cast("string"))), ",").alias("season_list"),
         "scoring_class", "periods_since_last_active", "is_active"))
 
 
+def q_cumulative_backfill_bounded(spark, sf_dir):
+    """Some players start after the last period: they have no rows."""
+    return _flat_players(players_state(spark, sf_dir, last=BOUNDED_LAST))
+
+
 def q_cumulative_backfill(spark, sf_dir):
     return _flat_players(players_state(spark, sf_dir))
 
@@ -59,6 +67,8 @@ def q_cumulative_multi(spark, sf_dir):
         F.aggregate(years, F.lit(0).cast("bigint"), lambda a, y: a + y["sum_votes"])
         .alias("total_votes"),
         last_element(years)["avg_rating"].alias("latest_avg_rating"),
+        F.array_join(F.transform(years, lambda y: F.concat_ws(":", y["year"].cast("string"),
+                                                              y["n_items"].cast("string"))), ",").alias("year_list"),
         "quality_class", "periods_since_last_active", "is_active"))
 
 
@@ -97,6 +107,15 @@ def q_scd2_incremental(spark, sf_dir):
     return finalize(out)
 
 
+def q_scd2_incremental_rerun(spark, sf_dir):
+    """The same step run again over its own result."""
+    state = players_state(spark, sf_dir)
+    snap = state.where(F.col("current_season") == STEP_SEASON)
+    args = {"key": "player_id", "attrs": ["scoring_class", "is_active"], "prev": STEP_SEASON - 1, "cur": STEP_SEASON}
+    once = scd.scd2_incremental(_scd_multi(state, STEP_SEASON - 1), snap, **args)
+    return finalize(scd.scd2_incremental(once, snap, **args))
+
+
 TEAM_PROPS = ["abbreviation", "nickname", "city", "arena", "year_founded"]
 
 
@@ -125,6 +144,7 @@ def q_player_partner_totals(spark, sf_dir):
 
 QUERIES = {
     "cumulative_backfill": q_cumulative_backfill,
+    "cumulative_backfill_bounded": q_cumulative_backfill_bounded,
     "cumulative_step": q_cumulative_step,
     "cumulative_multi": q_cumulative_multi,
     "history_unnest": q_history_unnest,
@@ -132,6 +152,7 @@ QUERIES = {
     "scd2_backfill": q_scd2_backfill,
     "scd2_backfill_multi": q_scd2_backfill_multi,
     "scd2_incremental": q_scd2_incremental,
+    "scd2_incremental_rerun": q_scd2_incremental_rerun,
     "team_vertices": q_team_vertices,
     "player_game_edges": q_player_game_edges,
     "player_partner_totals": q_player_partner_totals,

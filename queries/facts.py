@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 from dimstack.functions.arrays import dates_csv
 from dimstack.operators import datelist as dl
 from dimstack.operators import reduced as rd
+from dimstack.session import checkpoint_path
 from dimstack.sources import standins as si
+from dimstack.sources.files import upsert_partitions
 
 from .common import AS_OF, MONTH_START, finalize
 
@@ -70,9 +74,7 @@ def q_device_datelist(spark, sf_dir):
     prev = dl.device_datelist_backfill(dl.browser_activity(ev, dev, end=PREV_DAY), as_of=PREV_DAY)
     today = dl.browser_activity(ev, dev, day=AS_OF)
     state = dl.device_datelist_step(prev, today, today=AS_OF)
-    ex = state.select("user_id", F.explode("device_activity_datelist")
-                      .alias("browser_type", "dates_active"), "date")
-    return finalize(ex.select(
+    return finalize(state.select(
         "user_id", "browser_type", F.size("dates_active").cast("bigint").alias("n_dates"),
         F.col("dates_active")[0].alias("first_date"),
         F.element_at("dates_active", -1).alias("last_date"),
@@ -131,6 +133,25 @@ def q_metric_array(spark, sf_dir):
         _csv(F.col("site_hits")).alias("metric_array")))
 
 
+def q_metric_array_upsert(spark, sf_dir):
+    """The step's rows upserted into the table that holds yesterday's state."""
+    per_day = _site_hits(spark, sf_dir)
+    path = checkpoint_path(spark, "tables", f"metric_array_{uuid.uuid4().hex[:10]}")
+    keys = {"key": ["user_id"], "metrics": ["site_hits"], "month_start": MONTH_START}
+    upsert_partitions(spark, rd.metric_array_backfill(per_day, day=PREV_DAY, **keys), path,
+                      ["user_id"], ["month_start"])
+    stored = spark.read.parquet(path)
+    today = per_day.where(F.col("date") == F.to_date(F.lit(AS_OF)))
+    step = rd.metric_array_step(stored, today, day=AS_OF, **keys)
+    upsert_partitions(spark, step.select(*stored.columns), path, ["user_id"], ["month_start"])
+    s = spark.read.parquet(path)
+    return finalize(s.select(
+        "user_id", "month_start", F.lit("site_hits").alias("metric_name"),
+        F.size("site_hits").cast("bigint").alias("n_days"),
+        F.aggregate("site_hits", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"),
+        _csv(F.col("site_hits")).alias("metric_array")))
+
+
 def host_daily(spark, sf_dir):
     ev = dl.in_days(si.web_events(spark, sf_dir), start=MONTH_START, end=AS_OF) \
         .where(F.col("user_id").isNotNull() & F.col("host").isNotNull())
@@ -170,6 +191,7 @@ QUERIES = {
     "host_datelist": q_host_datelist,
     "monthly_hits": q_monthly_hits,
     "metric_array": q_metric_array,
+    "metric_array_upsert": q_metric_array_upsert,
     "host_activity_reduced": q_host_activity_reduced,
     "metric_daily": q_metric_daily,
     "first_days_totals": q_first_days_totals,

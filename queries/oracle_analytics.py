@@ -21,7 +21,9 @@ w AS (SELECT *,
         MAX(CASE WHEN active THEN date END) OVER (PARTITION BY user_id ORDER BY date
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_last,
         COUNT(CASE WHEN active THEN 1 END) OVER (PARTITION BY user_id ORDER BY date
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_dates
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_dates,
+        string_agg(CASE WHEN active THEN CAST(date AS VARCHAR) END, ',') OVER (PARTITION BY user_id
+            ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dates
       FROM marked),
 growth AS (
   SELECT user_id, date, first_active_date,
@@ -36,7 +38,7 @@ growth AS (
               WHEN NOT active AND prev_last = date - 8 THEN 'Churned'
               WHEN (CASE WHEN active THEN date ELSE prev_last END) + 7 >= date - 1 THEN 'Retained'
               ELSE 'Stale' END AS weekly_active_state,
-         n_dates
+         n_dates, dates
   FROM w)"""
 
 DEVICES_AUG = with_standins("web_events", "devices") + """,

@@ -19,14 +19,15 @@ keys AS (SELECT player_id, MIN(season) AS first_season, MAX(player_name) AS play
 snap AS (SELECT player_id, player_name, country,
                 UNNEST(generate_series(first_season, {LAST})) AS current_season FROM keys),
 so_far AS (SELECT s.player_id, s.current_season, COUNT(*) AS n_seasons,
-                  MIN(e.season) AS first_season, MAX(e.season) AS last_season
+                  MIN(e.season) AS first_season, MAX(e.season) AS last_season,
+                  string_agg(e.season || ':' || e.gp, ',' ORDER BY e.season) AS season_list
            FROM snap s JOIN entity_seasons e
              ON e.player_id = s.player_id AND e.season <= s.current_season
            GROUP BY 1, 2),
 players AS (
   SELECT s.player_id, s.player_name, s.country, CAST(s.current_season AS BIGINT) AS current_season,
          a.n_seasons, CAST(a.first_season AS BIGINT) AS first_season,
-         CAST(a.last_season AS BIGINT) AS last_season, e.pts AS last_pts,
+         CAST(a.last_season AS BIGINT) AS last_season, e.pts AS last_pts, a.season_list,
          {CLASS_PTS.format(v='e.pts')} AS scoring_class,
          CAST(s.current_season - a.last_season AS BIGINT) AS periods_since_last_active,
          a.last_season = s.current_season AS is_active
@@ -35,7 +36,7 @@ players AS (
 """
 
 PLAYERS_OUT = """SELECT player_id, player_name, country, current_season, n_seasons, first_season,
-       last_season, round(last_pts, 6) AS last_pts, scoring_class, periods_since_last_active,
+       last_season, round(last_pts, 6) AS last_pts, season_list, scoring_class, periods_since_last_active,
        is_active FROM players"""
 
 
@@ -53,20 +54,23 @@ FROM islands GROUP BY player_id, scoring_class, is_active, island"""
 
 
 FILMS = with_standins("entity_films") + f""",
-per_year AS (SELECT actorid, year, AVG(rating) AS avg_rating FROM entity_films GROUP BY 1, 2),
+per_year AS (SELECT actorid, year, AVG(rating) AS avg_rating, COUNT(*) AS n FROM entity_films GROUP BY 1, 2),
 keys AS (SELECT actorid, MIN(year) AS first_year, MAX(actor) AS actor FROM entity_films GROUP BY 1),
 snap AS (SELECT actorid, actor, UNNEST(generate_series(first_year, {LAST})) AS current_year FROM keys),
 so_far AS (SELECT s.actorid, s.current_year, COUNT(*) AS n_films, SUM(f.votes) AS total_votes,
                   MAX(f.year) AS last_year
            FROM snap s JOIN entity_films f ON f.actorid = s.actorid AND f.year <= s.current_year
-           GROUP BY 1, 2)
+           GROUP BY 1, 2),
+lists AS (SELECT s.actorid, s.current_year, string_agg(y.year || ':' || y.n, ',' ORDER BY y.year) AS year_list
+          FROM snap s JOIN per_year y ON y.actorid = s.actorid AND y.year <= s.current_year GROUP BY 1, 2)
 SELECT s.actorid, s.actor, CAST(s.current_year AS BIGINT) AS current_year, a.n_films,
-       CAST(a.total_votes AS BIGINT) AS total_votes, round(p.avg_rating, 6) AS latest_avg_rating,
+       CAST(a.total_votes AS BIGINT) AS total_votes, round(p.avg_rating, 6) AS latest_avg_rating, l.year_list,
        {CLASS_RATING.format(v='p.avg_rating')} AS quality_class,
        CAST(s.current_year - a.last_year AS BIGINT) AS periods_since_last_active,
        a.last_year = s.current_year AS is_active
 FROM snap s JOIN so_far a ON a.actorid = s.actorid AND a.current_year = s.current_year
-JOIN per_year p ON p.actorid = s.actorid AND p.year = a.last_year"""
+JOIN per_year p ON p.actorid = s.actorid AND p.year = a.last_year
+JOIN lists l ON l.actorid = s.actorid AND l.current_year = s.current_year"""
 
 
 DEDUP_DETAILS = with_standins("game_details") + """,
@@ -137,3 +141,8 @@ SELECT player_id, player_name, edge_type, CAST(SUM(partners) AS BIGINT) AS partn
        round(SUM(own), 6) AS own_points, round(SUM(other), 6) AS partner_points
 FROM sides WHERE partners > 0 GROUP BY 1, 2, 3""",
 }
+
+# the same closed form cut at an earlier season: later players have no rows
+ORACLES["cumulative_backfill_bounded"] = (PLAYERS + PLAYERS_OUT).replace(
+    f"generate_series(first_season, {LAST})", "generate_series(first_season, 1998)")
+ORACLES["scd2_incremental_rerun"] = ORACLES["scd2_incremental"]

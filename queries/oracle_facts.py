@@ -117,3 +117,5 @@ FROM (SELECT UNNEST(generate_series(CAST({D0} AS TIMESTAMP), CAST({D1} AS TIMEST
 LEFT JOIN act a ON a.date = CAST(days.d AS DATE)
 GROUP BY 1, 2""",
 }
+
+ORACLES["metric_array_upsert"] = ORACLES["metric_array"]

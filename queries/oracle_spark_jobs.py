@@ -52,7 +52,7 @@ SELECT e.user_id, d.device_id, upper(d.browser_type) AS browser_type, d.os_type,
 FROM web_events e JOIN devices d ON e.device_id = d.device_id
 WHERE e.user_id IS NOT NULL AND e.device_id IS NOT NULL""",
     "shared_aggregate_users": AGG + """
-SELECT user_id, MAX(event_counts) AS total_hits, COUNT(*) AS n_devices,
+SELECT user_id, MAX(event_counts) AS total_hits, COUNT(device_id) AS n_devices,
        CAST(SUM(event_counts) AS BIGINT) AS n_events
 FROM agg GROUP BY user_id""",
     "shared_aggregate_devices": AGG + """
@@ -66,3 +66,11 @@ SELECT e.device_id, e.url, e.referrer, e.user_id, e.host, e.event_time, e.ip, e.
        d.os_type AS os_family, d.device_type
 FROM web_events e LEFT JOIN devices d ON d.device_id = e.device_id""",
 }
+
+ORACLES["shared_aggregate_job"] = AGG + """
+SELECT 'user' AS side, CAST(user_id AS VARCHAR) AS id, COUNT(device_id) AS n_others,
+       CAST(SUM(event_counts) AS BIGINT) AS n_events
+FROM agg GROUP BY user_id
+UNION ALL
+SELECT 'device', CAST(d.device_id AS VARCHAR), COUNT(*), CAST(SUM(a.event_counts) AS BIGINT)
+FROM devices d JOIN agg a ON a.device_id = d.device_id GROUP BY d.device_id, d.device_type"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dimstack.operators import matches as mt
 from dimstack.operators.patterns import top_per_level
+from dimstack.plans.days import materialize
 from dimstack.plans.layout import bucket_join_report, layout_report
 from dimstack.sources import standins as si
 
@@ -60,6 +61,18 @@ def q_shared_aggregate_devices(spark, sf_dir):
     return finalize(devs)
 
 
+def q_shared_aggregate_job(spark, sf_dir):
+    """Both outputs in one job over one stored aggregate."""
+    agg = materialize(mt.events_aggregated(si.web_events(spark, sf_dir)), "shared_aggregate")
+    users = agg.groupBy("user_id").agg(F.count("device_id").alias("n_others"), F.sum("event_counts").alias("n_events"))
+    devs = (si.devices(spark, sf_dir).select("device_id", "device_type").join(agg, "device_id")
+            .groupBy("device_id", "device_type")
+            .agg(F.count(F.lit(1)).alias("n_others"), F.sum("event_counts").alias("n_events")))
+    sides = [df.select(F.lit(side).alias("side"), F.col(key).cast("string").alias("id"), "n_others", "n_events")
+             for side, key, df in (("user", "user_id", users), ("device", "device_id", devs))]
+    return finalize(sides[0].unionByName(sides[1]))
+
+
 def q_event_device_left(spark, sf_dir):
     return finalize(mt.event_device_left(si.web_events(spark, sf_dir), si.devices(spark, sf_dir)))
 
@@ -72,5 +85,6 @@ QUERIES = {
     "typed_enrichment": q_typed_enrichment,
     "shared_aggregate_users": q_shared_aggregate_users,
     "shared_aggregate_devices": q_shared_aggregate_devices,
+    "shared_aggregate_job": q_shared_aggregate_job,
     "event_device_left": q_event_device_left,
 }

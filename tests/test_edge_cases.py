@@ -46,16 +46,18 @@ def test_grain_violations_and_upsert(spark):
     assert got == [(1, "x", 1), (2, "y", 9), (3, "z", 1)]
 
 
-def test_device_map_merge_keeps_new_browser(spark):
+def test_device_lists_keep_new_browser(spark):
     prev = spark.createDataFrame(
-        [(1, {"chrome": [D(2024, 1, 1)]}, D(2024, 1, 1))],
-        "user_id bigint, device_activity_datelist map<string,array<date>>, date date")
+        [(1, "chrome", [D(2024, 1, 1)], D(2024, 1, 1)), (1, "opera", [D(2024, 1, 1)], D(2024, 1, 1))],
+        "user_id bigint, browser_type string, dates_active array<date>, date date")
     today = spark.createDataFrame([(1, "safari", D(2024, 1, 2)), (1, "chrome", D(2024, 1, 2))],
                                   "user_id bigint, browser_type string, date date")
-    out = dl.device_datelist_step(prev, today, today="2024-01-02").collect()[0]
-    m = out["device_activity_datelist"]
-    assert m == {"chrome": [D(2024, 1, 1), D(2024, 1, 2)], "safari": [D(2024, 1, 2)]}   # Q17
-    assert out["date"] == D(2024, 1, 2)
+    out = dl.device_datelist_step(prev, today, today="2024-01-02")
+    assert {r["browser_type"]: r["dates_active"] for r in out.collect()} == {
+        "chrome": [D(2024, 1, 1), D(2024, 1, 2)], "safari": [D(2024, 1, 2)], "opera": [D(2024, 1, 1)]}   # Q17
+    assert {r["date"] for r in out.collect()} == {D(2024, 1, 2)}
+    bits = dl.any_device_bits(out, start="2024-01-01", end="2024-01-02").collect()
+    assert [tuple(r) for r in bits] == [(1, 3, 2)]
 
 
 def test_bits_compat_drops_today(spark):
