@@ -97,6 +97,15 @@ def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
 
     from ..session import checkpoint_path
     spark = df.sparkSession
-    path = checkpoint_path(spark, "materialized", f"{name}_{uuid.uuid4().hex}")
+    path = checkpoint_path(spark, "materialized", spark.sparkContext.applicationId,
+                           f"{name}_{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_materialized(spark: SparkSession) -> None:
+    """Delete the intermediates that ``materialize`` wrote below this session's
+    checkpoint folder.  Call it when the results built on them are consumed."""
+    from ..session import checkpoint_path
+    from ..sources.files import remove_path
+    remove_path(spark, checkpoint_path(spark, "materialized", spark.sparkContext.applicationId))
