@@ -18,9 +18,9 @@ class Sparse:
     @classmethod
     def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
         if not rows:
-            return cls(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
-        return cls(np.concatenate([r[0] for r in rows]).astype(np.int64),
-                   np.concatenate([r[1] for r in rows]).astype(np.float64),
+            return cls(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.int64))
+        return cls(np.concatenate([r[0] for r in rows]).astype(np.int32),
+                   np.concatenate([r[1] for r in rows]).astype(np.float32),
                    np.cumsum([len(r[0]) for r in rows]))
 
     def rows(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -36,14 +36,15 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_logistic(x: Sparse, y: np.ndarray, n_features: int, epochs: int = 20, batch: int = 128,
-                 rate: float = 0.5, l2: float = 1e-6, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Logistic regression by mini-batch Adagrad; the same rows in the same
-    order give the same weights."""
+def fit_logistic(x: Sparse, y: np.ndarray, n_features: int, rows: np.ndarray | None = None, epochs: int = 20,
+                 batch: int = 128, rate: float = 0.5, l2: float = 1e-6, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Logistic regression by mini-batch Adagrad on some ``rows`` (all by
+    default); the same rows in the same order give the same weights."""
+    rows = np.arange(len(y)) if rows is None else rows
     rng = np.random.default_rng(seed)
     w, g2, b, b2 = np.zeros(n_features), np.full(n_features, 1e-8), 0.0, 1e-8
     for _ in range(epochs):
-        for order in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
+        for order in np.array_split(rng.permutation(rows), max(1, len(rows) // batch)):
             f, v, row = x.rows(order)
             err = sigmoid(np.bincount(row, v * w[f], len(order)) + b) - y[order]
             used, at = np.unique(f, return_inverse=True)

@@ -144,13 +144,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col
     if not len(y) or y.min() == y.max():
         return None
     x = Sparse.of([(np.frombuffer(r.f, "<u4"), np.frombuffer(r.v, "<f4")) for r in got])
+    del got
     held = np.arange(len(y)) % 5 == 0
     fit = np.flatnonzero(~held)
     if y[fit].min() == y[fit].max():
         fit = np.arange(len(y))
-    f, v, row = x.rows(fit)
-    part = Sparse(f, v, np.cumsum(np.bincount(row, minlength=len(fit))))
-    weights, bias = fit_logistic(part, y[fit], BUCKETS)
+    weights, bias = fit_logistic(x, y, BUCKETS, fit)
     f, v, row = x.rows(np.flatnonzero(held))
     raw = np.bincount(row, v * weights[f], held.sum()) + bias
     slope, shift = fit_platt(raw, y[held])
