@@ -74,20 +74,21 @@ def block_masks(blocks: int, distance: int, bits: int = 64) -> list[int]:
 
 
 def _forest(fps: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
-    """Spanning forest of the links within one bucket of distinct fingerprints.
+    """The groups that links form within one bucket of distinct fingerprints,
+    each as a star around its first one.
 
     Breadth first: each reached fingerprint leaves the list of open ones, so
-    at most n - 1 links come out and memory is linear in the bucket.
+    at most n - 1 pairs come out and memory is linear in the bucket.
     """
     open_, left, right = fps, [], []
     while len(open_) > 1:
-        queue, open_ = [open_[0]], open_[1:]
+        first, queue, open_ = int(open_[0]), [open_[0]], open_[1:]
         while queue and len(open_):
             at = queue.pop()
             near = np.bitwise_count(open_ ^ at) <= distance
             if near.any():
                 found = open_[near]
-                left += [int(at)] * len(found)
+                left += [first] * len(found)
                 right += found.tolist()
                 queue += list(found)
                 open_ = open_[~near]
@@ -117,9 +118,9 @@ def _links(keys: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray
 
 
 def similar_pairs(fps: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:
-    """Links ``(u, v)`` that connect the distinct fingerprints ``fp`` within
-    ``distance`` bits: short buckets give their close pairs, a long bucket a
-    spanning forest.
+    """Pairs ``(u, v)`` that connect the distinct fingerprints ``fp`` as links
+    within ``distance`` bits do: short buckets give their close pairs, a long
+    bucket a star for each of its groups.
 
     A bucket holds distinct fingerprints that agree on its blocks.  Unrelated
     ones thin out by 2^-(block bits); a group of near copies of any size has
