@@ -34,7 +34,7 @@ GRAM = 64
 #: Bytes of a text that are hashed at once.
 PIECE = 1 << 19
 #: Bytes of open segments in one suffix array.
-SHARD = 4 << 20
+SHARD = 1 << 20
 #: Fingerprints that one merging task holds, about.
 RANGE = 2_000_000
 #: Longest run of text positions that one Kasai lane walks.
