@@ -264,7 +264,7 @@ def test_leaks(spark):
 
     rows = [(i, filler(60), None) for i in range(30)]
     rows += [(100, filler(50) + " " + items[0][1] + " " + filler(500), 0), (101, edited(items[1][1], 0.15), 1),
-             (102, filler(300) + edited(items[2][1], 0.2) + filler(20), 2), (103, items[7][1], 7), (104, None, None),
+             (102, filler(300) + edited(items[2][1], 0.2) + filler(20), 2), (103, items[-1][1], 7), (104, None, None),
              (105, "", None), (None, items[3][1].upper().replace(" ", ", "), 3)]
     rows += [(200 + k, filler(k) + " " + items[4][1], 4) for k in range(40)]
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, __k string")
