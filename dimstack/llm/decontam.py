@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test
+"""Benchmark decontamination: n-gram seeds join training passages to test
 items, and Smith-Waterman alignment scores the pairs.
 
 The texts are read once.  A fixed-size bit table of the items' n-grams (1 MB,
@@ -9,13 +9,14 @@ there on everything is small and runs as joins.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -191,6 +192,13 @@ def _item_parts(words: list[int]) -> list[list[int]]:
     return [words[lo:hi] for lo, hi in zip(cuts, [*cuts[1:], len(words)])]
 
 
+def _can_reach(item: list[int], text: list[int], least: float) -> bool:
+    """Whether an alignment could score ``least``: no more words can match than
+    both hold, each counted as often as it occurs in both."""
+    have = Counter(text)
+    return MATCH * sum(min(n, have[w]) for w, n in Counter(item).items()) >= least
+
+
 def _score(batches: Iterator[pd.DataFrame], min_score: float) -> Iterator[pd.DataFrame]:
     for frame in batches:
         keep = []
@@ -201,9 +209,17 @@ def _score(batches: Iterator[pd.DataFrame], min_score: float) -> Iterator[pd.Dat
         order = sizes.sort_values(kind="stable").index.to_numpy()
         for lo in range(0, len(order), 128):
             at = order[lo:lo + 128]
-            pairs = [(k, part, number(frame.words[k])) for k in at for part in _item_parts(number(" ".join(words_of(frame.item_text[k]))))]
+            pairs = []
+            for k in at:
+                text = number(frame.words[k])
+                parts = _item_parts(number(" ".join(words_of(frame.item_text[k]))))
+                pairs += [(k, part, text) for part in parts if _can_reach(part, text, min_score * MATCH * len(part))]
+            if not pairs:
+                continue
             for (k, item, _), (score, _, end) in zip(pairs, align([p[1] for p in pairs], [p[2] for p in pairs])):
                 keep.append((k, score / (MATCH * len(item)), int(frame.start[k]) + end))
+        if not keep:
+            continue
         got = pd.DataFrame(keep, columns=["k", "score", "end_word"])
         got = got[got.score >= min_score].sort_values(["k", "score"]).drop_duplicates("k", keep="last")
         out = frame.loc[got.k, ["id", "text_key", "item"]].reset_index(drop=True)
@@ -219,9 +235,8 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
 
     score is the best local alignment of the item's words with a passage, as a
     share of the score of a perfect copy; end_word is where it ends.  Seeds are
-    the items' n-grams.  Of each item the rarer half (by the number of passages
-    in the corpus, ties included) and every n-gram in less than a thousandth of
-    all passages are joined, so an item whose passage is everywhere keeps seeds.
+    the items' n-grams, all of them: a passage and an item that share one are a
+    pair, however often the seed occurs elsewhere.
 
     Items without n words, NULL texts and NULL item ids match nothing; rows that
     share an id and a text count once; empty tables give an empty result.
@@ -229,21 +244,14 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
     spark = docs.sparkSession
     seeds = materialize(item_seeds(items, item_col, item_text, seed), "seeds")
     found = materialize(passages(docs, _bit_table(seeds), id_col, text_col, seed), "passages")
-    grams = seeds.select("seed", "item").distinct()
-    counts = (found.select(F.explode(F.array_distinct("hits")).alias("seed"))
-              .groupBy("seed").agg(F.count("*").alias("df")))
-    total = found.count()
-    by_df = Window.partitionBy("item").orderBy("df")
-    ranked = (grams.join(counts, "seed").withColumn("place", F.percent_rank().over(by_df)))
-    rare = materialize(ranked.filter((F.col("place") <= 0.5) | (F.col("df") * 1000 < total))
-                       .select("seed", "item", "df"), "rare")
+    grams = materialize(seeds.select("seed", "item").distinct(), "grams")
     # passages with equal words have equal scores: the pairs are few even if a
     # passage is in a third of all documents
     texts = materialize(found.groupBy(F.xxhash64("words").alias("p"), F.xxhash64(F.lit("second"), "words").alias("q"))
                         .agg(F.first("words").alias("words"), F.first("hits").alias("hits"),
                              F.count("*").alias("n")), "passage-texts")
     hits = texts.select("p", "q", F.explode(F.array_distinct("hits")).alias("seed"))
-    pairs = (hits.join(rare.hint("merge"), "seed").select("p", "q", "item").distinct())
+    pairs = hits.join(grams.hint("merge"), "seed").select("p", "q", "item").distinct()
     named = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("item_text")).dropDuplicates(["item"])
     ready = (pairs.join(texts.select("p", "q", "words"), ["p", "q"]).join(named, "item")
              .select(F.col("p").alias("id"), F.col("q").alias("text_key"), "item", "item_text", "words",

@@ -276,6 +276,22 @@ def test_leaks(spark):
     assert sorted(map(str, (r.doc_id for r in clean.collect()))) == sorted(str(i) for i, _, k in rows if k is None)
 
 
+def test_edited_copy_beside_verbatim_ones(spark):
+    """Seeds that survive in the edited copy are the item's most frequent ones."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(40)]
+    rows = [(k, " ".join([word() for _ in range(k)] + item)) for k in range(40)]
+    rows.append((100, " ".join(word() if k % 5 == 2 else w for k, w in enumerate(item))))
+    rows += [(200 + k, " ".join(word() for _ in range(60))) for k in range(20)]
+    rows.append((300, " ".join([word() for _ in range(60)] + item[:4])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {(r.id, r.item): r.score for r in decontam.leaks(docs, bench).collect()}
+    assert set(got) == {(i, 1) for i, _ in rows if i < 200}
+    assert got[100, 1] == brute_align(item, rows[40][1].split()) / (2 * len(item))
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
