@@ -1,8 +1,9 @@
 """Main text of web pages by consensus paths per host.
 
-Each page scores its containers and votes for the generalised path (tags and
-classes, digits alike) of its best one; Spark counts the votes per host; then
-every page is extracted again below the best path of its host that it has.
+Each page is parsed once, scores its containers and votes for the generalised
+path (tags and classes, digits alike) of its best one.  Spark counts the votes
+per host and path and joins them with the paths of the pages' shapes; a page
+gives its blocks below the path with most votes among those that it has.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +40,8 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising adbox ban
                   "toolbar pagination pager masthead complementary contentinfo search".split())
 HEADER_MARKS = frozenset("header topbar".split())
 CONTENT_MARKS = frozenset("content article post entry story main text".split())
-#: Paths kept per host, best first.
-PATHS = 5
+#: Pages whose blocks are passed on at a time.
+PAGES = 256
 
 
 def _words(attributes: dict) -> set[str]:
@@ -142,8 +144,12 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], dict[str, float], str,
 def container_scores(html: str) -> dict[str, float]:
     """Score per container path: unlinked text and commas of its own blocks,
     more for article-like containers, and part of what its children score."""
+    return _scores(blocks(html))
+
+
+def _scores(found: Iterable[tuple]) -> dict[str, float]:
     score: dict[str, float] = defaultdict(float)
-    for paths, boosts, text, linked in blocks(html):
+    for paths, boosts, text, linked in found:
         worth = max(0, len(text) - 2 * linked) + 10 * text.count(",")
         for path in reversed(paths):
             score[path] += worth * boosts[path]
@@ -157,7 +163,10 @@ def main_text(html: str, path: str | None) -> str:
 
 
 def best_path(html: str) -> tuple[str | None, float]:
-    score = container_scores(html)
+    return _best(container_scores(html))
+
+
+def _best(score: dict[str, float]) -> tuple[str | None, float]:
     best = min(score, key=lambda p: (-score[p], p), default=None)
     return best, score.get(best, 0.0)
 
@@ -166,55 +175,84 @@ def host_of(url_col: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """``(host, paths, n)`` from ``pages(host, html)``: the paths with most
-    votes, then most score, and the host's pages."""
-    schema = pages.select("host").schema.add("path", T.StringType()).add("score", T.DoubleType())
-    arrow = to_arrow_schema(schema)
+def parsed(pages: DataFrame) -> DataFrame:
+    """The rows of ``pages(id, url, host, html)`` without html but with
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [best_path(h.as_py()) for h in b.column("html")]
-            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array([g[0] for g in got], pa.string()),
-                                              pa.array([float(g[1]) for g in got], pa.float64())], schema=arrow)
+    * path, score: the page's own best container;
+    * paths, shape: its container paths in order, and a key of them;
+    * texts, inside: its blocks, and for each the places in paths of the
+      containers that it is in.
+    """
+    schema = (pages.select("id", "url", "host").schema.add("path", T.StringType()).add("score", T.DoubleType())
+              .add("shape", T.BinaryType()).add("paths", T.ArrayType(T.StringType()))
+              .add("texts", T.ArrayType(T.StringType())).add("inside", T.ArrayType(T.ArrayType(T.IntegerType()))))
+    arrow = to_arrow_schema(schema)
 
-    votes = (pages.select("host", "html").mapInArrow(vote, schema).groupBy("host", "path")
-             .agg(F.count("*").alias("votes"), F.sum("score").alias("score")))
-    # at most one row per path of a host is left, few even for the largest host
-    ranked = F.sort_array(F.collect_list(F.when(F.col("path").isNotNull(), F.struct(
-        -F.col("votes"), -F.col("score"), F.col("path").alias("path")))))
-    return votes.groupBy("host").agg(F.slice(ranked, 1, PATHS).alias("r"), F.sum("votes").alias("n")).select(
-        "host", F.col("r.path").alias("paths"), "n")
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, PAGES):
+                b = whole.slice(lo, PAGES)
+                new: dict[str, list] = {name: [] for name in arrow.names[3:]}
+                for h in b.column("html"):
+                    found = list(blocks(h.as_py()))
+                    path, score = _best(_scores(found))
+                    paths = sorted({p for ps, _, _, _ in found for p in ps})
+                    place = {p: k for k, p in enumerate(paths)}
+                    new["path"].append(path)
+                    new["score"].append(float(score))
+                    # no path holds white space
+                    new["shape"].append(xxhash.xxh3_128_digest("\n".join(paths).encode("utf-8", "replace")))
+                    new["paths"].append(paths)
+                    new["texts"].append([t for _, _, t, _ in found])
+                    new["inside"].append([[place[p] for p in ps] for ps, _, _, _ in found])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id"), b.column("url"), b.column("host"),
+                     *(pa.array(new[name], arrow.field(name).type) for name in arrow.names[3:])], schema=arrow)
+
+    return pages.mapInArrow(parse, schema)
+
+
+def shape_paths(pages: DataFrame) -> DataFrame:
+    """``(host, shape, path, n)`` from ``pages(host, path, score, shape,
+    paths)``: for the n pages of a host with equal container paths, the one
+    with most votes of the host, then most score.
+
+    Nothing is gathered per host: votes, shapes and their paths are rows.  A
+    path that is in most shapes of a large host is a hot key of that join.
+    """
+    seen = materialize(pages.groupBy("host", "shape", "paths", "path").agg(
+        F.count("*").alias("votes"), F.sum("score").alias("score")), "page-shapes")
+    votes = (seen.filter("path IS NOT NULL").groupBy("host", "path")
+             .agg(F.sum("votes").alias("votes"), F.sum("score").alias("score")))
+    shapes = seen.groupBy("host", "shape", "paths").agg(F.sum("votes").alias("n"))
+    held = materialize(shapes.select("host", "shape", "n", F.explode_outer("paths").alias("path")), "shape-paths")
+    # every path of a shape has a row, also those that nobody voted for
+    rows = held.groupBy("host", "path").agg(F.count("*").alias("rows")).join(votes.hint("merge"), ["host", "path"], "left")
+    rows = materialize(rows.filter("path IS NOT NULL"), "path-votes")
+    total = rows.agg(F.sum("rows")).first()[0] or 0
+    best = F.min(F.when(F.col("votes").isNotNull(), F.struct(-F.col("votes"), -F.col("score"), F.col("path").alias("path"))))
+    return (join_dimension(held, rows, ["host", "path"], "rows", total).groupBy("host", "shape")
+            .agg(best.alias("b"), F.first("n").alias("n")).select("host", "shape", F.col("b.path").alias("path"), "n"))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                       html_col: str = "html") -> DataFrame:
     """``(id_col, url_col, text, path)`` per page: the main text and the
-    container path it came from.
+    container path it came from, the one with most votes of its host among all
+    that the page has.
 
-    A page without any of its host's paths uses its own best container.  NULL
-    or empty html gives an empty text and a NULL path; pages without a host
-    vote together; repeated rows and ids stay as they are; other columns are
-    ignored; an empty table gives an empty result.
+    NULL or empty html gives an empty text and a NULL path; pages without a
+    host vote together; repeated rows and ids stay as they are; other columns
+    are ignored; an empty table gives an empty result.
     """
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(url_col).alias("host"),
                        F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    paths = materialize(host_paths(src), "host-paths")
-    total = paths.agg(F.sum("n")).first()[0] or 0
-    joined = join_dimension(src, paths, ["host"], "n", total).select("id", "url", "html", "paths")
-    schema = joined.select("id", "url").schema.add("text", T.StringType()).add("path", T.StringType())
-    arrow = to_arrow_schema(schema)
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, used = [], []
-            for h, known in zip(b.column("html"), b.column("paths")):
-                found = list(blocks(h.as_py()))
-                here = {p for ps, _, _, _ in found for p in ps}
-                path = next((p for p in known.as_py() or [] if p in here), None) or best_path(h.as_py())[0]
-                texts.append("\n".join(t for ps, _, t, _ in found if path in ps))
-                used.append(path)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string()),
-                                              pa.array(used, pa.string())], schema=arrow)
-
-    return joined.mapInArrow(extract, schema).withColumnsRenamed({"id": id_col, "url": url_col})
+    read = materialize(parsed(src), "parsed-pages")
+    chosen = materialize(shape_paths(read), "host-paths")
+    total = chosen.agg(F.sum("n")).first()[0] or 0
+    joined = join_dimension(read.drop("path", "score"), chosen, ["host", "shape"], "n", total)
+    place = (F.array_position("paths", F.col("path")) - 1).cast("int")
+    text = F.array_join(F.filter("texts", lambda t, k: F.array_contains(F.col("inside")[k], F.col("place"))), "\n")
+    return (joined.withColumn("place", place)
+            .select(F.col("id").alias(id_col), F.col("url").alias(url_col),
+                    F.when(F.col("path").isNull(), "").otherwise(text).alias("text"), "path"))

@@ -50,6 +50,24 @@ def test_host_consensus(spark):
     assert hx.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_consensus_of_a_host_with_many_templates(spark):
+    """Each of nine templates has its own consensus, also the one with fewest votes."""
+    body = "<p>" + "word, " * 30 + "end.</p>"
+    page = lambda k, a, b: f'<body><div class="story{"abcdefghi"[k]}">{a}</div><div class="x{"abcdefghi"[k]}">{b}</div></body>'
+    rows = [(100 * k + i, "http://a.example/1", page(k, body, "<p>short</p>")) for k in range(9) for i in range(12 - k)]
+    rows += [(1000 + k, "http://a.example/2", page(k, "<p>Brief.</p>", body * 3)) for k in range(9)]
+    # a host where every page has a class of its own
+    slug = lambda i: "".join("abcdefghij"[int(c)] for c in str(1000 + i))
+    rows += [(2000 + i, "http://b.example/", f'<body><div class="{slug(i)}"><div>{body}</div></div></body>') for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.path, len(r.text.split())) for r in hx.extract_main_text(pages.repartition(3)).collect()}
+    assert len(got) == len(rows)
+    for k in range(9):
+        story = f"/body/div.story{'abcdefghi'[k]}"
+        assert all(got[100 * k + i] == (story, 31) for i in range(12 - k)) and got[1000 + k] == (story, 1)
+    assert all(got[2000 + i] == (f"/body/div.{slug(i)}/div", 31) for i in range(50))
+
+
 def test_query_against_the_pages_own_markup(spark):
     """The driver's pages have one article each: its paragraphs are the text."""
     got = {r.page_id: r for r in queries.op7_html_extraction(spark, SF).collect()}
