@@ -161,12 +161,13 @@ def similar_pairs(fps: DataFrame, distance: int = 4, blocks: int = 6) -> DataFra
 
 def near_duplicate_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 6,
                           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``(id_col, text_key, fp, component_id)``.
+    """One row per document: ``(id_col, text_key, fp, component_id, root)``.
 
     component_id is the smallest id reachable over links of at most
     ``distance`` bits.  NULL and empty texts have fingerprint zero and link
     like any other; repeated rows keep their own output rows; a group whose
     ids are all NULL has a NULL component; an empty table gives an empty one.
+    root is a fingerprint that names the group, also one without ids.
     """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
     distinct = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("low")), "simhash-distinct")
@@ -176,8 +177,8 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = 4, distance: int = 4,
     # components of one fingerprint need no second look-up
     lone = by_fp.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = materialize(by_fp.select("fp", "root").join(materialize(lone, "simhash-id").hint("merge"), "root")
-                      .select("fp", "component_id"), "simhash-component")
-    return rows.join(ids.hint("merge"), "fp").select(id_col, "text_key", "fp", "component_id")
+                      .select("fp", "component_id", "root"), "simhash-component")
+    return rows.join(ids.hint("merge"), "fp").select(id_col, "text_key", "fp", "component_id", "root")
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 6,
@@ -187,9 +188,8 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, distance: int = 4, blo
     identical repeated rows one stays."""
     groups = near_duplicate_groups(docs, shingle, distance, blocks, id_col, text_col)
     order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("text_key").alias("k"))
-    keep = (groups.groupBy(F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string"))).alias("g"))
-            .agg(F.min(order).alias("o")).select("o.i", "o.k"))
+    keep = groups.groupBy("root").agg(F.min(order).alias("o")).select("o.i", "o.k")
     kept = join_by_document(docs, keep, "left_semi", id_col, text_col)
-    # identical repeated rows are all still here
+    # identical repeated rows are all still here; each task passes on one of them
     copy = F.row_number().over(Window.partitionBy(id_col, text_key(text_col)).orderBy(F.lit(1)))
     return kept.select("*", copy.alias("copy number")).filter("`copy number` = 1").select(*docs.columns)

@@ -90,6 +90,21 @@ def test_simhash_groups(docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(c) for _, _, c in want})
 
 
+def test_near_copies_without_ids(spark):
+    """A group without any id is one group, whatever its fingerprints."""
+    rng = random.Random(4)
+    base = [f"v{rng.randrange(10**6)}" for _ in range(600)]
+    rows = [(None, " ".join([*base[:k], "other", *base[k + 1:]])) for k in range(0, 600, 60)]
+    rows += [(None, rows[0][1]), (None, "alone here " * 9), (3, " ".join(f"u{k}" for k in range(50)))]
+    want = brute_groups(rows)
+    group = {f for _, f, c in want[:10]}
+    assert len(group) > 1 and all(min(bin(f ^ g).count("1") for g in group - {f}) <= 4 for f in group)
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    kept = simhash.keep_one_per_group(df).collect()
+    assert sorted(min(r.row, 1) if r.row < 11 else r.row for r in kept) in ([0, 11, 12], [1, 11, 12])
+    assert "WindowGroupLimit [doc_id" in simhash.keep_one_per_group(df)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_close_fingerprints_meet_in_a_block():
     rng = random.Random(1)
     masks = simhash.block_masks(6, 4)
