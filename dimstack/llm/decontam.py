@@ -72,25 +72,27 @@ def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_seeds(items: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """``(item, seed, at)``: every n-gram of every item with its position.  Items
-    of fewer than n words have one seed of all their words."""
+    """``(item, seed, size)``: every n-gram of every item and its number of words.
+    Items of fewer than n words have one seed of all their words."""
     src = items.select(F.col(id_col).alias("item"), F.col(text_col).alias("t")).filter("item IS NOT NULL")
-    schema = src.select("item").schema.add("seed", "long").add("at", "integer")
+    schema = src.select("item").schema.add("seed", "long").add("size", "integer")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
         for b in batches:
-            rows, seeds, at = [], [], []
+            rows, seeds, sizes = [], [], []
             for i, t in enumerate(b.column("t")):
-                h = seed_hashes(words_of(t.as_py()), cache, n)
+                words = words_of(t.as_py())
+                size = max(1, min(n, len(words)))
+                h = seed_hashes(words, cache, size)
                 rows += [i] * len(h)
                 seeds.append(h.view(np.int64))
-                at.append(np.arange(len(h), dtype=np.int32))
+                sizes.append(np.full(len(h), size, np.int32))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("item").take(pa.array(rows)), pa.array(np.concatenate(seeds)),
-                     pa.array(np.concatenate(at))], schema=arrow)
+                     pa.array(np.concatenate(sizes))], schema=arrow)
 
     return src.mapInArrow(run, schema)
 
@@ -110,9 +112,10 @@ def _bit_table(seeds: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, n: int) -> DataFrame:
+def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
     """``(id, text_key, start, words, hits)``: the parts of each text around
-    n-grams that may be seeds; hits are their hashes."""
+    runs of ``sizes`` words that may be seeds; hits are their hashes."""
+    n = max(sizes, default=0)
     src = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("t"))
     schema = (src.select("id", "text_key").schema.add("start", "integer").add("words", "string")
               .add("hits", T.ArrayType(T.LongType())))
@@ -125,15 +128,13 @@ def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, n: int)
             rows, starts, texts, hits = [], [], [], []
             for i, t in enumerate(b.column("t")):
                 words = words_of(t.as_py())
-                h = seed_hashes(words, cache, n)
-                one, two = _slots(h)
-                at = np.flatnonzero(bits[one] & bits[two])
+                at, h = _hits(words, cache, bits, sizes)
                 for lo, hi in _runs(at):
                     first = max(0, int(at[lo]) - REACH)
                     rows.append(i)
                     starts.append(first)
                     texts.append(" ".join(words[first:int(at[hi - 1]) + n + REACH]))
-                    hits.append(h[at[lo:hi]].view(np.int64))
+                    hits.append(h[lo:hi].view(np.int64))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(pa.array(rows)), b.column("text_key").take(pa.array(rows)),
@@ -143,6 +144,20 @@ def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, n: int)
     return src.mapInArrow(run, schema)
 
 
+def _hits(words: list[str], cache: dict, bits: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions, in order, and hashes of the runs of words that may be seeds."""
+    at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for n in sizes:
+        h = seed_hashes(words, cache, n)
+        one, two = _slots(h)
+        hit = np.flatnonzero(bits[one] & bits[two])
+        at.append(hit)
+        found.append(h[hit])
+    places = np.concatenate(at)
+    order = np.argsort(places, kind="stable")
+    return places[order], np.concatenate(found)[order]
+
+
 def _runs(at: np.ndarray) -> Iterator[tuple[int, int]]:
     """Slices of hit positions that share a passage."""
     if not len(at):
@@ -238,12 +253,15 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
     the items' n-grams, all of them: a passage and an item that share one are a
     pair, however often the seed occurs elsewhere.
 
-    Items without n words, NULL texts and NULL item ids match nothing; rows that
-    share an id and a text count once; empty tables give an empty result.
+    Items of fewer than n words have one seed of all their words, so they match
+    where these stand in a row.  Items without words, NULL texts and NULL item
+    ids match nothing; rows that share an id and a text count once; empty tables
+    give an empty result.
     """
     spark = docs.sparkSession
     seeds = materialize(item_seeds(items, item_col, item_text, seed), "seeds")
-    found = materialize(passages(docs, _bit_table(seeds), id_col, text_col, seed), "passages")
+    sizes = sorted(r.size for r in seeds.select("size").distinct().collect())
+    found = materialize(passages(docs, _bit_table(seeds), id_col, text_col, sizes), "passages")
     grams = materialize(seeds.select("seed", "item").distinct(), "grams")
     # passages with equal words have equal scores: the pairs are few even if a
     # passage is in a third of all documents

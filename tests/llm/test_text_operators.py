@@ -307,6 +307,16 @@ def test_edited_copy_beside_verbatim_ones(spark):
     assert got[100, 1] == brute_align(item, rows[40][1].split()) / (2 * len(item))
 
 
+def test_short_items(spark):
+    """Items of fewer words than a seed match where their words stand in a row."""
+    texts = ["x y z", "Say: cheese cake!", "cake, cheese", "blue cheese or red cake now", "w " * 300 + "blue", "one two three four", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = ["cheese cake", "blue", "or red cake", "one two three four", "two four", "", "missing"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.id, r.item, r.score, r.end_word) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {(1, 0, 1.0, 3), (3, 1, 1.0, 1), (3, 2, 1.0, 5), (4, 1, 1.0, 301), (5, 3, 1.0, 4)}
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
