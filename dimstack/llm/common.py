@@ -98,6 +98,14 @@ def join_by_document(docs: DataFrame, found: DataFrame, how: str, id_col: str =
     return out if how in ("left_semi", "left_anti") else out.select(*docs.columns, fresh[2])
 
 
+def fresh_name(df: DataFrame, stem: str = "__text") -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def text_key(text: str = "text"):
     """64-bit key of a whole text.  With the document id it names a row by its
     content: rows that agree on both have the same result in every operator."""
