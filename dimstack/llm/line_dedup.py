@@ -39,7 +39,8 @@ def _lost(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFr
     that hold over a thousandth of the shared lines (fewer than HEAVY exist) are
     matched by broadcast, all others by a shuffle join.
     """
-    lines = _lines(docs, id_col, text_col, min_chars)
+    # split and hashed once; what is read again are ids, positions and hashes
+    lines = materialize(_lines(docs, id_col, text_col, min_chars), "line-hashes")
     # NULL ids are one document, after all others
     order = F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"))
     shared = materialize(
