@@ -104,13 +104,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, i
                     text_col: str = "text", where=None) -> DataFrame:
     """``(id_col, text_col, label)`` of at most ``size`` labelled documents,
     those whose ids hash lowest: the same rows on every run, whatever the input
-    order.  At most ``size`` label rows are broadcast."""
+    order.  Of the rows that share an id, the one with the smallest text counts,
+    with the id's largest label.  At most ``size`` label rows are broadcast, and
+    each task passes on one row per picked id."""
     picked = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull())
     if where is not None:
         picked = picked.filter(where)
     picked = (picked.groupBy(id_col).agg(F.max(label).alias(label))
               .orderBy(F.xxhash64(F.col(id_col)), id_col).limit(size))
-    return docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
+    return (docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
+            .groupBy(id_col).agg(F.min(text_col).alias(text_col), F.first(label).alias(label)))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",

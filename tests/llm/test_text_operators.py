@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from dimstack.llm import decontam, line_dedup, packing, quality, queries, simhash, toxicity
+from dimstack.llm import decontam, line_dedup, linear, packing, quality, queries, simhash, toxicity
 from dimstack.llm.components import connected_components
 from dimstack.llm.linear import Sparse, fit_factorization, fit_logistic, fit_platt, sigmoid
 
@@ -166,7 +166,42 @@ def test_toxicity_on_held_out_rows(spark):
     toxic = [r.score for r in rows if r.toxic == 1]
     clean = [r.score for r in rows if r.toxic == 0]
     assert np.mean([t > c for t in toxic for c in clean]) > 0.98
-    assert np.mean([s < 0.5 for s in clean]) > 0.98 and np.mean([s >= 0.5 for s in toxic]) > 0.85
+    assert np.mean([s < 0.5 for s in clean]) > 0.99 and np.mean([s >= 0.5 for s in toxic]) > 0.9
+
+
+def without_factors(model):
+    return toxicity.ToxicityModel(model.buckets, linear.Factorization(
+        model.machine.bias, model.machine.linear, np.zeros_like(model.machine.factors)))
+
+
+def test_toxicity_pairs_decide(spark):
+    """An insult or a mention alone is harmless, in a text of many other words;
+    with the query's own parameters the pair is learned, and by the factors."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        words = [f"w{int(rng.paretovariate(0.7)) % 3000}" for _ in range(rng.randint(20, 200))]
+        insult, mention = rng.random() < 0.5, rng.random() < 0.5
+        words += [f"insult{rng.randrange(6)}"] * insult + [f"mention{rng.randrange(6)}"] * mention
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(insult and mention)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(df, df.select("doc_id", "toxic"), where=F.col("doc_id") % 3 > 0)
+    held = [(t, y) for i, t, y in rows if i % 3 == 0]
+    full, bare = model.scorer(), without_factors(model).scorer()
+    assert np.mean([(full(t) >= 0.5) == y for t, y in held]) > 0.97
+    assert np.mean([bare(t) >= 0.5 for t, y in held if y]) < 0.2
+
+
+def test_toxicity_factors_matter_on_given_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = toxicity.fit_toxicity(docs, labels, where=fold != 0)
+    held = docs.join(labels, "doc_id").filter(fold == 0).select("text", "toxic").collect()
+    full, bare = model.scorer(), without_factors(model).scorer()
+    toxic = [t for t, y in held if y]
+    # measured: 0.94 with and 0.89 without the factors
+    assert np.mean([full(t) >= 0.5 for t in toxic]) > np.mean([bare(t) >= 0.5 for t in toxic]) + 0.02
 
 
 def test_models_without_labels(spark, docs):
@@ -184,7 +219,7 @@ def test_linear_models_learn():
         rows.append((f, np.ones(len(f))))
         y.append(int(0 in f and 1 in f) + int(0 not in f and 1 not in f) > 0)
     y = np.array(y, int)
-    fm = fit_factorization(Sparse.of(rows), y, 12, epochs=60, factor_rate=0.5)
+    fm = fit_factorization(Sparse.of(rows), y, 12)
     assert np.mean([(fm.raw(f) > 0) == t for (f, _), t in zip(rows, y)]) > 0.9
     w, b = fit_logistic(Sparse.of(rows), np.array([int(3 in f) for f, _ in rows]), 12)
     assert w[3] > 3 and abs(w[4]) < 1
@@ -339,3 +374,11 @@ def test_whole_table_digests(spark):
     want8 = sorted((i, f"{f:016x}", c) for i, f, c in brute_groups(rows_of(docs)))
     assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got8) == want8
     assert docs.agg(F.count("*")).first()[0] == len(got8)
+
+
+def test_labelled_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, None), (3, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None)], "doc_id long, quality int")
+    rows = quality.labelled_sample(docs, labels, "quality", 10).collect()
+    assert sorted(map(tuple, rows)) == [(1, "text 0", 1), (2, None, 0)]
+    assert quality.labelled_sample(docs, labels, "quality", 1).count() == 1
