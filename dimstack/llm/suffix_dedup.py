@@ -195,7 +195,7 @@ def window_classes(buf: np.ndarray, length: int = LENGTH) -> np.ndarray:
 # -- Spark --------------------------------------------------------------------
 
 #: Distinct segments of one anchor beyond which it is split over shards.
-SPLIT = 4000
+SPLIT = 500
 
 
 def _text_keys(text: Column) -> list:
