@@ -1,9 +1,13 @@
 """Benchmark decontamination: n-gram seeds join training passages to test
 items, and Smith-Waterman alignment scores the pairs.
 
-The texts are read once.  A fixed-size bit table of the items' n-grams (1 MB,
-whatever the benchmark's size) leaves only the passages around its hits; from
-there on everything is small and runs as joins.
+The texts are read once.  A bit table of the items' n-grams, sized from their
+number, leaves only the passages around its hits; from there on everything is
+small and runs as joins.
+
+No alignment that leaks is longer than twice its item's words (each matched
+word pays for one that is not), so passages reach that far around their hits.
+Items are grouped by length for this: a short item's passages stay short.
 """
 
 from __future__ import annotations
@@ -27,15 +31,17 @@ from .common import join_by_document, join_dimension, materialize, text_key
 SEED = 4
 #: An alignment of at least this share of the item's best possible score leaks.
 MIN_SCORE = 0.5
-#: Bits of the seed table: two hash positions for each seed.
-TABLE_BITS = 1 << 23
-#: Hits at most this many words apart share a passage; it reaches as far beyond them.
-REACH = 96
-#: A passage has at most this many words; longer runs of hits go on in the next
-#: one, which starts OVERLAP words earlier.
-PASSAGE, OVERLAP = 2048, 1024
-#: Words of an item that are aligned at once (a passage is at least twice as long).
-ITEM_PART = 512
+#: Bits of the seed table for each distinct seed, its least and its largest size
+#: (8 MB).  Beyond four million seeds more passages are read, none fewer.
+BITS_PER_SEED, LEAST_BITS, MOST_BITS = 16, 1 << 23, 1 << 26
+#: Items are taken for at least this long; longer ones for the next power of two.
+LEAST_BOUND = 64
+#: Words between the first and last hit of a passage, at least.
+PASSAGE = 2048
+#: A seed that more items hold is common: it joins only together with a word.
+COMMON = 16
+#: Cells of one row of an alignment batch.
+CELLS = 128 * 2048
 MATCH, MISMATCH, GAP = 2, -1, -1
 WORD = re.compile(r"[^\W_]+")
 
@@ -66,56 +72,71 @@ def seed_hashes(words: list[str], cache: dict, n: int = SEED) -> np.ndarray:
     return out * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(TABLE_BITS - 1)
+def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(bits - 1)
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
+def bound_of(n_words: int) -> int:
+    """The length that an item is taken for."""
+    return max(LEAST_BOUND, 1 << max(0, n_words - 1).bit_length())
+
+
+def kind_hashes(words: list[str], cache: dict, size: int, bound: int) -> np.ndarray:
+    """Seeds of ``size`` words, different for items of different bounds."""
+    return seed_hashes(words, cache, size) ^ np.uint64(bound * 0x9E3779B97F4A7C15 % (1 << 64))
+
+
 def item_seeds(items: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """``(item, seed, size)``: every n-gram of every item and its number of words.
-    Items of fewer than n words have one seed of all their words."""
+    """``(item, seed, size, bound)``: every n-gram of every item, its number of
+    words and the item's bound.  Items of fewer than n words have one seed of
+    all their words."""
     src = items.select(F.col(id_col).alias("item"), F.col(text_col).alias("t")).filter("item IS NOT NULL")
-    schema = src.select("item").schema.add("seed", "long").add("size", "integer")
+    schema = src.select("item").schema.add("seed", "long").add("size", "integer").add("bound", "integer")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
         for b in batches:
-            rows, seeds, sizes = [], [], []
+            rows, seeds, sizes, bounds = [], [], [], []
             for i, t in enumerate(b.column("t")):
                 words = words_of(t.as_py())
-                size = max(1, min(n, len(words)))
-                h = seed_hashes(words, cache, size)
+                size, bound = max(1, min(n, len(words))), bound_of(len(words))
+                h = kind_hashes(words, cache, size, bound)
                 rows += [i] * len(h)
                 seeds.append(h.view(np.int64))
                 sizes.append(np.full(len(h), size, np.int32))
+                bounds.append(np.full(len(h), bound, np.int32))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("item").take(pa.array(rows)), pa.array(np.concatenate(seeds)),
-                     pa.array(np.concatenate(sizes))], schema=arrow)
+                    [b.column("item").take(pa.array(rows)),
+                     *(pa.array(np.concatenate(x)) for x in (seeds, sizes, bounds))], schema=arrow)
 
     return src.mapInArrow(run, schema)
 
 
 def _bit_table(seeds: DataFrame) -> bytes:
     """The seeds' bits.  Spark combines them into 64-bit words, so the driver
-    gets at most TABLE_BITS / 64 rows."""
-    mask = TABLE_BITS - 1
-    slots = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(F.lit(mask)),
-                                           F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(mask)))).alias("s"))
+    gets at most MOST_BITS / 64 rows, as Arrow columns."""
+    wanted = BITS_PER_SEED * seeds.select("seed").distinct().count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, wanted - 1).bit_length()))
+    slots = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(F.lit(bits - 1)),
+                                           F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(bits - 1)))).alias("s"))
     words = (slots.select(F.shiftright("s", 6).alias("w"),
                           F.expr("shiftleft(1L, CAST(s & 63 AS INT))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
-    table = np.zeros(TABLE_BITS // 64, np.int64)
-    for r in words:
-        table[r.w] = r.b
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    table = np.zeros(bits // 64, np.int64)
+    table[words["w"].to_numpy()] = words["b"].to_numpy()
     return table.tobytes()
 
 
-def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
+def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, kinds: list[tuple[int, int]]) -> DataFrame:
     """``(id, text_key, start, words, hits)``: the parts of each text around
-    runs of ``sizes`` words that may be seeds; hits are their hashes."""
-    n = max(sizes, default=0)
+    words that may be seeds of one of the ``kinds`` (size, bound); hits are their
+    hashes.  Hits within two bounds of each other share a passage, which reaches
+    as far beyond them."""
+    n = max((size for size, _ in kinds), default=0)
+    by_bound = {bound: sorted({s for s, b in kinds if b == bound}) for _, bound in kinds}
     src = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("t"))
     schema = (src.select("id", "text_key").schema.add("start", "integer").add("words", "string")
               .add("hits", T.ArrayType(T.LongType())))
@@ -128,13 +149,14 @@ def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, sizes: l
             rows, starts, texts, hits = [], [], [], []
             for i, t in enumerate(b.column("t")):
                 words = words_of(t.as_py())
-                at, h = _hits(words, cache, bits, sizes)
-                for lo, hi in _runs(at):
-                    first = max(0, int(at[lo]) - REACH)
-                    rows.append(i)
-                    starts.append(first)
-                    texts.append(" ".join(words[first:int(at[hi - 1]) + n + REACH]))
-                    hits.append(h[lo:hi].view(np.int64))
+                for bound, sizes in by_bound.items():
+                    at, h = _hits(words, cache, bits, sizes, bound)
+                    for lo, hi in _runs(at, bound):
+                        first = max(0, int(at[lo]) - 2 * bound)
+                        rows.append(i)
+                        starts.append(first)
+                        texts.append(" ".join(words[first:int(at[hi - 1]) + n + 2 * bound]))
+                        hits.append(h[lo:hi].view(np.int64))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(pa.array(rows)), b.column("text_key").take(pa.array(rows)),
@@ -144,12 +166,12 @@ def passages(docs: DataFrame, table: bytes, id_col: str, text_col: str, sizes: l
     return src.mapInArrow(run, schema)
 
 
-def _hits(words: list[str], cache: dict, bits: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _hits(words: list[str], cache: dict, bits: np.ndarray, sizes: list[int], bound: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions, in order, and hashes of the runs of words that may be seeds."""
     at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for n in sizes:
-        h = seed_hashes(words, cache, n)
-        one, two = _slots(h)
+        h = kind_hashes(words, cache, n, bound)
+        one, two = _slots(h, len(bits))
         hit = np.flatnonzero(bits[one] & bits[two])
         at.append(hit)
         found.append(h[hit])
@@ -158,15 +180,17 @@ def _hits(words: list[str], cache: dict, bits: np.ndarray, sizes: list[int]) ->
     return places[order], np.concatenate(found)[order]
 
 
-def _runs(at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Slices of hit positions that share a passage."""
+def _runs(at: np.ndarray, bound: int) -> Iterator[tuple[int, int]]:
+    """Slices of hit positions that share a passage.  Long runs are cut into
+    passages that overlap by four bounds, twice what an alignment spans."""
     if not len(at):
         return
-    cuts = np.r_[0, np.flatnonzero(np.diff(at) > REACH) + 1, len(at)]
+    longest = max(PASSAGE, 8 * bound)
+    cuts = np.r_[0, np.flatnonzero(np.diff(at) > 2 * bound) + 1, len(at)]
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        while at[hi - 1] - at[lo] > PASSAGE:
-            yield lo, int(np.searchsorted(at, at[lo] + PASSAGE))
-            lo = int(np.searchsorted(at, at[lo] + PASSAGE - OVERLAP))
+        while at[hi - 1] - at[lo] > longest:
+            yield lo, int(np.searchsorted(at, at[lo] + longest))
+            lo = int(np.searchsorted(at, at[lo] + longest - 4 * bound))
         yield lo, hi
 
 
@@ -201,12 +225,6 @@ def align(items: list[list[int]], texts: list[list[int]]) -> list[tuple[int, int
     return list(zip(best.tolist(), end_i.tolist(), end_j.tolist()))
 
 
-def _item_parts(words: list[int]) -> list[list[int]]:
-    """An item of over ITEM_PART words is scored in parts; one part is enough."""
-    cuts = range(0, max(1, len(words) - ITEM_PART // 2), ITEM_PART)
-    return [words[lo:hi] for lo, hi in zip(cuts, [*cuts[1:], len(words)])]
-
-
 def _can_reach(item: list[int], text: list[int], least: float) -> bool:
     """Whether an alignment could score ``least``: no more words can match than
     both hold, each counted as often as it occurs in both."""
@@ -222,13 +240,19 @@ def _score(batches: Iterator[pd.DataFrame], min_score: float) -> Iterator[pd.Dat
         number = lambda text: [seen.setdefault(w, len(seen)) for w in text.split(" ")]
         sizes = frame.words.str.count(" ") + 1
         order = sizes.sort_values(kind="stable").index.to_numpy()
-        for lo in range(0, len(order), 128):
-            at = order[lo:lo + 128]
+        lo = 0
+        while lo < len(order):
+            # sizes ascend: as many pairs as fill a row of cells with the widest of them
+            hi = lo + 1
+            while hi < len(order) and (hi + 1 - lo) * sizes[order[hi]] <= CELLS and hi - lo < 128:
+                hi += 1
+            at, lo = order[lo:hi], hi
             pairs = []
             for k in at:
                 text = number(frame.words[k])
-                parts = _item_parts(number(" ".join(words_of(frame.item_text[k]))))
-                pairs += [(k, part, text) for part in parts if _can_reach(part, text, min_score * MATCH * len(part))]
+                item = number(" ".join(words_of(frame.item_text[k])))
+                if _can_reach(item, text, min_score * MATCH * len(item)):
+                    pairs.append((k, item, text))
             if not pairs:
                 continue
             for (k, item, _), (score, _, end) in zip(pairs, align([p[1] for p in pairs], [p[2] for p in pairs])):
@@ -250,8 +274,11 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
 
     score is the best local alignment of the item's words with a passage, as a
     share of the score of a perfect copy; end_word is where it ends.  Seeds are
-    the items' n-grams, all of them: a passage and an item that share one are a
-    pair, however often the seed occurs elsewhere.
+    the items' n-grams: a passage and an item that share one are a pair.  A
+    passage's rare seeds, held by at most COMMON items, name its pairs directly.
+    A common seed names a pair only together with a word that the passage shares
+    with the rarer half of the item's words: a copy that scores half of the item
+    has half of its words, so it has one of those, and no leak is lost.
 
     Items of fewer than n words have one seed of all their words, so they match
     where these stand in a row.  Items without words, NULL texts and NULL item
@@ -260,16 +287,15 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
     """
     spark = docs.sparkSession
     seeds = materialize(item_seeds(items, item_col, item_text, seed), "seeds")
-    sizes = sorted(r.size for r in seeds.select("size").distinct().collect())
-    found = materialize(passages(docs, _bit_table(seeds), id_col, text_col, sizes), "passages")
-    grams = materialize(seeds.select("seed", "item").distinct(), "grams")
+    # at most `seed` sizes times the powers of two up to the longest item
+    kinds = sorted((r.size, r.bound) for r in seeds.select("size", "bound").distinct().collect())
+    found = materialize(passages(docs, _bit_table(seeds), id_col, text_col, kinds), "passages")
     # passages with equal words have equal scores: the pairs are few even if a
     # passage is in a third of all documents
     texts = materialize(found.groupBy(F.xxhash64("words").alias("p"), F.xxhash64(F.lit("second"), "words").alias("q"))
-                        .agg(F.first("words").alias("words"), F.first("hits").alias("hits"),
+                        .agg(F.first("words").alias("words"), F.array_distinct(F.flatten(F.collect_set("hits"))).alias("hits"),
                              F.count("*").alias("n")), "passage-texts")
-    hits = texts.select("p", "q", F.explode(F.array_distinct("hits")).alias("seed"))
-    pairs = hits.join(grams.hint("merge"), "seed").select("p", "q", "item").distinct()
+    pairs = seed_pairs(texts, seeds, items.select(F.col(item_col).alias("item"), F.col(item_text).alias("t")), min_score)
     named = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("item_text")).dropDuplicates(["item"])
     ready = (pairs.join(texts.select("p", "q", "words"), ["p", "q"]).join(named, "item")
              .select(F.col("p").alias("id"), F.col("q").alias("text_key"), "item", "item_text", "words",
@@ -281,6 +307,45 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, seed:
     return _by_document(spark, found, texts, scored)
 
 
+def seed_pairs(texts: DataFrame, seeds: DataFrame, items: DataFrame, min_score: float) -> DataFrame:
+    """``(p, q, item)``: distinct passages and the items that they share a seed
+    with, the common seeds with a word (see ``leaks``)."""
+    grams = seeds.select("seed", "item").distinct()
+    held = materialize(grams.join(grams.groupBy("seed").agg(F.count("*").alias("items")).hint("merge"), "seed"), "grams")
+    hits = texts.select("p", "q", F.explode("hits").alias("seed"))
+    rare = hits.join(held.filter(F.col("items") <= COMMON).hint("merge"), "seed").select("p", "q", "item")
+    common = held.filter(F.col("items") > COMMON)
+    kind = dict(items.dtypes)["item"]
+
+    def rarer_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples():
+                words = sorted(r.w, key=lambda x: (x["items"], x["word"]))
+                left = (1 - min_score) * sum(x["times"] for x in words)
+                for x in words:  # words that a leaking copy may all lack, and the next one
+                    rows.append((r.item, x["word"]))
+                    left -= x["times"]
+                    if left < 0:
+                        break
+            yield pd.DataFrame(rows, columns=["item", "word"])
+
+    # only of items that hold a common seed; an item's words are one value, as its text is
+    bare = items.dropDuplicates(["item"]).join(common.select("item").distinct().hint("merge"), "item")
+    split = F.pandas_udf(lambda t: t.map(words_of), "array<string>")
+    word_rows = bare.select("item", F.explode(split("t")).alias("word")).groupBy("item", "word").agg(F.count("*").alias("times"))
+    spread = word_rows.groupBy("word").agg(F.count("*").alias("items"))
+    listed = word_rows.join(spread.hint("merge"), "word").groupBy("item").agg(
+        F.collect_list(F.struct("word", "items", "times")).alias("w"))
+    needed = listed.mapInPandas(rarer_words, f"item {kind}, word string")
+    wanted = materialize(common.select("seed", "item").join(needed.hint("merge"), "item"), "common-seeds")
+    said = (hits.join(wanted.select("seed").distinct().hint("merge"), "seed")
+            .join(texts.select("p", "q", F.array_distinct(F.split("words", " ")).alias("ws")).hint("merge"), ["p", "q"])
+            .select("p", "q", "seed", F.explode("ws").alias("word")))
+    both = said.join(wanted.hint("merge"), ["seed", "word"]).select("p", "q", "item")
+    return rare.unionByName(both).distinct()
+
+
 def _by_document(spark, found: DataFrame, texts: DataFrame, scored: DataFrame) -> DataFrame:
     rows = found.select("id", "text_key", "start", F.xxhash64("words").alias("p"),
                         F.xxhash64(F.lit("second"), "words").alias("q"))

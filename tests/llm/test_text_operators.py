@@ -342,6 +342,39 @@ def test_edited_copy_beside_verbatim_ones(spark):
     assert got[100, 1] == brute_align(item, rows[40][1].split()) / (2 * len(item))
 
 
+def test_stretched_copy_of_a_long_item(spark):
+    """Foreign words in thirds: the alignment spans them, whatever their number
+    against a fixed reach; and an item is one whole, not parts."""
+    rng = random.Random(11)
+    item = [f"q{i}" for i in rng.sample(range(10_000), 300)]
+    junk = [[f"z{k}x{i}" for i in range(100)] for k in range(2)]
+    long = [f"l{i}" for i in range(900)]
+    rows = [(1, " ".join(item[:100] + junk[0] + item[100:200] + junk[1] + item[200:])),
+            (2, " ".join(item[:140])), (3, " ".join(long[:430])), (4, "a b " + " ".join(long[200:700]) + " c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long))], "item_id long, text string")
+    got = {(r.id, r.item): round(r.score, 3) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {(1, 1): 0.667, (4, 2): 0.556}
+
+
+def test_common_seed_makes_few_pairs(spark):
+    rng = random.Random(12)
+    ask = "what is the capital"
+    items = [(i, f"{ask} " + " ".join(f"i{i}w{k}" for k in range(20))) for i in range(150)]
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(30)) + f" {ask} of d{i}") for i in range(150)]
+    # a leak whose only seed is the common one: every other word of the item
+    rows.append((500, f"{ask} " + " ".join(f"i7w{k} {'' if k % 3 else 'x'}" for k in range(20))))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    seeds = decontam.item_seeds(bench, "item_id", "text", 4)
+    found = decontam.passages(docs, decontam._bit_table(seeds), "doc_id", "text", [(4, 64)])
+    texts = found.select(F.xxhash64("words").alias("p"), F.lit(0).alias("q"), "words", "hits")
+    pairs = decontam.seed_pairs(texts, seeds, bench.select(F.col("item_id").alias("item"), F.col("text").alias("t")), 0.5)
+    assert pairs.count() == 1
+    assert {(r.id, r.item) for r in decontam.leaks(docs, bench).collect()} == {(500, 7)}
+
+
 def test_short_items(spark):
     """Items of fewer words than a seed match where their words stand in a row."""
     texts = ["x y z", "Say: cheese cake!", "cake, cheese", "blue cheese or red cake now", "w " * 300 + "blue", "one two three four", ""]
