@@ -28,6 +28,7 @@ REFERRERS = (
     "https://news.ycombinator.com/",
     None,
 )
+NETWORK_LENGTHS = (3, 6, 10, 14, 20)
 GEO_KEYS = 30          # users map onto 30 ip-prefix keys; 25..29 are unknown
 
 
@@ -148,6 +149,25 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("device_type"))
 
 
+def ip_text(user_id):
+    """An address for a user: a fixed multiplier spreads them over all of IPv4."""
+    n = user_id * 2654435761 % (1 << 32)
+    return F.concat_ws(".", *[(F.shiftright(n, k) % 256).cast("string") for k in (24, 16, 8, 0)])
+
+
+def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Networks of five nested lengths, one per supplier, with its nation's
+    names; none in the top eighth of the addresses, which stay unknown."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    length = F.element_at(F.array(*[F.lit(n) for n in NETWORK_LENGTHS]), (F.col("s_suppkey") % 5 + 1).cast("int"))
+    place = F.col("s_suppkey") * 2246822519 % (7 << 29)
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select(place.alias("network"), length.alias("prefix_len"), F.col("n_name").alias("country"),
+                    F.when(F.col("s_suppkey") % 11 != 0, F.col("r_name")).alias("state"), F.col("s_name").alias("city")))
+
+
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ip-prefix → location lookup built from nation and region."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

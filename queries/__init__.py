@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs", "streams", "experiments"]
+_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs", "streams", "experiments", "lookups"]
 
 
 def all_queries() -> dict:

@@ -68,6 +68,12 @@ STANDINS = {
       SELECT CAST(n.n_nationkey AS BIGINT) AS ip_key, n.n_name AS country, r.r_name AS state,
              n.n_name AS city
       FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey""",
+    "networks": """
+      SELECT s.s_suppkey * 2246822519 % 3758096384 AS network,
+             CASE s.s_suppkey % 5 WHEN 0 THEN 3 WHEN 1 THEN 6 WHEN 2 THEN 10 WHEN 3 THEN 14 ELSE 20 END AS prefix_len,
+             n.n_name AS country, CASE WHEN s.s_suppkey % 11 <> 0 THEN r.r_name END AS state, s.s_name AS city
+      FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
+      JOIN region r ON r.r_regionkey = n.n_regionkey""",
     "matches": """
       SELECT o.o_orderkey AS match_id, CAST(c.c_nationkey AS BIGINT) AS mapid,
              (o.o_orderkey % 2 = 0) AS is_team_game, o.o_orderpriority AS playlist_id,
