@@ -101,3 +101,50 @@ def readout(events: DataFrame, *, experiment: str, target_url: str,
                     F.when(F.col("cell") == control, F.lit(0.0))
                     .otherwise(F.try_divide(F.col("conversion_rate") - F.col("_p0"), se))
                     .alias("z_score"))
+
+
+#: P(Poisson(1) <= k) for k = 0, 1, ... as shares of 2 ** 32 (fixed values).
+POISSON_CUTS = tuple(int(x * (1 << 32)) for x in (
+    0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675888))
+
+
+def poisson_weight(user: Column, replicate: Column, salt: str) -> Column:
+    """How often the user is drawn in a bootstrap replicate: a Poisson(1) number
+    from 32 bits of the hash of user, replicate and salt, the same on every run,
+    in every task and in any engine."""
+    text = F.concat(user.cast("string"), F.lit(":"), replicate.cast("string"), F.lit(f":{salt}"))
+    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    # over an array of one: the hash is computed once for all cuts
+    return F.aggregate(F.array(u), F.lit(0), lambda acc, x: acc + sum(
+        (F.when(x >= c, 1).otherwise(0) for c in POISSON_CUTS), F.lit(0)))
+
+
+def lagging_difference(events: DataFrame, *, experiment: str, control: str = "control", replicates: int = 40,
+                       level: float = 0.95, **assignment) -> DataFrame:
+    """P44, lagging metric: per cell other than ``control`` the difference of
+    events per user and its bootstrap interval: ``(experiment, cell,
+    diff_events_per_user, low, high)``.
+
+    One pass: events are summed per user, then each user is weighed for every
+    replicate and summed up per cell and replicate before the shuffle, so what
+    is shuffled is ``replicates`` rows per task and cell.  The bounds are the
+    replicates' differences at the two tails, by rank.  A cell without users in
+    a replicate leaves that replicate out."""
+    per_user = (events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events")))
+    rows = with_cell(per_user, experiment=experiment, **assignment).where(F.col("cell").isNotNull())
+    # replicate -1 is the sample itself
+    draws = rows.select("experiment", "cell", "user_id", "n_events",
+                        F.explode(F.sequence(F.lit(-1), F.lit(replicates - 1))).alias("r"))
+    weight = F.when(F.col("r") < 0, 1).otherwise(poisson_weight(F.col("user_id"), F.col("r"), experiment))
+    means = (draws.withColumn("w", weight).groupBy("experiment", "cell", "r")
+             .agg(F.try_divide(F.sum(F.col("w") * F.col("n_events")).cast("double"), F.sum("w")).alias("mean")))
+    # a few rows from here on: cells times replicates
+    base = F.max_by("mean", F.col("cell") == control).over(Window.partitionBy("experiment", "r"))
+    found = F.max(F.col("cell") == control).over(Window.partitionBy("experiment", "r"))
+    diff = means.withColumn("d", F.when(found, F.col("mean") - base)).where(F.col("cell") != control)
+    out = diff.groupBy("experiment", "cell").agg(
+        F.max(F.when(F.col("r") < 0, F.col("d"))).alias("diff_events_per_user"),
+        F.array_sort(F.collect_list(F.when(F.col("r") >= 0, F.col("d")))).alias("diffs"))
+    tail = (1 - level) / 2
+    at = lambda q: F.get("diffs", F.floor(q * (F.size("diffs") - 1) + 0.5).cast("int"))
+    return out.select("experiment", "cell", "diff_events_per_user", at(tail).alias("low"), at(1 - tail).alias("high"))

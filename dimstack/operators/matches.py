@@ -21,34 +21,40 @@ KILLING_SPREE = "Killing Spree"     # fixed value: medal name
 def match_stats(matches: DataFrame, details: DataFrame, medals_mp: DataFrame,
                 medals: DataFrame, maps: DataFrame, *, medal_name: str = KILLING_SPREE,
                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """(metric, key, value) for every key of four statistics:
+    """P32 (J17): (metric, key, value) for every key of four statistics:
     average kills per game by player, plays by playlist, plays by map,
-    ``medal_name`` medals by map."""
+    ``medal_name`` medals by map.
+
+    Every table is read once: medals are summed per match, meet the matches once,
+    and one grouping-sets pass over the result gives playlists and maps.  Tables
+    bucketed by match_id (``plans.layout.match_join``) meet without a shuffle, and
+    the wanted medals reach the scan of the large medal table as a broadcast or,
+    beyond that, a runtime Bloom filter.  The players' averages need no match, so
+    details do not take part in the join."""
     maps_b = bounded_broadcast(maps.select("mapid", F.col("name").alias("map_name")),
                                max_broadcast_rows)
-    kills = details.groupBy("player_gamertag").agg(
-        F.avg("player_total_kills").alias("value")).select(
-        F.lit("avg_kills_per_game").alias("metric"), F.col("player_gamertag").alias("key"), "value")
-    playlists = matches.groupBy("playlist_id").agg(F.count_distinct("match_id").alias("value")) \
-        .select(F.lit("playlist_plays").alias("metric"), F.col("playlist_id").alias("key"), "value")
-    per_map = matches.groupBy("mapid").agg(F.count_distinct("match_id").alias("value")) \
-        .join(maps_b, "mapid") \
-        .select(F.lit("map_plays").alias("metric"), F.col("map_name").alias("key"), "value")
     spree_ids = bounded_broadcast(
         medals.where(F.col("name") == medal_name).select("medal_id"), max_broadcast_rows)
     per_match = (medals_mp.join(spree_ids, "medal_id")
                  .groupBy("match_id").agg(F.sum("count").alias("medals")))
-    spree = (per_match.join(matches.select("match_id", "mapid"), "match_id")
-             .groupBy("mapid").agg(F.sum("medals").alias("value"))
-             .join(maps_b, "mapid")
-             .select(F.lit("killing_spree_medals").alias("metric"),
-                     F.col("map_name").alias("key"), "value"))
-    parts = [df.select("metric", "key", F.col("value").cast("double").alias("value"))
-             for df in (kills, playlists, per_map, spree)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one = matches.dropDuplicates(["match_id"]).select("match_id", "playlist_id", "mapid")
+    wide = one.join(per_match, "match_id", "left").join(maps_b, "mapid", "left")
+    by = (wide.groupingSets([["playlist_id"], ["mapid", "map_name"]], "playlist_id", "mapid", "map_name")
+          .agg(F.count(F.lit(1)).alias("plays"), F.sum("medals").alias("medals"),
+               F.grouping("playlist_id").alias("_by_map")))
+    by = by.select(F.inline(F.array(
+        F.struct(F.when(F.col("_by_map") == 1, "map_plays").otherwise("playlist_plays").alias("metric"),
+                 F.when(F.col("_by_map") == 1, F.col("map_name")).otherwise(F.col("playlist_id")).alias("key"),
+                 F.col("plays").cast("double").alias("value"), (F.col("_by_map") == 1).alias("_map")),
+        F.struct(F.lit("killing_spree_medals").alias("metric"), F.col("map_name").alias("key"),
+                 F.when(F.col("_by_map") == 1, F.col("medals")).cast("double").alias("value"),
+                 (F.col("_by_map") == 1).alias("_map")))))
+    # maps without a name are no key, and no medal is no row
+    by = by.where("NOT (_map AND key IS NULL) AND NOT (metric = 'killing_spree_medals' AND value IS NULL)").drop("_map")
+    kills = details.groupBy("player_gamertag").agg(F.avg("player_total_kills").alias("value")).select(
+        F.lit("avg_kills_per_game").alias("metric"), F.col("player_gamertag").alias("key"),
+        F.col("value").cast("double").alias("value"))
+    return kills.unionByName(by)
 
 
 def require_columns(df: DataFrame, required: dict[str, T.DataType]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_path
 from ..sources.files import save_table
+from .clustering import z_order
 from .days import materialize
 
 
@@ -55,18 +56,20 @@ def match_join(details: DataFrame, matches: DataFrame, medals: DataFrame, key: s
 def layout_report(spark: SparkSession, df: DataFrame, *, partition_col: str,
                   sorts: Mapping[str, Sequence[str]],
                   global_sorts: Mapping[str, Sequence[str]] | None = None,
+                  z_orders: Mapping[str, Sequence[str]] | None = None,
                   checksum: str = "event_id", partitions: int | None = None) -> DataFrame:
     """Write ``df`` once per sort variant and report rows, distinct
     ``partition_col`` values and an order-free checksum read back from each.
 
     Variants repartition by ``partition_col`` (``partitions`` tasks, by default
     the session's shuffle partitions, so AQE sizes them by bytes) and sort
-    within partitions; ``global_sorts`` use one total ``sort`` instead (O03).
-    The input is computed once.  ``written_layouts`` gives the folders for
-    ``file_sizes``."""
+    within partitions; ``global_sorts`` use one total ``sort`` instead (O03),
+    ``z_orders`` ranges of interleaved ranks.  The input is computed once.
+    ``written_layouts`` gives the folders for ``clustering.layout_sizes``."""
     out = None
     for label, path in written_layouts(spark, df, partition_col=partition_col, sorts=sorts,
-                                       global_sorts=global_sorts, partitions=partitions).items():
+                                       global_sorts=global_sorts, z_orders=z_orders,
+                                       partitions=partitions).items():
         row = spark.read.parquet(path).agg(
             F.count(F.lit(1)).alias("n_rows"), F.countDistinct(partition_col).alias("n_values"),
             F.sum(checksum).alias("checksum")).select(F.lit(label).alias("variant"), "*")
@@ -77,16 +80,20 @@ def layout_report(spark: SparkSession, df: DataFrame, *, partition_col: str,
 def written_layouts(spark: SparkSession, df: DataFrame, *, partition_col: str,
                     sorts: Mapping[str, Sequence[str]],
                     global_sorts: Mapping[str, Sequence[str]] | None = None,
+                    z_orders: Mapping[str, Sequence[str]] | None = None,
                     partitions: int | None = None) -> dict[str, str]:
     """Write each variant of ``layout_report``; the folder per variant."""
     tag = uuid.uuid4().hex[:10]
     df = materialize(df, "layout_input")
     paths = {}
-    for label, cols, total in [*((k, v, False) for k, v in sorts.items()),
-                               *((k, v, True) for k, v in (global_sorts or {}).items())]:
+    for label, cols, kind in [*((k, v, "within") for k, v in sorts.items()),
+                              *((k, v, "global") for k, v in (global_sorts or {}).items()),
+                              *((k, v, "z") for k, v in (z_orders or {}).items())]:
         by = [F.col(partition_col)]
-        if total:
+        if kind == "global":
             shaped = df.sort(*cols)
+        elif kind == "z":
+            shaped = z_order(df, cols, partitions)
         else:
             shaped = df.repartition(partitions, *by) if partitions else df.repartition(*by)
             shaped = shaped.sortWithinPartitions(*cols) if cols else shaped

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs", "streams", "experiments", "lookups"]
+_FAMILIES = ["dimensional", "facts", "analytics", "spark_jobs", "streams", "experiments", "lookups", "tables"]
 
 
 def all_queries() -> dict:

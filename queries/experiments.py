@@ -33,6 +33,10 @@ def q_experiment_readout(spark, sf_dir):
                                target_url=TARGET))
 
 
+def q_experiment_lagging(spark, sf_dir):
+    return finalize(ex.lagging_difference(si.web_events(spark, sf_dir), experiment=EXPERIMENT))
+
+
 def q_grain_check(spark, sf_dir):
     return finalize(qa.grain_violations(si.game_details(spark, sf_dir), ["game_id", "player_id"]))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "experiment_assignment": q_experiment_assignment,
     "experiment_exposures": q_experiment_exposures,
     "experiment_readout": q_experiment_readout,
+    "experiment_lagging": q_experiment_lagging,
     "grain_check": q_grain_check,
     "array_size_check": q_array_size_check,
     "dedup_game_details": q_dedup_game_details,

@@ -45,6 +45,24 @@ SELECT experiment, cell, n_users, n_exposed, n_converted, round(conversion_rate,
                   ELSE (conversion_rate - p0)
                        / sqrt(pool * (1 - pool) * (1.0 / n_users + 1.0 / n0)) END, 6) AS z_score
 FROM k""",
+    "experiment_lagging": with_standins("web_events") + """,
+per_user AS (SELECT user_id, COUNT(*) AS n FROM web_events WHERE user_id IS NOT NULL GROUP BY 1),
+celled AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':exp1'), 1, 8) AS BIGINT) % 100 < 50
+                          THEN 'control' ELSE 'treatment' END AS cell FROM per_user),
+drawn AS (SELECT cell, n, r, CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':' || r || ':exp1'), 1, 8) AS BIGINT) AS u
+          FROM celled, range(40) t(r)),
+weighed AS (SELECT cell, n, r, list_count(list_filter(
+              [1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, 4294609778], lambda c: u >= c)) AS w
+            FROM drawn),
+means AS (SELECT cell, r, CAST(SUM(w * n) AS DOUBLE) / SUM(w) AS m FROM weighed GROUP BY 1, 2),
+diffs AS (SELECT list(t.m - c.m ORDER BY t.m - c.m) AS d FROM means t JOIN means c USING (r)
+          WHERE t.cell = 'treatment' AND c.cell = 'control')
+SELECT 'exp1' AS experiment, 'treatment' AS cell,
+       round((SELECT AVG(n) FROM celled WHERE cell = 'treatment') - (SELECT AVG(n) FROM celled WHERE cell = 'control'), 6)
+         AS diff_events_per_user,
+       round(d[CAST(floor(0.025 * 39 + 0.5) AS INT) + 1], 6) AS low,
+       round(d[CAST(floor(0.975 * 39 + 0.5) AS INT) + 1], 6) AS high
+FROM diffs""",
     "grain_check": with_standins("game_details") + """
 SELECT game_id, player_id, COUNT(*) AS n_rows FROM game_details
 GROUP BY game_id, player_id HAVING COUNT(*) > 1""",
