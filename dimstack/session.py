@@ -10,7 +10,9 @@ splits skewed join partitions), UTC session clock, Arrow for pandas transfer.
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -87,3 +89,18 @@ def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     """A sub-path of the shared checkpoint folder (for written tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: Python workers
+    of another machine may not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_dimstack_sent", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="dimstack-package-")) / "dimstack_core.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._dimstack_sent = True

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import parse_event_time
-from ..operators.joins import bounded_broadcast
 from ..schemas import EVENT_TIME_PATTERN, WEB_EVENT_JSON
 from ..session import checkpoint_path
+from .recovery import stateful_settings
 
 WATERMARK_DELAY = "15 seconds"      # fixed values of the reference jobs
 WINDOW_SIZE = "5 minutes"
@@ -84,19 +84,15 @@ def jdbc_batch_writer(url: str, table: str, properties: dict):
 
 
 def start(df: DataFrame, batch_fn, *, checkpoint: str, output_mode: str = "append",
-          processing_time: str = "10 seconds"):
-    """Production start: ``foreachBatch`` sink, checkpoint under shared
-    storage, fixed processing-time trigger.  Returns the StreamingQuery."""
-    return (df.writeStream.outputMode(output_mode).foreachBatch(batch_fn)
-            .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=processing_time).start())
-
-
-def dropped_by_watermark(query) -> int:
-    """Rows dropped as late by the last micro-batch's stateful operators."""
-    progress = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for op in progress.get("stateOperators", []))
+          trigger: dict | None = None, state_partitions: int | None = None, rocksdb: bool = True):
+    """Start a query with a ``foreachBatch`` sink and its checkpoint under
+    shared storage, by default every ten seconds, with the settings of
+    ``recovery.stateful_settings``.  Started again on the same checkpoint it goes
+    on where it stopped.  Returns the StreamingQuery."""
+    with stateful_settings(df.sparkSession, state_partitions=state_partitions, rocksdb=rocksdb):
+        return (df.writeStream.outputMode(output_mode).foreachBatch(batch_fn)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
 
 # --- transformations -------------------------------------------------------
@@ -116,13 +112,13 @@ def bad_events(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("event_timestamp").isNull())
 
 
-def geo_enrich(events: DataFrame, geo: DataFrame, *, key_expr, key_col: str = "ip_key",
-               max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def geo_enrich(events: DataFrame, geo: DataFrame, *, key_expr, key_col: str = "ip_key") -> DataFrame:
     """Stream-static left join with a location table; ``geodata`` is the
     JSON text {country, state, city} (empty text for missing values) or
-    ``{}`` when the key is unknown.  The table is broadcast after a bounded
-    size check (the reference calls an HTTP service per row)."""
-    g = bounded_broadcast(geo.select(key_col, "country", "state", "city"), max_broadcast_rows)
+    ``{}`` when the key is unknown.  The table is read again for every batch and
+    has no hint: a size checked at the stream's start would bind it for life.
+    ``operators.locate.locate`` looks addresses up by network, per batch."""
+    g = geo.select(key_col, "country", "state", "city")
     j = events.withColumn(key_col, key_expr).join(g, key_col, "left")
     loc = F.to_json(F.struct(*[F.coalesce(c, F.lit("")).alias(c)
                                for c in ("country", "state", "city")]))
@@ -167,21 +163,21 @@ def session_stats(sessions_df: DataFrame, by: str = "host") -> DataFrame:
 # --- running ---------------------------------------------------------------
 
 def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
-                  checkpoint: str | None = None, extra_sinks=None,
-                  state_partitions: int | None = None) -> DataFrame:
+                  checkpoint: str | None = None, extra_sinks=None, each_batch=None,
+                  state_partitions: int | None = None, rocksdb: bool = False) -> DataFrame:
     """Run a streaming frame over all available input (``availableNow``),
     writing each micro-batch to Parquet at ``sink_path``; ``extra_sinks`` is a
-    list of ``(path, fn)``: each batch also writes ``fn(batch)`` there (T05).
+    list of ``(path, fn)``: each batch also writes ``fn(batch)`` there (T05);
+    ``each_batch`` is applied to every batch before it is written.
 
     Writes are idempotent, so a micro-batch replayed after a failure does not
     duplicate rows: complete mode overwrites the sink, append mode overwrites
     the batch's own ``epoch=<id>`` folder.  ``state_partitions`` sizes the
-    state store of a stateful query (fixed for the life of its checkpoint);
-    the session settings are changed only while the query starts.  Returns the
-    sink read back."""
+    state store of a stateful query (fixed for the life of its checkpoint).
+    Returns the sink read back."""
     spark = df.sparkSession
     checkpoint = checkpoint or checkpoint_path(spark, "streams", uuid.uuid4().hex)
-    targets = [(sink_path, None), *(extra_sinks or [])]
+    targets = [(sink_path, each_batch), *(extra_sinks or [])]
 
     def write(batch: DataFrame, epoch: int) -> None:
         for path, fn in targets:
@@ -191,20 +187,8 @@ def run_available(df: DataFrame, sink_path: str, *, output_mode: str = "append",
             else:
                 out.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-    # sessions of one hot key are merged per input partition before the shuffle
-    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
-    if state_partitions:
-        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
-    before = {k: spark.conf.get(k) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        q = (df.writeStream.outputMode(output_mode).foreachBatch(write)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    q.awaitTermination()
+    start(df, write, checkpoint=checkpoint, output_mode=output_mode, trigger={"availableNow": True},
+          state_partitions=state_partitions, rocksdb=rocksdb).awaitTermination()
     return read_sink(spark, sink_path)
 
 

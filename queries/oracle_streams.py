@@ -28,6 +28,28 @@ SESSIONS_RAW = PARSED.replace(
 ) + SESSIONS[len(PARSED):]
 
 ORACLES = {
+    "stream_locate": with_standins("web_events", "networks") + """,
+sized AS (SELECT *, CAST(pow(2, 32 - prefix_len) AS BIGINT) AS w FROM networks),
+addresses AS (SELECT DISTINCT user_id * 2654435761 % 4294967296 AS address FROM web_events WHERE user_id IS NOT NULL),
+ranked AS (
+  SELECT a.address, CAST(json_object('country', n.country, 'state', COALESCE(n.state, ''), 'city', n.city) AS VARCHAR) AS geodata,
+         ROW_NUMBER() OVER (PARTITION BY a.address
+                            ORDER BY n.prefix_len DESC, n.country, n.state NULLS FIRST, n.city) AS rn
+  FROM addresses a JOIN sized n ON a.address >= n.network // w * w AND a.address < (n.network // w + 1) * w)
+SELECT CASE WHEN number IS NOT NULL THEN concat_ws('.', number // 16777216, number // 65536 % 256,
+                                                   number // 256 % 256, number % 256) ELSE '' END AS ip,
+       host, url, date_trunc('millisecond', event_time) AS event_timestamp, COALESCE(r.geodata, '{}') AS geodata
+FROM (SELECT *, user_id * 2654435761 % 4294967296 AS number FROM web_events) e
+LEFT JOIN ranked r ON r.address = e.number AND r.rn = 1""",
+    "stream_sessions_recovered": SESSIONS + " SELECT * FROM sess",
+    "stream_late_rows": with_standins("web_events") + """,
+rows AS (SELECT ip, host, url, event_id % 10 = 0 AS second, date_trunc('millisecond', event_time) AS event_timestamp
+         FROM web_events),
+mark AS (SELECT MAX(event_timestamp) - INTERVAL 15 SECOND AS wm FROM rows WHERE NOT second)
+SELECT ip, host, url, event_timestamp,
+       second AND time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE <= wm AS is_late
+FROM rows, mark""",
+    "stream_exactly_once": PARSED + " SELECT ip, host, url, referrer, event_timestamp FROM parsed",
     "stream_parse": PARSED + " SELECT * FROM parsed",
     "stream_geo": PARSED + """
 SELECT p.ip, p.host, p.url,
