@@ -38,6 +38,8 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising adbox ban
                   "breadcrumb breadcrumbs footer comment comments commentlist respond reply replies disqus share sharing "
                   "social related recommended popup modal newsletter subscribe subscription signup login widget widgets "
                   "toolbar pagination pager masthead complementary contentinfo search".split())
+# Inside an article such a word marks an element only if its whole name is made
+# of them: "ad-banner" does, "social-history" or "search-results" is a section.
 HEADER_MARKS = frozenset("header topbar".split())
 CONTENT_MARKS = frozenset("content article post entry story main text".split())
 #: Pages whose blocks are passed on at a time.
@@ -49,6 +51,12 @@ def _words(attributes: dict) -> set[str]:
     return set(re.split(r"[^a-z]+", named.lower()))
 
 
+def _named_by_marks(attributes: dict) -> bool:
+    """Whether one whole class, id or role consists of MARKS."""
+    named = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split()
+    return any(parts and MARKS.issuperset(parts) for parts in ([x for x in re.split(r"[^a-z]+", n) if x] for n in named))
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
 
@@ -130,7 +138,7 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], dict[str, float], str,
         inside = any(e.tag in ("article", "main") for e in stack)
         words = _words(attributes) if attributes else set()
         dropped = (stack[-1].dropped or tag in DROPPED or (tag == "header" and not inside) or "hidden" in attributes
-                   or (tag not in ("body", "article", "main") and bool(words & MARKS or (words & HEADER_MARKS and not inside))))
+                   or (tag not in ("body", "article", "main") and (_named_by_marks(attributes) if inside else bool(words & (MARKS | HEADER_MARKS)))))
         if tag in CONTAINERS:
             boost = (1.5 if tag in ("article", "main") else 1.0) * (1.25 if words & CONTENT_MARKS else 1.0)
             path = next((e.path for e in reversed(stack) if e.path), "")

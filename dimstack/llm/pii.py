@@ -327,10 +327,13 @@ def find_pii(docs: DataFrame, model: PiiModel, keep: list[str], text_col: str =
 
 def redact(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``<KIND>``; overlapping
-    spans are replaced from the leftmost, each up to the next one's start."""
-    found = find_pii(docs, model, docs.columns, text_col)
+    spans are replaced from the leftmost, each up to the next one's start.  A NULL
+    text stays NULL; other columns, of any name, pass through."""
+    # the row goes along as one struct: its columns may be named like the new ones
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    found = find_pii(rows, model, ["row", "text"], "text")
     spans_ = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    t = F.coalesce(F.col(text_col), F.lit(""))
+    t = F.coalesce("text", F.lit(""))
 
     def step(acc, s):
         gap = F.greatest(s["start"] - acc["at"], F.lit(0))
@@ -338,7 +341,8 @@ def redact(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFram
                         F.greatest(acc["at"], s["end"]).alias("at"))
     done = F.aggregate(spans_, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
                        lambda a: F.concat(a["out"], F.substr(t, a["at"] + 1)))
-    return found.select(*[F.when(F.size(spans_) > 0, done).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    new = F.when(F.size(spans_) > 0, done).otherwise(F.col("text"))
+    return found.select(*[new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def spans_text(found: Column) -> Column:

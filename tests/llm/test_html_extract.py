@@ -76,3 +76,12 @@ def test_query_against_the_pages_own_markup(spark):
         parts = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         want = "\n".join(x for x in parts if x)
         assert got[page.page_id].text == want and got[page.page_id].n_chars == len(want)
+
+
+def test_sections_inside_an_article_keep_compound_names(spark):
+    names = ["social-history", "search-results", "related-work", "menu-of-the-day", "ad-banner", "share"]
+    body = "".join(f'<div class="{n}"><p>Text of the part named {n}.</p></div>' for n in names)
+    html = f"<html><body><div class='related-links'><p>Elsewhere</p></div><article><p>{'Long body text. ' * 20}</p>{body}</article></body></html>"
+    df = spark.createDataFrame([(1, "http://a/1", html)], "page_id long, url string, html string")
+    text = hx.extract_main_text(df).first().text
+    assert [n for n in names if f"named {n}." in text] == names[:4] and "Elsewhere" not in text

@@ -82,3 +82,13 @@ def test_query(spark):
         assert set(line.split(",")) <= set(r.spans.split(",")) or not line
     plan = queries.op1_pii(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_redact_with_clashing_columns(spark):
+    model = pii.fit_pii(spark)
+    rows = [(1, "mail a.b@example.com now", "x", 2, "y"), (2, None, "x", 2, "y"), (2, "", "x", 2, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string, added int, row string")
+    got = pii.redact(df, model)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(
+        str(r) for r in spark.createDataFrame([(1, "mail <EMAIL> now", "x", 2, "y"), *rows[1:]], df.schema).collect())
