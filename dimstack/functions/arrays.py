@@ -17,11 +17,6 @@ def append_if(arr: Column, cond: Column, value: Column, element_type: str) -> Co
     return F.when(cond, F.concat(base, F.array(value))).otherwise(base)
 
 
-def filled(value, n: Column, element_type: str) -> Column:
-    """ARRAY_FILL(value, ARRAY[n]) (N05); n < 0 gives an empty array."""
-    return F.array_repeat(F.lit(value).cast(element_type), F.greatest(n.cast("int"), F.lit(0)))
-
-
 def last_element(arr: Column) -> Column:
     """arr[CARDINALITY(arr)] without raising on an empty array."""
     return F.try_element_at(arr, F.lit(-1))

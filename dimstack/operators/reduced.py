@@ -111,9 +111,12 @@ def metric_array_step(prev: DataFrame, today: DataFrame, *, key: Sequence[str],
 
 
 def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """ON CONFLICT (keys) DO UPDATE: rows of ``updates`` replace same-key rows."""
-    keys = list(keys)
-    return (existing.join(updates.select(*keys), keys, "left_anti")
+    """ON CONFLICT (keys) DO UPDATE: rows of ``updates`` replace same-key rows,
+    NULL keys equal."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"e.{k}").eqNullSafe(F.col(f"u.{k}"))
+    return (existing.alias("e").join(updates.select(*keys).alias("u"), cond, "left_anti")
             .unionByName(updates.select(*existing.columns)))
 
 

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import write_partitions
+from ..sources.files import existing_table, write_partitions
 
 
 def day_range(start: str, end: str) -> list[str]:
@@ -28,10 +28,10 @@ def day_range(start: str, end: str) -> list[str]:
 
 def written_days(spark: SparkSession, path: str, partition_col: str = "date") -> set[str]:
     """Days already present under ``path`` (from the partition folders: the
-    result has one row per day)."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    result has one row per day).  Only a missing folder means none: any other
+    read error rises, so that a resumed run does not start over."""
+    df = existing_table(spark, path)
+    if df is None:
         return set()
     return {str(r[0]) for r in df.select(partition_col).distinct().collect()}
 

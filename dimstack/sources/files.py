@@ -67,7 +67,7 @@ def save_table(df: DataFrame, table: str, *, path: str | None = None,
     w.saveAsTable(table)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``; None only if the path does not exist.  Any other
     read error rises."""
     try:
@@ -92,7 +92,7 @@ def upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
     columns.  The result is materialised at a staging path first (reading
     and overwriting one path in one job is unsafe), which is removed after."""
     import uuid
-    existing = _existing(spark, path)
+    existing = existing_table(spark, path)
     merged = updates
     if existing is not None:
         if set(updates.columns) != set(existing.columns):
