@@ -96,7 +96,7 @@ def test_run_gives_the_last_stage(spark, stages):
 def test_registration(monkeypatch):
     import __spark_entry__ as entry
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     bare = importlib.reload(entry)
