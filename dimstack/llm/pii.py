@@ -9,12 +9,15 @@ score passes their kind's calibrated threshold.
 from __future__ import annotations
 
 import re
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
+#: The kinds with base patterns, and credentials, which only the trees find.
+ALL_KINDS = (*KINDS, "secret")
 
 #: The base patterns.  Possessive forms of the plain ones: what follows a class
 #: is never in it, so they match the same spans without deep recursion; a start
@@ -29,15 +32,19 @@ BASE = {
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-#: Looser patterns: spelled-out or spaced addresses, other separators, no plus.
+#: Looser patterns: spelled-out or spaced addresses, other separators, no plus;
+#: unbroken runs with a digit or of many capitals, which may be credentials.
 LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20?|\x20at\x20|\x20?@\x20?)"
              r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?|\x20dot\x20|\x20?\.)[A-Za-z0-9-]{1,63}){1,6}",
     "ip": r"(?<![0-9.])[0-9]{1,4}(?:\x20?(?:\.|\[\.\]|\(\.\)|\x20dot\x20)\x20?[0-9]{1,4}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20._/ -]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z]|[0-9][ ./-])(?:\+|00)?[(]?[0-9](?:[\x20(). /-]{0,2}[0-9]){6,14}(?![ ./-]?[0-9]|[A-Za-z])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Z]{16})[A-Za-z0-9+/_-]{8,}+={0,2}",
 }
-LOOSE_NEEDS = {"email": r"(?i)@|\bat\b", "ip": "[0-9][^0-9]", "card": "[0-9]", "phone": "[0-9]"}
+LOOSE_NEEDS = {"email": r"(?i)@|\bat\b", "ip": "[0-9][^0-9]", "card": "[0-9]", "phone": "[0-9]", "secret": "[0-9]|[A-Z]{16}"}
+#: How the keys of well-known issuers begin (fixed values).
+ISSUED = r"^(?:AKIA|ASIA|AIza|ghp_|gho_|glpat-|github_pat_|sk-|sk_live_|pk_live_|xox[abp]-)"
 
 #: Words before a span that speak for a kind (fixed values, four languages).
 CUES = {
@@ -45,6 +52,7 @@ CUES = {
     "ip": r"(?i)(?:\bip|host|server|address|from|addr|ipv4|login)\W{0,4}(?:\w{1,3}\W{0,2})?$",
     "card": r"(?i)(?:card|visa|mastercard|amex|credit|karte|tarjeta|carte|payment)\W{0,4}(?:\w{1,6}\W{0,2})?$",
     "phone": r"(?i)(?:phone|tel|call|mobile|cell|fax|whatsapp|telefon|tel.fono|t.l|number|ring|dial|sms)\W{0,4}(?:\w{1,3}\W{0,2})?$",
+    "secret": r"(?i)(?:token|secret|passw(?:or)?d|passwd|pwd|api.?key|access.?key|auth\w{0,14}|bearer|credentials?|\bkey)[\"']?\W{0,4}$",
     "other": r"(?i)(?:version|v|order|invoice|isbn|issn|id|serial|ref|section|page|chapter|no|sku|build|ticket|price|\$)\W{0,3}$",
 }
 CONTEXT = 24
@@ -140,10 +148,11 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> Colu
     """Format and context of a candidate as an array of doubles."""
     d = digits(value)
     n = F.length(d)
+    share = lambda c: c / F.greatest(F.length(value), F.lit(1))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     groups = F.filter(F.split(value, "[^0-9]+"), lambda g: g != "")
     parts = [
-        *[flag(kind == k) for k in KINDS],
+        *[flag(kind == k) for k in ALL_KINDS],
         n.cast("double"), F.length(value).cast("double"), F.size(groups).cast("double"),
         F.coalesce(F.length(F.get(groups, F.lit(0))), F.lit(0)).cast("double"),
         F.coalesce(F.length(F.try_element_at(groups, F.lit(-1))), F.lit(0)).cast("double"),
@@ -158,6 +167,12 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> Colu
         flag(value.rlike(r"^[0-3]?[0-9][-/. ][01]?[0-9][-/. ](?:19|20)?[0-9]{2}$")),
         flag(before.rlike(r"[0-9A-Za-z]$")), flag(after.rlike("^[0-9A-Za-z]")),
         *[flag(before.rlike(c)) for c in CUES.values()],
+        # of runs that may be credentials: mixture of characters, how word-like
+        share(n), share(F.size(F.array_distinct(F.split(value, "")))),
+        share(F.size(F.regexp_extract_all(value, F.lit("[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"), F.lit(0)))),
+        F.array_max(F.transform(F.split(value, "[^A-Za-z]+"), lambda w: F.length(w))).cast("double"),
+        flag(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")), flag(value.rlike("[a-z]") & value.rlike("[A-Z]")),
+        flag(value.rlike("[/_-]")), flag(value.rlike(ISSUED)), flag(before.rlike("[=:]\\s?[\"']?$")),
     ]
     return F.array(*parts)
 
@@ -165,8 +180,9 @@ def features(kind: Column, value: Column, before: Column, after: Column) -> Colu
 # -- training ---------------------------------------------------------------
 
 #: Training formats: (kind, label, template).  d a digit, D one from 2 to 9, o a
-#: number to 255, O one from 256 to 999, a a letter; card templates get a last
-#: digit that makes them pass (label 1) or fail Luhn's check.
+#: number to 255, O one from 256 to 999, a a letter, L a capital, x and X a
+#: hexadecimal digit, m a letter or digit; card templates get a last digit that
+#: makes them pass (label 1) or fail Luhn's check.
 TEMPLATES = [
     ("email", 1, "aaaa.aaa (at) aaaaaa (dot) com"), ("email", 1, "aaaaa [at] aaaaaaa [dot] org"),
     ("email", 1, "aaaaadd at aaaaaaa dot com"), ("email", 1, "aaa_aaaa(at)aaaa.net"), ("email", 1, "aaaaaa @ aaaaaaa.com"),
@@ -188,6 +204,23 @@ TEMPLATES = [
     ("phone", 0, "ddddd-dddd"), ("phone", 0, "978-d-dd-dddddd-d"), ("phone", 0, "d d d d d d d"), ("phone", 0, "dddddddddddddddd"),
     ("phone", 0, "20dd.dd.dd.dd"), ("phone", 0, "dddd dddd"),
 ]
+#: Credentials: (label, contexts, template).
+CREDENTIALS = [
+    (1, "cue", "x" * 40), (1, "cue", "x" * 32), (1, "cue", "x" * 18), (1, "cue", "X" * 40), (1, "cue", "x" * 64), (1, "cue", "m" * 12),
+    (1, "cue", "m" * 20), (1, "cue", "m" * 24), (1, "cue", "m" * 40), (1, "cue", "mmmmmmmm-mmmmmmmm-mmmmmmmm"), (1, "cue", "mmmmmm/mmmmmmmm+mmmmmmm="),
+    (1, "any", "AKIA" + "L" * 7 + "D" + "L" * 8), (1, "any", "AKIA" + "L" * 16), (1, "any", "AKIA" + "LLLD" * 4), (1, "any", "ASIA" + "LLDL" * 4),
+    (1, "any", "ghp_" + "m" * 36), (1, "any", "sk-" + "m" * 32), (1, "any", "glpat-" + "m" * 20), (1, "any", "xoxb-dddddddddd-" + "m" * 24),
+    (0, "plain", "x" * 40), (0, "plain", "x" * 32), (0, "plain", "x" * 64), (0, "plain", "X" * 32), (0, "plain", "m" * 20), (0, "plain", "m" * 12),
+    (0, "plain", "xxxxxxxx-xxxx-xxxx-xxxx-xxxxxxxxxxxx"), (0, "any", "20dd-0d-1d"), (0, "any", "20ddddddTdddddd"), (0, "any", "ddddddddddddddd"),
+    (0, "any", "dddddddd"), (0, "any", "d" * 16), (0, "any", "d" * 12), (0, "any", "d" * 20), (0, "any", "ddd-ddd-dddd"), (0, "any", "aaaaaaaaaaad"), (0, "any", "aaaaaaaadd"), (0, "any", "aaaa-aaaaaa-dd"),
+    (0, "any", "aaaa_aaaaaa_d"), (0, "any", "LLLLL-dd-aaaaaaa"), (0, "any", "LL-dddd-dd"), (0, "any", "L" * 16), (0, "any", "L" * 22),
+    (0, "any", "aaaa/aaaaaa/d"), (0, "any", "Laaaaaaaaaa-dd"), (0, "any", "ddaa-aaaaaaa"),
+]
+CREDENTIAL_CONTEXTS = {
+    "cue": ["password=", "password: ", "token = \"", "TOKEN = \"", "api_key='", "secret: ", "Bearer ", "access key is ", "pwd="],
+    "plain": ["commit ", "sha256 ", "and ", "", ". ", "md5: ", "checksum=", "id: ", "ref. "],
+    "any": ["and ", "the ", "", ", ", ". ", "key: ", "token = \"", "id: ", "with ", "call ", "host ", "card ", "e-mail "],
+}
 ROWS_PER_TEMPLATE = 80
 #: Context before a training span: cue words of its kind, neutral or misleading.
 BEFORE = {1: {"email": ["email: ", "contact me: ", "write to ", "and ", "", ". "], "ip": ["ip ", "host ", "from ", "and ", "", "server: "],
@@ -196,26 +229,38 @@ BEFORE = {1: {"email": ["email: ", "contact me: ", "write to ", "and ", "", ". "
           0: {k: ["order ", "version ", "and ", "the ", "", "section ", "ref. ", "id: "] for k in KINDS}}
 #: Share of negatives that a kind's threshold lets pass at most.
 PASS_NEGATIVES = 0.005
-TREES, DEPTH = 16, 3
+TREES, DEPTH = 24, 4
+
+
+def training_formats(kinds: tuple[str, ...]) -> list[tuple[str, int, str, list[str]]]:
+    """(kind, label, template, contexts) of the formats of ``kinds``."""
+    formats = [(k, label, t, BEFORE[label][k]) for k, label, t in TEMPLATES if k in kinds]
+    if "secret" in kinds:
+        formats += [("secret", label, t, CREDENTIAL_CONTEXTS[c]) for label, c, t in CREDENTIALS]
+    return formats
 
 
-def training_candidates(spark: SparkSession) -> DataFrame:
+def training_candidates(spark: SparkSession, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """``(id, kind, label, features)``: candidates of known kind, generated from
-    the templates by hashes of their numbers."""
-    rows = spark.range(len(TEMPLATES) * ROWS_PER_TEMPLATE)
-    at = (F.col("id") % len(TEMPLATES) + 1).cast("int")
+    the formats by hashes of their numbers."""
+    formats = training_formats(kinds)
+    rows = spark.range(len(formats) * ROWS_PER_TEMPLATE)
+    at = (F.col("id") % len(formats) + 1).cast("int")
     pick = lambda items: F.element_at(F.array(*[F.lit(x) for x in items]), at)
-    kind, label, template = (pick([t[i] for t in TEMPLATES]) for i in range(3))
+    kind, label, template = (pick([t[i] for t in formats]) for i in range(3))
     number = lambda i, lo, hi: (F.lit(lo) + F.pmod(F.xxhash64(F.col("id"), i), F.lit(hi - lo))).cast("string")
-    letter = lambda i: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), F.pmod(F.xxhash64(F.col("id"), i), F.lit(26)).cast("int") + 1, F.lit(1))
+    one_of = lambda letters, i: F.substr(F.lit(letters), F.pmod(F.xxhash64(F.col("id"), i), F.lit(len(letters))).cast("int") + 1, F.lit(1))
+    lower, upper = string.ascii_lowercase, string.ascii_uppercase
     # words of a template that stand for themselves
     words = F.split(F.regexp_replace(F.regexp_replace(F.col("template"), "dot", "\x01"), r"(?<![a-z])at(?![a-z])", "\x02"), "")
     char = lambda c, i: (F.when(c == "d", number(i, 0, 10)).when(c == "D", number(i, 2, 10)).when(c == "o", number(i, 0, 256))
-                         .when(c == "O", number(i, 256, 1000)).when(c == "a", letter(i)).when(c == "\x01", "dot").when(c == "\x02", "at")
+                         .when(c == "O", number(i, 256, 1000)).when(c == "a", one_of(lower, i)).when(c == "L", one_of(upper, i))
+                         .when(c == "x", one_of("0123456789abcdef", i)).when(c == "X", one_of("0123456789ABCDEF", i))
+                         .when(c == "m", one_of(string.digits + upper + lower, i)).when(c == "\x01", "dot").when(c == "\x02", "at")
                          .otherwise(c))
     tails = re.compile(r"\b(?:com|org|net|de)$")
-    ends = pick([(m[0] if (m := tails.search(t[2])) else "") for t in TEMPLATES])
-    stems = pick([tails.sub("", t[2]) for t in TEMPLATES])
+    ends = pick([(m[0] if (m := tails.search(t[2])) else "") for t in formats])
+    stems = pick([tails.sub("", t[2]) for t in formats])
     filled = F.concat(F.array_join(F.transform(words, char), ""), F.col("tail"))
     luhn = lambda v: F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.concat(F.expr("left(filled, length(filled) - 1)"), k.cast("string"))),
                               lambda w: luhn_ok(digits(w)) == (F.col("label") == 1))
@@ -223,10 +268,8 @@ def training_candidates(spark: SparkSession) -> DataFrame:
             .withColumn("filled", filled)
             .withColumn("value", F.when(F.col("kind") == "card", F.coalesce(F.get(luhn(F.col("filled")), F.lit(0)), "filled"))
                         .otherwise(F.col("filled"))))
-    choose = lambda options: F.element_at(F.array(*[F.lit(x) for x in options]),
-                                          (F.pmod(F.xxhash64(F.lit("before"), "id"), F.lit(len(options))) + 1).cast("int"))
-    before = reduce(lambda rest, kl: F.when((F.col("label") == kl[0]) & (F.col("kind") == kl[1]), choose(BEFORE[kl[0]][kl[1]])).otherwise(rest),
-                    [(lab, k) for lab in (0, 1) for k in KINDS], F.lit(""))
+    contexts = F.element_at(F.array(*[F.array(*[F.lit(x) for x in t[3]]) for t in formats]), at)
+    before = F.element_at(contexts, (F.pmod(F.xxhash64(F.lit("before"), "id"), F.size(contexts)) + 1).cast("int"))
     return made.select("id", "kind", F.col("label").cast("double").alias("label"),
                        features(F.col("kind"), F.col("value"), before, F.lit(" ")).alias("features"))
 
@@ -251,7 +294,8 @@ def _tree(debug: str, x: Column) -> Column:
 
 
 class PiiModel:
-    """Boosted trees over ``features`` and a score threshold per kind."""
+    """Boosted trees over ``features`` and a score threshold per kind that they
+    were fitted for."""
 
     def __init__(self, trees: list[str], weights: list[float], thresholds: dict[str, float]):
         self.trees, self.weights, self.thresholds = trees, weights, thresholds
@@ -260,23 +304,23 @@ class PiiModel:
         return reduce(lambda a, b: a + b, [_tree(t, x) * F.lit(w) for t, w in zip(self.trees, self.weights)])
 
     def selects(self, kind: Column, x: Column) -> Column:
-        bound = reduce(lambda rest, k: F.when(kind == k, F.lit(self.thresholds[k])).otherwise(rest), KINDS, F.lit(0.0))
+        bound = reduce(lambda rest, k: F.when(kind == k, F.lit(self.thresholds[k])).otherwise(rest), self.thresholds, F.lit(0.0))
         return self.score(x) > bound
 
 
-def fit_pii(spark: SparkSession) -> PiiModel:
-    """Boosted trees by Spark ML on four fifths of the generated candidates; the
+def fit_pii(spark: SparkSession, kinds: tuple[str, ...] = KINDS) -> PiiModel:
+    """Boosted trees for ``kinds`` (of ALL_KINDS) by Spark ML on four fifths of the generated candidates; the
     other fifth sets each kind's threshold, which at most PASS_NEGATIVES of its
     negatives pass."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = training_candidates(spark).repartition(2, "id").cache()
+    rows = training_candidates(spark, kinds).repartition(2, "id").cache()
     vectors = rows.withColumn("x", array_to_vector("features"))
     held = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(5)) == 0
     model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7,
                           cacheNodeIds=False).fit(vectors.filter(~held))
-    fitted = PiiModel([t.toDebugString for t in model.trees], list(model.treeWeights), dict.fromkeys(KINDS, 0.0))
+    fitted = PiiModel([t.toDebugString for t in model.trees], list(model.treeWeights), dict.fromkeys(kinds, 0.0))
     scored = rows.filter(held & (F.col("label") == 0)).withColumn("score", fitted.score(F.col("features")))
     for r in scored.groupBy("kind").agg(F.percentile("score", 1 - PASS_NEGATIVES).alias("t")).collect():
         fitted.thresholds[r["kind"]] = max(0.0, r["t"])
@@ -288,10 +332,10 @@ def fit_pii(spark: SparkSession) -> PiiModel:
 
 def find_pii(docs: DataFrame, model: PiiModel, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` and ``base`` and ``added``: arrays of (kind, start,
-    end, value) by kind in KINDS order, then start.
+    end, value) by kind in ALL_KINDS order, then start.
 
     base holds the exact matches; added holds further spans outside of them that
-    the trees select.  A NULL or empty text has none.  No shuffle: each row is
+    the trees select, of the kinds that the model was fitted for.  A NULL or empty text has none.  No shuffle: each row is
     settled by itself, so repeated rows and ids stay as they are.
     """
     src = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -307,7 +351,7 @@ def find_pii(docs: DataFrame, model: PiiModel, keep: list[str], text_col: str =
 
     def candidates(rest):
         found = [F.transform(F.filter(spans(rest, LOOSE[k], LOOSE_NEEDS[k]), is_plausible(k)),
-                             of_kind(k)) for k in KINDS]
+                             of_kind(k)) for k in model.thresholds]
         return F.filter(F.concat(*found), lambda s: let(
             features(s["kind"], s["value"], s["before"], s["after"]), lambda x: model.selects(s["kind"], x)))
 
@@ -317,7 +361,7 @@ def find_pii(docs: DataFrame, model: PiiModel, keep: list[str], text_col: str =
     rest = text
     for kind in KINDS:
         rest = let(rest, blanked(kind))
-    might = text.rlike(r"(?i)[0-9]|@|\bat\b")
+    might = text.rlike(r"(?i)[0-9]|@|\bat\b|(?-i:[A-Z]{16})")
     base = F.concat(*[named(k, base_spans(text, k)) for k in KINDS])
     added = F.transform(let(rest, candidates), lambda s: F.struct(s["kind"], s["start"], s["end"], s["value"]))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
@@ -352,8 +396,8 @@ def spans_text(found: Column) -> Column:
 
 
 def in_order(found: Column) -> Column:
-    """Spans by kind in KINDS order, then start, then end."""
+    """Spans by kind in ALL_KINDS order, then start, then end."""
     rank = F.transform(found, lambda s: F.struct(
-        F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("k"),
+        F.array_position(F.array(*[F.lit(k) for k in ALL_KINDS]), s["kind"]).alias("k"),
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value")))
     return F.array_sort(F.array_distinct(rank))

@@ -24,12 +24,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """n_* and base_sha256 cover the base spans, spans all of them."""
-    found = pii.find_pii(_documents(spark, sf_dir), pii.fit_pii(spark), ["doc_id"])
+    """n_* of the four kinds and base_sha256 cover the base spans; spans and
+    n_spans all of them, n_secret the credentials among them."""
+    found = pii.find_pii(_documents(spark, sf_dir), pii.fit_pii(spark, pii.ALL_KINDS), ["doc_id"])
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *[count(k) for k in pii.KINDS],
                         F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
-                        pii.spans_text(pii.in_order(F.concat("base", "added"))).alias("spans"))
+                        pii.spans_text(pii.in_order(F.concat("base", "added"))).alias("spans"),
+                        F.size(F.filter("added", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret"),
+                        (F.size("base") + F.size("added")).cast("long").alias("n_spans"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
