@@ -229,7 +229,7 @@ BEFORE = {1: {"email": ["email: ", "contact me: ", "write to ", "and ", "", ". "
           0: {k: ["order ", "version ", "and ", "the ", "", "section ", "ref. ", "id: "] for k in KINDS}}
 #: Share of negatives that a kind's threshold lets pass at most.
 PASS_NEGATIVES = 0.005
-TREES, DEPTH = 24, 4
+TREES, DEPTH = 16, 4
 
 
 def training_formats(kinds: tuple[str, ...]) -> list[tuple[str, int, str, list[str]]]:
