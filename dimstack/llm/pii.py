@@ -244,10 +244,11 @@ def training_candidates(spark: SparkSession, kinds: tuple[str, ...] = KINDS) ->
     """``(id, kind, label, features)``: candidates of known kind, generated from
     the formats by hashes of their numbers."""
     formats = training_formats(kinds)
-    rows = spark.range(len(formats) * ROWS_PER_TEMPLATE)
+    rows = spark.range(0, len(formats) * ROWS_PER_TEMPLATE, 1, 1)
     at = (F.col("id") % len(formats) + 1).cast("int")
-    pick = lambda items: F.element_at(F.array(*[F.lit(x) for x in items]), at)
-    kind, label, template = (pick([t[i] for t in formats]) for i in range(3))
+    # lists as one string each: a literal per item is a call to the JVM per item
+    pick = lambda items: F.element_at(F.split(F.lit("\x1f".join(items)), "\x1f", -1), at)
+    kind, label = pick([t[0] for t in formats]), pick([str(t[1]) for t in formats]).cast("int")
     number = lambda i, lo, hi: (F.lit(lo) + F.pmod(F.xxhash64(F.col("id"), i), F.lit(hi - lo))).cast("string")
     one_of = lambda letters, i: F.substr(F.lit(letters), F.pmod(F.xxhash64(F.col("id"), i), F.lit(len(letters))).cast("int") + 1, F.lit(1))
     lower, upper = string.ascii_lowercase, string.ascii_uppercase
@@ -268,27 +269,29 @@ def training_candidates(spark: SparkSession, kinds: tuple[str, ...] = KINDS) ->
             .withColumn("filled", filled)
             .withColumn("value", F.when(F.col("kind") == "card", F.coalesce(F.get(luhn(F.col("filled")), F.lit(0)), "filled"))
                         .otherwise(F.col("filled"))))
-    contexts = F.element_at(F.array(*[F.array(*[F.lit(x) for x in t[3]]) for t in formats]), at)
+    contexts = F.split(pick(["\x1e".join(t[3]) for t in formats]), "\x1e", -1)
     before = F.element_at(contexts, (F.pmod(F.xxhash64(F.lit("before"), "id"), F.size(contexts)) + 1).cast("int"))
-    return made.select("id", "kind", F.col("label").cast("double").alias("label"),
-                       features(F.col("kind"), F.col("value"), before, F.lit(" ")).alias("features"))
+    # kept apart, or the optimizer writes value and before out in every feature
+    made = made.select("id", "kind", F.col("label").cast("double").alias("label"), "value", before.alias("before")).cache()
+    return made.select("id", "kind", "label", features(F.col("kind"), F.col("value"), F.col("before"), F.lit(" ")).alias("features"))
 
 
-def _tree(debug: str, x: Column) -> Column:
-    """A regression tree, as printed by Spark, as nested CASE expressions."""
+def _tree(debug: str) -> str:
+    """A regression tree, as printed by Spark, as a nested SQL CASE over the
+    array ``x``."""
     lines = [line.strip() for line in debug.split("\n") if re.match(r"\s*(If|Else|Predict)", line)]
     at = 0
 
-    def node() -> Column:
+    def node() -> str:
         nonlocal at
         line = lines[at]
         at += 1
         if line.startswith("Predict"):
-            return F.lit(float(line.split(":")[1]))
+            return f"{float(line.split(':')[1])!r}D"
         feature, bound = re.match(r"If \(feature (\d+) <= ([-\d.eE]+)\)", line).groups()
         yes = node()
         at += 1  # the Else line
-        return F.when(F.get(x, F.lit(int(feature))) <= float(bound), yes).otherwise(node())
+        return f"CASE WHEN x[{feature}] <= {float(bound)!r}D THEN {yes} ELSE {node()} END"
 
     return node()
 
@@ -301,7 +304,8 @@ class PiiModel:
         self.trees, self.weights, self.thresholds = trees, weights, thresholds
 
     def score(self, x: Column) -> Column:
-        return reduce(lambda a, b: a + b, [_tree(t, x) * F.lit(w) for t, w in zip(self.trees, self.weights)])
+        total = " + ".join(f"({_tree(t)}) * {w!r}D" for t, w in zip(self.trees, self.weights))
+        return F.get(F.call_function("transform", F.array(x), F.expr(f"x -> {total}")), F.lit(0))
 
     def selects(self, kind: Column, x: Column) -> Column:
         bound = reduce(lambda rest, k: F.when(kind == k, F.lit(self.thresholds[k])).otherwise(rest), self.thresholds, F.lit(0.0))
@@ -315,7 +319,7 @@ def fit_pii(spark: SparkSession, kinds: tuple[str, ...] = KINDS) -> PiiModel:
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    rows = training_candidates(spark, kinds).repartition(2, "id").cache()
+    rows = training_candidates(spark, kinds).cache()
     vectors = rows.withColumn("x", array_to_vector("features"))
     held = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(5)) == 0
     model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7,
