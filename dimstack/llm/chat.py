@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,9 @@ def unescape(text: str) -> str:
     return re.sub(r"<\|(\|+)", r"<\1", text)
 
 
+@lru_cache(maxsize=2)
 def chat_tokenizer(path: str):
-    """The byte-level tokenizer of ``path`` with the control strings as special
+    """The byte-level tokenizer of ``path``, read once per worker, with the control strings as special
     tokens (ids behind its own), so that no token spans the edge of a text, and
     offsets that keep leading white space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -110,7 +113,7 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, trained: tuple[s
         def row(conv, said: list[tuple[str, str]]) -> tuple:
             text, spans = render(said, roles)
             got = tok.encode(text, add_special_tokens=False)
-            offsets = np.array(got.offsets, np.int64).reshape(-1, 2)
+            offsets = np.fromiter(chain.from_iterable(got.offsets), np.int64, 2 * len(got)).reshape(-1, 2)
             return (conv, len(said), text, np.array(got.ids, "<u4").tobytes(), loss_mask(offsets, spans).tobytes())
 
         def flush() -> pa.RecordBatch:
