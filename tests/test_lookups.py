@@ -125,3 +125,20 @@ def test_visitors_of_any_span(spark):
     week = {u for h, u, ts in rows if h == "a" and u is not None and ts is not None and dt.date(2024, 1, 3) <= ts.date() <= dt.date(2024, 1, 9)}
     got = {r.host: r.n_visitors for r in vi.visitors_between(daily, ["host"], "2024-01-03", "2024-01-09").collect()}
     assert got["a"] == len(week)
+
+
+@pytest.mark.parametrize("small", [2, 6, 32])
+def test_small_games_are_paired_crowded_ones_looked_up(spark, small):
+    rng = random.Random(small)
+    rows = [(p, g, rng.choice([None, 1, 2, 30])) for p in range(25) for g in rng.sample(range(40), rng.randint(0, 14))]
+    rows += [(p, 1000 + k, 5) for p in range(25) for k in range(3)]
+    df = details(spark, rows)
+    got = pa.strongest_partners(df, min_shared=4, small=small)
+    assert sorted(map(tuple, got.collect())) == slow_partners(rows, 4)
+
+
+def test_games_of_few_players_need_no_lookup(spark, monkeypatch):
+    monkeypatch.setattr(pa, "crowded_games", None)
+    rows = [(p, g, 1) for p in range(10) for g in range(12)]
+    got = pa.strongest_partners(details(spark, rows), min_shared=6)
+    assert sorted(map(tuple, got.collect())) == slow_partners(rows, 6) != []
