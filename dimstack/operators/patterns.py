@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import channel
+from ..plans.days import materialize
+from ..plans.spread import HOT, partitions_for, split_hot
 from ..schemas import ALL_LEVELS_LABEL, OVERALL, UNKNOWN
 
 
@@ -66,24 +68,46 @@ def grouping_sets_dashboard(events: DataFrame, devices: DataFrame) -> DataFrame:
                     *[F.coalesce(c, F.lit(OVERALL)).alias(c) for c in cols], "number_of_hits")
 
 
-def grouping_sets_games(details: DataFrame, games: DataFrame) -> DataFrame:
-    """Points and wins by (player, team), (player, season), (team).
+GAME_SETS = {"player__team": ["player_name", "team"], "player__season": ["player_name", "season"], "team": ["team"]}
 
-    Distinct games are counted in two hash-aggregate phases instead of with
-    COUNT(DISTINCT) (which Spark expands once per distinct aggregate): the
-    grouping sets first group per set *and game*, then each set's rows are
-    counted."""
-    g = games.select("game_id", "season", "home_team_id", "visitor_team_id", "home_team_wins")
-    j = details.join(g, "game_id")
+
+def _with_games(details: DataFrame, games: DataFrame) -> DataFrame:
+    """Detail rows with their game's season and whether their team won it."""
     won = (((F.col("team_id") == F.col("home_team_id")) & (F.col("home_team_wins") == 1))
            | ((F.col("team_id") == F.col("visitor_team_id")) & (F.col("home_team_wins") == 0)))
-    j = j.select("player_name", F.col("team_abbreviation").alias("team"),
-                 F.col("season").cast("string").alias("season"), "pts", "game_id",
-                 F.when(won, 1).otherwise(0).alias("won"))
+    return details.join(games, "game_id").select(
+        "player_name", "team", F.col("season").cast("string").alias("season"), "pts", "game_id",
+        F.when(won, 1).otherwise(0).alias("won"))
+
+
+def _sets_by_window(j: DataFrame) -> DataFrame:
+    """Totals of the sets from rows that are dealt by game: the first row of a
+    set in a game, a won one if there is one, counts the game."""
+    keys = ["player_name", "team", "season"]
+    for name, cols in GAME_SETS.items():
+        first = F.row_number().over(Window.partitionBy("game_id", *cols).orderBy(F.desc("won"))) == 1
+        j = j.withColumn(f"_n_{name}", F.when(first, 1).otherwise(0))
+    sums = j.groupingSets(list(GAME_SETS.values()), *keys).agg(
+        F.sum("pts").alias("total_pts"), F.grouping_id().alias("_gid"),
+        *[F.sum(F.col(f"_n_{name}")).alias(f"n_{name}") for name in GAME_SETS],
+        *[F.sum(F.col(f"_n_{name}") * F.col("won")).alias(f"w_{name}") for name in GAME_SETS])
+    # grouping_id bits follow (player_name, team, season); 1 = rolled up
+    of_set = {0b001: "player__team", 0b010: "player__season", 0b101: "team"}
+
+    def pick(value):
+        return F.coalesce(*[F.when(F.col("_gid") == gid, value(name)) for gid, name in of_set.items()])
+    return sums.select(pick(F.lit).alias("aggregation_level"), *keys, "total_pts",
+                       pick(lambda name: F.col(f"n_{name}")).alias("n_games"),
+                       pick(lambda name: F.col(f"w_{name}")).alias("games_won"))
+
+
+def _sets_by_grouping(j: DataFrame) -> DataFrame:
+    """The same for games of any size.  Distinct games are counted in two
+    hash-aggregate phases instead of with COUNT(DISTINCT) (which Spark expands
+    once per distinct aggregate): the grouping sets first group per set *and
+    game*, then each set's rows are counted."""
     keys = ["player_name", "team", "season", "game_id"]
-    per_game = j.groupingSets(
-        [["player_name", "team", "game_id"], ["player_name", "season", "game_id"],
-         ["team", "game_id"]], *keys).agg(
+    per_game = j.groupingSets([[*cols, "game_id"] for cols in GAME_SETS.values()], *keys).agg(
         F.sum("pts").alias("pts"), F.max("won").alias("won"), F.grouping_id().alias("_gid"))
     agg = per_game.groupBy("_gid", "player_name", "team", "season").agg(
         F.sum("pts").alias("total_pts"), F.count(F.lit(1)).alias("n_games"),
@@ -92,9 +116,27 @@ def grouping_sets_games(details: DataFrame, games: DataFrame) -> DataFrame:
     level = (F.when(F.col("_gid") == 0b0010, "player__team")
              .when(F.col("_gid") == 0b0100, "player__season")
              .otherwise("team"))
-    return agg.select(level.alias("aggregation_level"),
-                      *[F.coalesce(c, F.lit(OVERALL)).alias(c)
-                        for c in ("player_name", "team", "season")],
+    return agg.select(level.alias("aggregation_level"), "player_name", "team", "season",
+                      "total_pts", "n_games", "games_won")
+
+
+def grouping_sets_games(details: DataFrame, games: DataFrame, hot: int = HOT) -> DataFrame:
+    """Points and wins by (player, team), (player, season), (team).
+
+    Details and games are dealt by game once, into partitions of a bounded
+    number of rows; what crosses the network after that are the sets' sums.
+    Games of more than ``hot`` detail rows are grouped per set and game."""
+    g = games.select("game_id", "season", "home_team_id", "visitor_team_id", "home_team_wins")
+    d = materialize(details.select("game_id", "player_name", F.col("team_abbreviation").alias("team"), "team_id", "pts"),
+                    "games_details")
+    light, heavy = split_hot(d, "game_id", hot)
+    n = partitions_for(d)
+    agg = _sets_by_window(_with_games(light.repartition(n, "game_id"), g.repartition(n, "game_id")))
+    labels = ["player_name", "team", "season"]
+    if heavy is not None:
+        agg = (agg.unionByName(_sets_by_grouping(_with_games(heavy, g))).groupBy("aggregation_level", *labels)
+               .agg(*[F.sum(c).alias(c) for c in ("total_pts", "n_games", "games_won")]))
+    return agg.select("aggregation_level", *[F.coalesce(c, F.lit(OVERALL)).alias(c) for c in labels],
                       "total_pts", "n_games", "games_won")
 
 

@@ -3,6 +3,7 @@
 import random
 
 from dimstack.operators.graph import player_partner_totals
+from dimstack.operators.patterns import grouping_sets_games
 from dimstack.plans.inspect import plan_text
 from dimstack.plans.spread import partitions_for, split_hot
 
@@ -23,6 +24,13 @@ def details(spark, n=400, seed=5):
     return rows, spark.createDataFrame(rows, DETAILS)
 
 
+def games(spark, seed=5):
+    rng = random.Random(seed)
+    rows = [(g, None if g % 7 == 0 else 2000 + g % 3, g % 4, (g + 1) % 4, rng.randrange(2)) for g in range(1, 60) if g % 9]
+    rows += rows[:3]
+    return rows, spark.createDataFrame(rows, "game_id long, season int, home_team_id long, visitor_team_id long, home_team_wins int")
+
+
 def test_partitions_follow_the_rows(spark):
     df = spark.range(1000)
     assert [partitions_for(df, k) for k in (10_000, 300, 100)] == [1, 4, 11]
@@ -47,3 +55,29 @@ def test_partner_totals_with_and_without_hot_games(spark):
     # one shuffle by game serves all roster levels
     assert "Join" not in plan_text(by_window, "simple")
     assert plain == run(10)[1] == run(0)[1] != []
+
+
+def test_game_sets_with_and_without_hot_games(spark):
+    rows, df = details(spark)
+    grows, gdf = games(spark)
+    want = {}
+    for gid, season, home, visitor, wins in grows:
+        for r in rows:
+            if r[0] == gid:
+                won = (r[1] == home and wins == 1) or (r[1] == visitor and wins == 0)
+                name, team, s = r[4] or "(overall)", r[2] or "(overall)", "(overall)" if season is None else str(season)
+                for key in (("player__team", name, team, "(overall)"), ("player__season", name, "(overall)", s),
+                            ("team", "(overall)", team, "(overall)")):
+                    pts, seen, of = want.setdefault(key, [[], set(), set()])
+                    pts += [] if r[5] is None else [r[5]]
+                    seen.add(gid)
+                    of |= {gid} if won else set()
+    want = sorted((*k, sum(p) if p else None, len(n), len(w)) for k, (p, n, w) in want.items())
+    for hot in (10_000, 10, 0):
+        out = grouping_sets_games(df, gdf, hot=hot)
+        got = [tuple(r) for r in out.select("aggregation_level", "player_name", "team", "season", "total_pts", "n_games",
+                                            "games_won").collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), hot
+    # no row is expanded per set before it is grouped with its game
+    text = plan_text(grouping_sets_games(df, gdf), "simple")
+    assert text.index("Expand") < text.index("Window")
