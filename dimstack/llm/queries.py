@@ -47,9 +47,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_passages and n_passage_bytes count stretches of over 50 words that
+    another document has too, also those too short to be removed."""
     found = suffix_dedup.remove_repeats(_documents(spark, sf_dir), keep=["doc_id"])
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
-                        (F.col("n_removed") > 0).alias("has_repeat"))
+                        (F.col("n_removed") > 0).alias("has_repeat"), "n_passages", "n_passage_bytes")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

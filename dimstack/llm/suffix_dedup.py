@@ -12,6 +12,10 @@ A byte goes if a string of LENGTH bytes that covers it also starts elsewhere.
    and common prefixes (Kasai).  Windows with a common prefix of LENGTH form a
    class; each shard sends one fingerprint per class, in sorted ranges, and the
    ranges of all shards are merged by binary search.
+
+Passages of PASSAGE words that another document has too may be shorter than
+LENGTH bytes.  They are reported, not removed: steps 1 and 2 on words instead of
+bytes, then the windows of what remains open are counted by fingerprint.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ from .common import join_dimension, materialize
 
 LENGTH = 400
 GRAM = 64
+#: Words of a reported passage, and of the grams that anchor it.
+PASSAGE = 51
+WORD_GRAM = 13
 #: Bytes of a text that are hashed at once.
 PIECE = 1 << 19
 #: Bytes of open segments in one suffix array.
@@ -43,6 +50,7 @@ LANE = 1024
 _rng = np.random.default_rng(20240229)
 _CODES = _rng.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -56,8 +64,9 @@ _INVERSE = [_powers(pow(b, -1, 1 << 64), PIECE + LENGTH) for b in _BASES]
 
 
 def rolling(data: np.ndarray, width: int, which: int = 0) -> np.ndarray:
-    """Hash of every ``width`` bytes of at most PIECE + LENGTH bytes."""
-    terms = _CODES[which][data] * _POWERS[which][:len(data)]
+    """Hash of every ``width`` bytes (or 64-bit codes) of at most PIECE + LENGTH."""
+    codes = _CODES[which][data] if data.dtype == np.uint8 else data
+    terms = codes * _POWERS[which][:len(data)]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
     out = (total[width:] - total[:-width]) * _INVERSE[which][:len(data) - width + 1]
     out ^= out >> np.uint64(31)
@@ -76,23 +85,49 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(out) - rest], out[rest:]) if rest else out
 
 
-def segments(data: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, int, int]]:
     """(anchor hash, first window, last window) of a text's segments, in order.
 
     The anchor is the leftmost of the smallest grams: the hash in the high bits
     of a key, the position in the low ones.
     """
-    for lo in range(0, max(0, len(data) - LENGTH + 1), PIECE):
-        part = data[lo:lo + PIECE + LENGTH - 1]
-        h = rolling(part, GRAM)
+    for lo in range(0, max(0, len(data) - length + 1), PIECE):
+        part = data[lo:lo + PIECE + length - 1]
+        h = rolling(part, gram)
         key = (h & ~np.uint64((1 << 20) - 1)) | np.arange(len(h), dtype=np.uint64)
-        least = _sliding_min(key, LENGTH - GRAM + 1)
+        least = _sliding_min(key, length - gram + 1)
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         last = np.concatenate([first[1:], [len(least)]]) - 1
         anchors = h[(least[first] & np.uint64((1 << 20) - 1)).astype(np.int64)].view(np.int64)
         yield from zip(anchors.tolist(), (first + lo).tolist(), (last + lo).tolist())
 
 
+def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit codes of the words, their first bytes and the bytes after them."""
+    inside = np.concatenate([[False], ~_SPACE[np.frombuffer(raw, np.uint8)], [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, raw.split()), np.uint64, len(edge) // 2)
+    return codes, edge[::2], edge[1::2]
+
+
+def byte_segments(raw: pa.BinaryScalar) -> Iterator[tuple[int, int, int, int]]:
+    """(anchor, hash of the bytes, first window, last window)."""
+    data = raw.as_buffer()
+    view = memoryview(data)
+    for a, first, last in segments(np.frombuffer(data, np.uint8)):
+        yield a, xxhash.xxh3_64_intdigest(view[first:last + LENGTH]), first, last
+
+
+def word_segments(raw: pa.BinaryScalar) -> Iterator[tuple[int, int, int, int]]:
+    """The same for windows of PASSAGE words: hash of the words, first byte and,
+    as if a window of LENGTH bytes began there, last byte less LENGTH."""
+    codes, start, end = words(raw.as_py())
+    view = memoryview(codes.view(np.uint8))
+    for a, first, last in segments(codes, PASSAGE, WORD_GRAM):
+        stop = last + PASSAGE
+        yield a, xxhash.xxh3_64_intdigest(view[8 * first:8 * stop]), int(start[first]), int(end[stop - 1]) - LENGTH
+
+
 # -- suffix arrays ------------------------------------------------------------
 
 def _group_starts(new: np.ndarray) -> np.ndarray:
@@ -202,7 +237,7 @@ def _text_keys(text: Column) -> list:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
 
 
-def all_segments(docs: DataFrame, text_col: str) -> DataFrame:
+def all_segments(docs: DataFrame, text_col: str, split=byte_segments) -> DataFrame:
     """``(anchor, bytes_hash, t1, t2, first, last)``: every segment of every text.
     t1, t2 name the text by its content, so equal texts share all results."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -212,18 +247,15 @@ def all_segments(docs: DataFrame, text_col: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for b in batches:
             rows, anchors, firsts, lasts, hashes = [], [], [], [], []
             for i, raw in enumerate(b.column("raw")):
-                data = raw.as_buffer()
-                view = memoryview(data)
-                for a, first, last in segments(np.frombuffer(data, np.uint8)):
+                for a, h, first, last in split(raw):
                     rows.append(i)
                     anchors.append(a)
+                    hashes.append(h)
                     firsts.append(first)
                     lasts.append(last)
-                    hashes.append(digest(view[first:last + LENGTH]))
             if rows:
                 at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
@@ -333,14 +365,33 @@ def _shards(open_: DataFrame, ranges: int) -> DataFrame:
     return open_.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, SHARD_ROWS)
 
 
+def _shared(segs: DataFrame) -> tuple[DataFrame, int]:
+    """Segments whose anchor occurs again, and their number."""
+    anchors = materialize(segs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+                          .withColumn("shared", F.lit(True)), "anchors")
+    total = anchors.agg(F.sum("n")).first()[0] or 0
+    return join_dimension(segs, anchors, ["anchor"], "n", total).filter("shared").drop("shared"), total
+
+
+def _cut(docs: DataFrame, open_: DataFrame, text_col: str) -> DataFrame:
+    """The rows of ``open_`` with ``raw``, their bytes ``first`` to ``last`` +
+    LENGTH of the text t1, t2."""
+    rest = [c for c in open_.columns if c not in ("t1", "t2")]
+    wanted = open_.groupBy("t1", "t2").agg(F.collect_list(F.struct(*rest)).alias("s"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(*_text_keys(text), text.alias("text")).join(materialize(wanted, "wanted").hint("merge"), ["t1", "t2"])
+    # a segment open for one text is open once, however many rows hold the text
+    return (texts.select("t1", "t2", "text", "s").dropDuplicates(["t1", "t2"])
+            .select("t1", "t2", F.encode("text", "utf-8").alias("raw"), F.explode("s").alias("s"))
+            .select("t1", "t2", "s.*", F.substring("raw", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + LENGTH).alias("raw")))
+
+
 def repeated_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(t1, t2, runs)`` per text with repeats: runs of window starts whose
     LENGTH bytes also start elsewhere."""
     segs = materialize(all_segments(docs, text_col), "segments")
-    anchors = materialize(segs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-                          .withColumn("shared", F.lit(True)), "anchors")
-    total = anchors.agg(F.sum("n")).first()[0] or 0
-    shared = materialize(join_dimension(segs, anchors, ["anchor"], "n", total).filter("shared").drop("shared"), "shared")
+    shared, total = _shared(segs)
+    shared = materialize(shared, "shared")
     rep = F.min(F.struct("t1", "t2", "first", "last")).alias("rep")
     kinds = materialize(shared.groupBy("anchor", "bytes_hash").agg(F.count("*").alias("n"), rep), "segment-kinds")
     whole = join_dimension(shared, kinds.filter("n > 1").select("anchor", "bytes_hash", "n", F.lit(True).alias("whole")),
@@ -351,15 +402,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
                      (F.col("n") == 1).alias("lone"), (F.col("kinds") > SPLIT).alias("split")))
     split = several.filter(F.col("kinds") > SPLIT).agg(F.sum("kinds")).first()[0] or 0
     ranges = int(split * 150 // RANGE) + 1
-    wanted = (open_.groupBy("t1", "t2").agg(F.collect_list(F.struct("anchor", "salt", "first", "last", "lone", "split")).alias("s")))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(*_text_keys(text), text.alias("text")).join(materialize(wanted, "wanted").hint("merge"), ["t1", "t2"])
-    # a segment open for one text is open once, however many rows hold the text
-    cut = (texts.select("t1", "t2", "text", "s").dropDuplicates(["t1", "t2"])
-           .select("t1", "t2", F.encode("text", "utf-8").alias("raw"), F.explode("s").alias("s"))
-           .select("s.anchor", "s.salt", "t1", "t2", "s.first", "s.last", "s.lone", "s.split",
-                   F.substring("raw", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + LENGTH).alias("raw")))
-    done = materialize(_shards(cut, ranges), "shards")
+    done = materialize(_shards(_cut(docs, open_, text_col), ranges), "shards")
     found = [whole.select("t1", "t2", F.array(F.struct(F.col("first").alias("a"), F.col("last").alias("b"))).alias("runs")),
              done.filter("range IS NULL").select("t1", "t2", "runs")]
     if split:
@@ -373,28 +416,95 @@ def repeated_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return union.select("t1", "t2", F.explode("runs").alias("r")).groupBy("t1", "t2").agg(F.collect_set("r").alias("runs"))
 
 
+WINDOWS = T.StructType([T.StructField(c, T.LongType()) for c in ("h1", "h2", "t1", "t2")]) \
+    .add("first", "integer").add("last", "integer").add("lone", "boolean")
+#: Rows of ``cut`` whose windows are hashed at once: under PIECE words.
+ROWS = 2000
+
+
+def passage_windows(cut: DataFrame) -> DataFrame:
+    """Every window of PASSAGE words of the segments in ``cut``: fingerprint
+    h1, h2, text, first byte and last byte less LENGTH."""
+    arrow = to_arrow_schema(WINDOWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                b = batch.slice(k, ROWS)
+                raws = b.column("raw").to_pylist()
+                codes, start, end = words(b" ".join(raws))
+                if len(codes) < PASSAGE:
+                    continue
+                edge = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
+                row = np.searchsorted(edge, start, "right") - 1
+                at = np.flatnonzero(row[:1 - PASSAGE] == row[PASSAGE - 1:])
+                row = row[at]
+                h1, h2 = (rolling(codes, PASSAGE, w)[at].view(np.int64) for w in (0, 1))
+                shift = b.column("first").to_numpy()[row] - edge[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h1), pa.array(h2), b.column("t1").take(pa.array(row)), b.column("t2").take(pa.array(row)),
+                     pa.array((start[at] + shift).astype(np.int32)),
+                     pa.array((end[at + PASSAGE - 1] + shift - LENGTH).astype(np.int32)),
+                     b.column("lone").take(pa.array(row))], schema=arrow)
+
+    return cut.mapInArrow(run, WINDOWS)
+
+
+def shared_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(t1, t2, passages)`` per text with windows of PASSAGE words that another
+    document has too, white space aside: runs of first byte to last byte less
+    LENGTH.  Documents with equal texts are others of each other."""
+    segs = materialize(all_segments(docs, text_col, word_segments), "passage-segments")
+    shared, total = _shared(segs)
+    places = materialize(shared.groupBy("anchor", "bytes_hash", "t1", "t2", "first", "last")
+                         .agg(F.count("*").alias("rows")), "passage-places")
+    apart = (F.min("t1") < F.max("t1")) | (F.min("t2") < F.max("t2"))
+    kinds = materialize(places.groupBy("anchor", "bytes_hash").agg(
+        F.count("*").alias("n"), (apart | (F.max("rows") > 1)).alias("across"),
+        F.min(F.struct("t1", "t2", "first", "last")).alias("rep")), "passage-kinds")
+    several = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+                          .withColumn("open", F.lit(True)), "open-passages")
+    kinds = join_dimension(kinds, several, ["anchor"], "kinds", total)
+    found = materialize(join_dimension(places, kinds, ["anchor", "bytes_hash"], "n", total), "passages-found")
+    # a kind of several documents is settled; one of its places stands for it
+    open_ = found.filter(F.col("open") & (~F.col("across") | (F.col("rep") == F.struct("t1", "t2", "first", "last")))) \
+        .select("t1", "t2", "first", "last", (~F.col("across")).alias("lone"))
+    wins = materialize(passage_windows(_cut(docs, open_, text_col)), "passage-windows")
+    again = materialize(wins.groupBy("h1", "h2").agg(F.count("*").alias("n"), (apart | ~F.bool_and("lone")).alias("across"))
+                        .filter("across"), "passages-again")
+    hit = join_dimension(wins.filter("lone"), again, ["h1", "h2"], "n", wins.count()).filter("across")
+    run = F.struct(F.col("first").alias("a"), F.col("last").alias("b"))
+    return (found.filter("across").select("t1", "t2", run.alias("r")).unionByName(hit.select("t1", "t2", run.alias("r")))
+            .groupBy("t1", "t2").agg(F.collect_set("r").alias("passages")))
+
+
 def remove_repeats(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """The columns ``keep`` (all by default) and ``kept`` (the remaining bytes),
     ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
+    ``n_passages`` and ``n_passage_bytes`` count the stretches of PASSAGE words
+    or more that another document has too; they are removed only as far as the
+    bytes repeat.
 
     Texts are UTF-8 bytes, NULL and empty ones none.  Repeated rows repeat each
     other and ids play no part, so NULL ids are fine.  A column of ``docs``
     named like a new one is replaced; an empty table gives an empty result.
     """
-    new = ("kept", "n_bytes", "n_removed", "n_spans")
+    new = ("kept", "n_bytes", "n_removed", "n_spans", "n_passages", "n_passage_bytes")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     runs = materialize(repeated_windows(docs, text_col), "repeats")
+    passages = materialize(shared_passages(docs, text_col), "passages")
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.struct(*keep).alias("row"), *_text_keys(text), F.encode(text, "utf-8").alias("raw"))
-    joined = src.join(runs.hint("merge"), ["t1", "t2"], "left").select("row", "raw", "runs")
+    joined = (src.join(runs.hint("merge"), ["t1", "t2"], "left").join(passages.hint("merge"), ["t1", "t2"], "left")
+              .select("row", "raw", "runs", "passages"))
     schema = docs.select(F.struct(*keep).alias("row")).schema.add("kept", "binary").add("n_bytes", "long") \
-        .add("n_removed", "long").add("n_spans", "long")
+        .add("n_removed", "long").add("n_spans", "long").add("n_passages", "long").add("n_passage_bytes", "long")
     arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept, size, gone, spans = [], [], [], []
-            for raw, runs in zip(b.column("raw"), b.column("runs")):
+            kept, size, gone, spans, parts, within = [], [], [], [], [], []
+            for raw, runs, passages in zip(b.column("raw"), b.column("runs"), b.column("passages")):
                 raw = raw.as_py()
                 left, at, n = [], 0, 0
                 for a, e in covered(runs.as_py() or []):
@@ -405,8 +515,12 @@ def remove_repeats(docs: DataFrame, keep: list[str] | None = None, text_col: str
                 size.append(len(raw))
                 gone.append(len(raw) - len(kept[-1]))
                 spans.append(n)
+                sizes = [e - a for a, e in covered(passages.as_py() or [])]
+                parts.append(len(sizes))
+                within.append(sum(sizes))
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(kept, pa.binary()), pa.array(size, pa.int64()),
-                                              pa.array(gone, pa.int64()), pa.array(spans, pa.int64())], schema=arrow)
+                                              pa.array(gone, pa.int64()), pa.array(spans, pa.int64()),
+                                              pa.array(parts, pa.int64()), pa.array(within, pa.int64())], schema=arrow)
 
     return joined.mapInArrow(cut, schema).select("row.*", *new)
 

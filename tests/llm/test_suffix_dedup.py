@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -100,3 +101,53 @@ def test_query_and_empty_table(spark):
     assert got == sorted((d.doc_id, *b) for d, b in zip(docs, brute([d.text for d in docs])))
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert sd.remove_repeats(empty).count() == 0
+
+
+def brute_passages(texts, n=51):
+    found = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    at = {}
+    for k, t in enumerate(texts):
+        raw = (t or "").encode()
+        for i in range(len(found[k]) - n + 1):
+            at.setdefault(tuple(raw[a:b] for a, b in found[k][i:i + n]), []).append((k, i))
+    gone = [np.zeros(len((t or "").encode()) + 1, bool) for t in texts]
+    for places in at.values():
+        if len({k for k, _ in places}) > 1:
+            for k, i in places:
+                gone[k][found[k][i][0]:found[k][i + n - 1][1]] = True
+    return [(int((g[1:] > g[:-1]).sum() + g[0]), int(g.sum())) for g in gone]
+
+
+def test_passages_of_over_50_words(spark, texts, monkeypatch):
+    monkeypatch.setattr(sd, "PIECE", 1000)
+    monkeypatch.setattr(sd, "ROWS", 7)
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"{rng.choice('aeiou')}{rng.randrange(2000)}" for _ in range(n))
+    short, common = prose(51), prose(60)
+    assert len(short) < 400  # too short for the bytes that are removed
+    more = [f"{prose(30)} {short} {prose(40)}", f"{prose(9)}\n{short}", short.replace(" ", "\n\t"), f" {short} ",
+            f"{short} {prose(5)} {short[:-1]}x {short}",  # all places of one text
+            f"{prose(70)} {short.rsplit(' ', 1)[0]} {prose(9)}",  # 50 words only
+            f"{(alone := prose(52))} {prose(3)} {alone}",  # twice, but in no other document
+            (twin := prose(51)), twin, prose(50), "one two", "w " * 120, "w " * 130, "w " * 50]
+    more += [f"{prose(rng.randrange(80))} {common} {prose(rng.randrange(80))}" for _ in range(40)]
+    words = prose(300).split()
+    for k in range(20):  # near copies
+        edited = list(words)
+        for _ in range(k):
+            edited[rng.randrange(300)] = prose(1)
+        more.append(" ".join(edited))
+    all_ = [t for t in texts if len(t or "") < 9000] + more
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(all_)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_passages, r.n_passage_bytes, r.n_removed) for r in sd.remove_repeats(docs.repartition(3)).collect()}
+    want = brute_passages(all_)
+    assert {i: g[:2] for i, g in got.items()} == dict(enumerate(want))
+    first = len(all_) - len(more)
+    assert [got[first + k][0] for k in range(10)] == [1, 1, 1, 1, 2, 0, 0, 1, 1, 0]
+    assert got[first][2] == 0
+
+
+def test_query_reports_passages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    got = sorted((r.doc_id, r.n_passages, r.n_passage_bytes) for r in queries.op4_suffix_array_dedup(spark, SF).collect())
+    assert got == sorted((d.doc_id, *b) for d, b in zip(docs, brute_passages([d.text for d in docs])))
