@@ -15,7 +15,8 @@ A byte goes if a string of LENGTH bytes that covers it also starts elsewhere.
 
 Passages of PASSAGE words that another document has too may be shorter than
 LENGTH bytes.  They are reported, not removed: steps 1 and 2 on words instead of
-bytes, then the windows of what remains open are counted by fingerprint.
+bytes, then the windows of what remains open are counted by fingerprint, in the
+task of their anchor or, for anchors that are split, by one more shuffle.
 """
 
 from __future__ import annotations
@@ -416,38 +417,65 @@ def repeated_windows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return union.select("t1", "t2", F.explode("runs").alias("r")).groupBy("t1", "t2").agg(F.collect_set("r").alias("runs"))
 
 
-WINDOWS = T.StructType([T.StructField(c, T.LongType()) for c in ("h1", "h2", "t1", "t2")]) \
+#: Repeated runs of a text, or (with h1, h2) one window of a split anchor.
+PASSAGE_ROWS = T.StructType([T.StructField(c, T.LongType()) for c in ("h1", "h2", "t1", "t2")]) \
     .add("first", "integer").add("last", "integer").add("lone", "boolean")
-#: Rows of ``cut`` whose windows are hashed at once: under PIECE words.
+#: Segments whose words are hashed at once, about: under PIECE words.
 ROWS = 2000
 
 
-def passage_windows(cut: DataFrame) -> DataFrame:
-    """Every window of PASSAGE words of the segments in ``cut``: fingerprint
-    h1, h2, text, first byte and last byte less LENGTH."""
-    arrow = to_arrow_schema(WINDOWS)
-
+def passage_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of (t1, t2, first, lone, split, raw): whole anchors, or shares of
+    split ones, whose windows are left to be counted over all shares."""
+    texts1, texts2, firsts, lones, splits = (np.array(x) for x in list(zip(*rows))[:5])
+    raws = [r[5] for r in rows]
+    codes, start, end = words(b" ".join(raws))
+    edge = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
+    row = np.searchsorted(edge, start, "right") - 1
+    at = np.flatnonzero(row[:1 - PASSAGE] == row[PASSAGE - 1:])
+    row = row[at]
+    h1, h2 = (rolling(codes, PASSAGE, w)[at] for w in (0, 1))
+    t1, t2, lone, split = texts1[row], texts2[row], lones[row], splits[row]
+    shift = firsts[row] - edge[row]
+    first, last = start[at] + shift, end[at + PASSAGE - 1] + shift - LENGTH
+    order = np.lexsort((h2, h1))
+    new = np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)])
+    group = np.flatnonzero(new)
+    across = ~np.logical_and.reduceat(lone[order], group)
+    for t in (t1, t2):
+        across |= np.minimum.reduceat(t[order], group) != np.maximum.reduceat(t[order], group)
+    hit = np.empty(len(order), bool)
+    hit[order] = across[np.cumsum(new) - 1]
+    hit &= lone & ~split
+    # neighbouring windows of one segment make a run
+    begin = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1] & (row[1:] == row[:-1])]))
+    stop = np.flatnonzero(hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]]))
+    left = np.flatnonzero(split)
+    x, y = np.concatenate([begin, left]), np.concatenate([stop, left])
+    settled = np.arange(len(x)) < len(begin)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(h1[x].view(np.int64), mask=settled), pa.array(h2[x].view(np.int64), mask=settled), pa.array(t1[x]), pa.array(t2[x]),
+         pa.array(first[x].astype(np.int32)), pa.array(last[y].astype(np.int32)), pa.array(lone[x])],
+        schema=to_arrow_schema(PASSAGE_ROWS))
+
+
+def _passages(cut: DataFrame) -> DataFrame:
+    """Rows of (anchor, salt, t1, t2, first, lone, split, raw), dealt by anchor
+    and salt."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, ROWS):
-                b = batch.slice(k, ROWS)
-                raws = b.column("raw").to_pylist()
-                codes, start, end = words(b" ".join(raws))
-                if len(codes) < PASSAGE:
-                    continue
-                edge = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
-                row = np.searchsorted(edge, start, "right") - 1
-                at = np.flatnonzero(row[:1 - PASSAGE] == row[PASSAGE - 1:])
-                row = row[at]
-                h1, h2 = (rolling(codes, PASSAGE, w)[at].view(np.int64) for w in (0, 1))
-                shift = b.column("first").to_numpy()[row] - edge[row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1), pa.array(h2), b.column("t1").take(pa.array(row)), b.column("t2").take(pa.array(row)),
-                     pa.array((start[at] + shift).astype(np.int32)),
-                     pa.array((end[at + PASSAGE - 1] + shift - LENGTH).astype(np.int32)),
-                     b.column("lone").take(pa.array(row))], schema=arrow)
+        held, last = [], None
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in ("anchor", "salt", "t1", "t2", "first", "lone", "split", "raw")]
+            for anchor, salt, *r in zip(*cols):
+                if len(held) >= ROWS and (anchor, salt) != last:
+                    yield passage_rows(held)
+                    held = []
+                held.append(r)
+                last = (anchor, salt)
+        if held:
+            yield passage_rows(held)
 
-    return cut.mapInArrow(run, WINDOWS)
+    return cut.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, PASSAGE_ROWS)
 
 
 def shared_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -462,20 +490,22 @@ def shared_passages(docs: DataFrame, text_col: str = "text") -> DataFrame:
     kinds = materialize(places.groupBy("anchor", "bytes_hash").agg(
         F.count("*").alias("n"), (apart | (F.max("rows") > 1)).alias("across"),
         F.min(F.struct("t1", "t2", "first", "last")).alias("rep")), "passage-kinds")
-    several = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-                          .withColumn("open", F.lit(True)), "open-passages")
+    # a kind of several documents is settled; one of its places stands for it
+    several = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(F.when(F.col("across"), 1).otherwise(F.col("n"))).alias("open"))
+                          .filter("kinds > 1"), "open-passages")
     kinds = join_dimension(kinds, several, ["anchor"], "kinds", total)
     found = materialize(join_dimension(places, kinds, ["anchor", "bytes_hash"], "n", total), "passages-found")
-    # a kind of several documents is settled; one of its places stands for it
-    open_ = found.filter(F.col("open") & (~F.col("across") | (F.col("rep") == F.struct("t1", "t2", "first", "last")))) \
-        .select("t1", "t2", "first", "last", (~F.col("across")).alias("lone"))
-    wins = materialize(passage_windows(_cut(docs, open_, text_col)), "passage-windows")
-    again = materialize(wins.groupBy("h1", "h2").agg(F.count("*").alias("n"), (apart | ~F.bool_and("lone")).alias("across"))
-                        .filter("across"), "passages-again")
-    hit = join_dimension(wins.filter("lone"), again, ["h1", "h2"], "n", wins.count()).filter("across")
-    run = F.struct(F.col("first").alias("a"), F.col("last").alias("b"))
-    return (found.filter("across").select("t1", "t2", run.alias("r")).unionByName(hit.select("t1", "t2", run.alias("r")))
-            .groupBy("t1", "t2").agg(F.collect_set("r").alias("passages")))
+    place = F.struct("t1", "t2", "first", "last")
+    open_ = found.filter(F.col("open").isNotNull() & (~F.col("across") | (F.col("rep") == place))) \
+        .select("anchor", F.pmod(F.xxhash64(place), F.ceil(F.col("open") / SPLIT)).alias("salt"), "t1", "t2", "first", "last",
+                (~F.col("across")).alias("lone"), (F.col("open") > SPLIT).alias("split"))
+    done = materialize(_passages(_cut(docs, open_, text_col)), "passage-rows")
+    wins = done.filter("h1 IS NOT NULL")
+    again = wins.groupBy("h1", "h2").agg(F.count("*").alias("n"), (apart | ~F.bool_and("lone")).alias("across")).filter("across")
+    hit = join_dimension(wins.filter("lone"), materialize(again, "passages-again"), ["h1", "h2"], "n", wins.count()).filter("across")
+    runs = [f.select("t1", "t2", F.struct(F.col("first").alias("a"), F.col("last").alias("b")).alias("r"))
+            for f in (found.filter("across"), done.filter("h1 IS NULL"), hit)]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).groupBy("t1", "t2").agg(F.collect_set("r").alias("passages"))
 
 
 def remove_repeats(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:

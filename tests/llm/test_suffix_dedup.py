@@ -118,7 +118,9 @@ def brute_passages(texts, n=51):
     return [(int((g[1:] > g[:-1]).sum() + g[0]), int(g.sum())) for g in gone]
 
 
-def test_passages_of_over_50_words(spark, texts, monkeypatch):
+@pytest.mark.parametrize("split", [500, 3])
+def test_passages_of_over_50_words(spark, texts, split, monkeypatch):
+    monkeypatch.setattr(sd, "SPLIT", split)
     monkeypatch.setattr(sd, "PIECE", 1000)
     monkeypatch.setattr(sd, "ROWS", 7)
     rng = random.Random(5)
